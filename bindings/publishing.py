@@ -29,7 +29,7 @@ from silvermill.plans.specs import Feed, Lookup, Store, Table
 from silvermill.session import Scratch
 from silvermill.sinks.replace import replace_where
 from silvermill.sinks.upsert import read_table, upsert
-from silvermill.sources.envelopes import Scope
+from silvermill.sources.envelopes import Scope, scan_envelopes
 from silvermill.streaming.ingest import stream_entity
 
 
@@ -72,17 +72,14 @@ def replace_where_scoped(spark, sf):
     return spark.read.schema(events.schema).parquet(path)
 
 
-def _staged_lines(spark, sf, scratch, where):
-    lines = table(spark, sf, "lineitem").filter(where)
-    latest = latest_lines(lines) if "l_returnflag" not in where else lines
-    return scratch.stage(latest, "lines")
+def _lines(spark, sf, where="true"):
+    return latest_lines(table(spark, sf, "lineitem").filter(where))
 
 
 @query("merge_first_load", LATEST_LINE_SQL)
 def merge_first_load(spark, sf):
     path = Scratch(spark).path("silver") + "/lines"
-    with Scratch(spark) as scratch:
-        upsert(_staged_lines(spark, sf, scratch, "true"), path, LINE_KEYS)
+    upsert(_lines(spark, sf), path, LINE_KEYS)
     return read_table(spark, path)
 
 
@@ -106,9 +103,8 @@ def _merge_sql(columns, old, new):
 @query("merge_upsert", _merge_sql(LINE_COLUMNS, _OLD, _NEW))
 def merge_upsert(spark, sf):
     path = Scratch(spark).path("silver") + "/lines"
-    with Scratch(spark) as scratch:
-        upsert(_staged_lines(spark, sf, scratch, _OLD), path, LINE_KEYS)
-        upsert(_staged_lines(spark, sf, scratch, _NEW), path, LINE_KEYS)
+    for where in (_OLD, _NEW):
+        upsert(_lines(spark, sf, where), path, LINE_KEYS)
     return read_table(spark, path)
 
 
@@ -119,10 +115,9 @@ _YEAR = ", cast(year(l_shipdate) as int) as ship_year"
 def merge_moves_partition(spark, sf):
     """A matched row whose partition column changes leaves no copy in its old partition."""
     path = Scratch(spark).path("silver") + "/lines"
-    with Scratch(spark) as scratch:
-        for where in (_OLD, _NEW):
-            lines = _staged_lines(spark, sf, scratch, where).withColumn("ship_year", F.year("l_shipdate"))
-            upsert(lines, path, LINE_KEYS, partition_by=["ship_year"])
+    for where in (_OLD, _NEW):
+        lines = _lines(spark, sf, where).withColumn("ship_year", F.year("l_shipdate"))
+        upsert(lines, path, LINE_KEYS, partition_by=["ship_year"])
     return read_table(spark, path)
 
 
@@ -130,9 +125,8 @@ def merge_moves_partition(spark, sf):
 def merge_newer_by(spark, sf):
     """Batches in the wrong order; with a guard column the later state stays."""
     path = Scratch(spark).path("silver") + "/lines"
-    with Scratch(spark) as scratch:
-        for where in (_NEW, _OLD):
-            upsert(_staged_lines(spark, sf, scratch, where), path, LINE_KEYS, newer_by="l_shipdate")
+    for where in (_NEW, _OLD):
+        upsert(_lines(spark, sf, where), path, LINE_KEYS, newer_by="l_shipdate")
     return read_table(spark, path)
 
 
@@ -142,10 +136,8 @@ def hwm_upsert(spark, sf):
     events = event_records(spark, sf).withColumn("ts", F.to_timestamp("ts"))
     first = in_window(events, "ts", until=datetime(2024, 1, 16))
     second = in_window(events, "ts", since=datetime(2024, 1, 10))
-    with Scratch(spark) as scratch:
-        for part in (first, second):
-            marks = marks_of(part, ["owner", "repo"], "ts").withColumn("endpoint", F.lit("events"))
-            write_marks(scratch.stage(marks, "marks"), path)
+    for part in (first, second):
+        write_marks(marks_of(part, ["owner", "repo"], "ts").withColumn("endpoint", F.lit("events")), path)
     return read_marks(spark, path, "events").withColumn("last_run", F.col("last_run").cast("timestamp_ntz"))
 
 
@@ -375,8 +367,6 @@ def land_incremental(spark, sf):
     entities = records.select("owner", "repo").distinct()
     land_records(spark, store, "events", records, entities, cut, "at", until=cut, mark=True, fetched_at=RUN_TS)
     land_records(spark, store, "events", records, entities, RUN_TS, "at", mark=True, fetched_at=RUN_TS)
-    from silvermill.sources.envelopes import scan_envelopes
-
     newest = scan_envelopes(spark, store.landed("events"), EVENT_SCHEMA, Scope(DAY))
     return newest.groupBy(F.col("repo").alias("event_type")).agg(F.sum("count").alias("landed"))
 

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from silvermill.session import Scratch
 
 PAGE_SIZE = 100
-PAGES_PER_BLOCK = 1000
+PAGES_PER_BLOCK = 250
 
 
 def count_pages(df: DataFrame, entity: Sequence[str], page_size: int = PAGE_SIZE) -> DataFrame:

@@ -1,12 +1,13 @@
 """The composed jobs: snapshot tables, entity tables, and feeds split into two entity tables.
 
-Each job parses its JSON once into a staged flat table, stages the checked candidate once more,
-and publishes only after every gate of the job has passed.
+Each job parses its JSON once into a staged flat table, computes the rows to publish once from
+that, and publishes only after every gate of the job has passed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,8 +20,9 @@ from silvermill.operators.quality import enforce, evaluate, rules_for
 from silvermill.plans.audit import Run
 from silvermill.plans.specs import Feed, Lookup, Store, Table
 from silvermill.session import Scratch
+from silvermill.sinks import delta
 from silvermill.sinks.replace import replace_where
-from silvermill.sinks.upsert import read_table, upsert
+from silvermill.sinks.upsert import merge, read_table, write_draft
 from silvermill.sources.envelopes import Scope, scan_envelopes
 
 
@@ -49,14 +51,55 @@ def _flat(
     return staged
 
 
-def _candidate(spark: SparkSession, store: Store, flat: DataFrame, table: Table, lookup: Lookup | None, scratch: Scratch):
+def read_silver(spark: SparkSession, store: Store, name: str) -> DataFrame:
+    path = store.table(name)
+    return delta.read_table(spark, path) if store.format == "delta" else read_table(spark, path)
+
+
+def shape(
+    spark: SparkSession, store: Store, flat: DataFrame, table: Table, lookup: Lookup | None = None
+) -> DataFrame:
+    """Flat rows to the rows a table would get: renamed, latest per key, enriched."""
     df = latest_by(flat.withColumnsRenamed(dict(table.renames)), table.dedupe_keys, table.order)
-    if lookup is not None:
-        newest = latest_lookup(
-            read_table(spark, store.table(lookup.table)), lookup.key, lookup.values, lookup.version
-        )
-        df = enrich_left(df, newest, lookup.key, lookup.values, lookup.normalize)
-    return scratch.stage(df, table.name)
+    if lookup is None:
+        return df
+    silver = read_silver(spark, store, lookup.table)
+    newest = latest_lookup(silver, lookup.key, lookup.values, lookup.version)
+    return enrich_left(df, newest, lookup.key, lookup.values, lookup.normalize)
+
+
+@dataclass
+class Candidate:
+    """Rows computed and written once, ready to be checked and then published."""
+
+    rows: DataFrame
+    publish: Callable[[], None]
+    discard: Callable[[], None]
+
+
+def upsert_candidate(
+    spark: SparkSession, store: Store, table: Table, df: DataFrame, scratch: Scratch, one_day: bool
+) -> Candidate:
+    path, keys = store.table(table.name), table.publish_keys
+    if store.format == "delta":
+        rows = scratch.stage(df, table.name)
+        return Candidate(rows, lambda: delta.upsert(rows, path, keys, table.partition_by), lambda: None)
+    rebalance = not (one_day and table.partition_by == ("snapshot_date",))
+    draft = write_draft(spark, df, path, table.partition_by, rebalance)
+    return Candidate(draft.rows, lambda: merge(draft, keys, table.newer_by, unique=True), draft.discard)
+
+
+def check_and_publish(work: Sequence[tuple[Table, Candidate]], lookup: Lookup | None = None) -> dict[str, int]:
+    """Publish all candidates once the gates of all have passed; otherwise drop them. Row counts."""
+    try:
+        rows = {table.name: _check(candidate.rows, table, "warn", lookup) for table, candidate in work}
+        for _, candidate in work:
+            candidate.publish()
+    except Exception:
+        for _, candidate in work:
+            candidate.discard()
+        raise
+    return rows
 
 
 def _check(candidate: DataFrame, table: Table, empty: str, lookup: Lookup | None = None) -> int:
@@ -79,10 +122,11 @@ def run_snapshot(
     result is an error."""
     with _run(spark, store, table.name, scope, run_ts) as run, Scratch(spark) as scratch:
         flat = _flat(run, store, feed, scope, scratch, paged=False)
-        candidate = _candidate(spark, store, flat, table, None, scratch)
+        candidate = scratch.stage(shape(spark, store, flat, table), table.name)
         rows = _check(candidate, table, empty="error")
         entity = F.col(entity_column) == F.lit(f"{scope.owner}/{scope.repo}") if scope.owner else None
-        replace_where(candidate, store.table(table.name), scope.process_date, entity)
+        publish = delta.replace_where if store.format == "delta" else replace_where
+        publish(candidate, store.table(table.name), scope.process_date, entity)
         run.rows_written = {table.name: rows}
     return run
 
@@ -94,10 +138,9 @@ def run_entity(
     """One current row per key: upserted. An empty result is only a warning."""
     with _run(spark, store, table.name, scope, run_ts) as run, Scratch(spark) as scratch:
         flat = _flat(run, store, feed, scope, scratch, paged=True, allow_missing=allow_missing)
-        candidate = _candidate(spark, store, flat, table, lookup, scratch)
-        rows = _check(candidate, table, "warn", lookup)
-        upsert(candidate, store.table(table.name), table.publish_keys, table.partition_by, table.newer_by)
-        run.rows_written = {table.name: rows}
+        df = shape(spark, store, flat, table, lookup)
+        candidate = upsert_candidate(spark, store, table, df, scratch, scope.process_date is not None)
+        run.rows_written = check_and_publish([(table, candidate)], lookup)
     return run
 
 
@@ -106,21 +149,18 @@ def run_split_entity(
     lookup: Lookup | None, scope: Scope, run_ts: datetime | None = None, allow_missing: bool = False,
 ) -> Run:
     """A mixed feed to two entity tables. Staged by the flag, so either table reads only its own
-    rows; both gates pass before either table is written."""
+    rows; both gates pass before either table is published."""
     with _run(spark, store, feed.endpoint, scope, run_ts) as run, Scratch(spark) as scratch:
         flat = _flat(run, store, feed, scope, scratch, paged=True, partition_by=(flag,), allow_missing=allow_missing)
-        tables = (without, having)
-        candidates = [
-            _candidate(spark, store, part, table, lookup, scratch)
-            for part, table in zip(split_by(flat, flag), tables)
-        ]
-        rows = {t.name: _check(c, t, "warn", lookup) for t, c in zip(tables, candidates)}
-        for table, candidate in zip(tables, candidates):
-            upsert(candidate, store.table(table.name), table.publish_keys, table.partition_by, table.newer_by)
-        run.rows_written = rows
+        work = []
+        for part, table in zip(split_by(flat, flag), (without, having)):
+            df = shape(spark, store, part, table, lookup)
+            one_day = scope.process_date is not None
+            work.append((table, upsert_candidate(spark, store, table, df, scratch, one_day)))
+        run.rows_written = check_and_publish(work, lookup)
     return run
 
 
-def backfill(run_date, process_dates: Sequence[str]) -> list:
+def backfill(run_date: Callable[[str], object], process_dates: Sequence[str]) -> list:
     """``run_date(date)`` for each date, oldest first: an upsert lets the later batch win."""
     return [run_date(day) for day in sorted(process_dates)]

@@ -19,7 +19,7 @@ MARK_KEYS = ("owner", "repo", "endpoint")
 
 def read_marks(spark: SparkSession, path: str, endpoint: str) -> DataFrame | None:
     """The endpoint's marks, or None before the first; any other failure to read them raises."""
-    if not SilverTable(spark, path).exists():
+    if not SilverTable(spark, path).state():
         return None
     return read_table(spark, path).filter(F.col("endpoint") == F.lit(endpoint)).drop("endpoint")
 

@@ -10,10 +10,12 @@ from pyspark.sql import Column
 
 @dataclass(frozen=True)
 class Store:
-    """Root folders of the two layers."""
+    """Root folders of the two layers, and the format of the silver tables: parquet, or delta
+    where its classes are installed."""
 
     bronze: str
     silver: str
+    format: str = "parquet"
 
     def landed(self, endpoint: str) -> str:
         return f"{self.bronze}/{endpoint}"

@@ -37,9 +37,8 @@ def replace_where(
 
     written = Observation()
     (
-        # Splits a large date over tasks and keeps a small one in a single file.
-        rows.hint("rebalance", partition)
-        .observe(written, F.count("*").alias("rows"))
+        # All rows go to one partition, so no shuffle is needed to keep files few.
+        rows.observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -1,16 +1,19 @@
 """Keyed upsert into plain Parquet, and the table form it publishes.
 
-A table is a set of folders. Each upsert writes one new version folder and then a small state
-file that names the folders which make up the table from now on; readers follow the newest
-state. A job that dies before that leaves the table as it was, and a reader never sees half an
-upsert. Only folders (partitions) that hold a matched key are rewritten.
+A table is a set of folders. New rows are first written as a draft: a folder inside the table
+that no reader sees yet. The quality gate reads the draft, and publishing it writes one small
+state file that names the folders which make up the table from now on; readers follow the newest
+state. So the new rows are computed and written once, a job that dies leaves the table as it
+was, and a reader never sees half an upsert. Of the older rows, only folders (partitions) that
+hold a matched key are rewritten.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +22,7 @@ from pyspark.sql import types as T
 
 from silvermill.functions.columns import all_present
 from silvermill.operators.latest import latest_by
-from silvermill.storage import create_text, exists, glob, read_text
+from silvermill.storage import create_text, delete, exists, glob, read_text
 
 
 class DuplicateKeys(ValueError):
@@ -37,40 +40,70 @@ class SilverTable:
         states = glob(self.spark, f"{self.path}/_state/*.json")
         return json.loads(read_text(self.spark, states[-1])) if states else None
 
-    def exists(self) -> bool:
-        return self.state() is not None
-
-    def read(self, folders: Sequence[str] | None = None, state: dict | None = None) -> DataFrame:
-        state = state or self.state()
-        if state is None:
-            raise FileNotFoundError(f"no table at {self.path}")
-        schema = T.StructType.fromJson(state["schema"])
-        folders = state["folders"] if folders is None else folders
+    def read_folders(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", self.path)
         return reader.parquet(*[f"{self.path}/{f}" for f in folders])
 
-    def commit(self, rows: DataFrame, keep: Sequence[str], version: int, partition_by: Sequence[str]) -> None:
-        """Write ``rows`` as the next version; the table becomes the kept folders and these."""
-        folder = f"_v={version:08d}"
-        if partition_by:
-            # Splits a large partition over tasks and keeps a small one in a single file.
-            writer = rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
-        else:
-            writer = rows.write
-        # Overwrite clears what an earlier job may have left here before it died.
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/{folder}")
+    def write_folder(self, rows: DataFrame, partition_by: Sequence[str]) -> list[str]:
+        """Write rows to a folder of their own; returns its partition folders, or just itself."""
+        folder = f"_v={uuid.uuid4().hex}"
+        writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
+        writer.parquet(f"{self.path}/{folder}")
         leaves = glob(self.spark, "/".join([self.path, folder, *["*=*"] * len(partition_by)]))
+        return [leaf[leaf.index("_v=") :] for leaf in leaves]
+
+    def publish(self, folders: Sequence[str], schema: T.StructType, partition_by: Sequence[str], version: int) -> None:
         state = {
             "version": version,
-            "schema": json.loads(rows.schema.json()),
+            "schema": json.loads(schema.json()),
             "partition_by": list(partition_by),
-            "folders": [*keep, *[leaf[leaf.index(folder) :] for leaf in leaves]],
+            "folders": list(folders),
         }
         create_text(self.spark, f"{self.path}/_state/{version:08d}.json", json.dumps(state))
 
 
+@dataclass
+class Draft:
+    """Rows written into a table's folder but not part of the table yet."""
+
+    table: SilverTable
+    state: dict | None
+    schema: T.StructType
+    partition_by: tuple[str, ...]
+    folders: list[str]
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.table.read_folders(self.folders, self.schema).select(*self.schema.fieldNames())
+
+    def discard(self) -> None:
+        for folder in {f.split("/")[0] for f in self.folders}:
+            delete(self.table.spark, f"{self.table.path}/{folder}")
+
+
+def write_draft(
+    spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = True
+) -> Draft:
+    """Compute and write new rows for the table at ``path``, which need not exist yet. An existing
+    table keeps its own columns and partitioning.
+
+    ``rebalance`` gathers the rows of a partition before they are written, splitting a large one
+    over tasks; leave that shuffle out when all rows go to one partition.
+    """
+    table = SilverTable(spark, path)
+    state = table.state()
+    if state is not None:
+        partition_by = state["partition_by"]
+        df = df.select(*T.StructType.fromJson(state["schema"]).fieldNames())
+    elif exists(table.spark, path) and glob(table.spark, f"{path}/[!_.]*"):
+        raise ValueError(f"{path} holds a table that upsert does not manage")
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
+    return Draft(table, state, df.schema, tuple(partition_by), table.write_folder(df, partition_by))
+
+
 def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a non-null merge key occurs twice (null keys match nothing and may repeat)."""
     repeated = source.filter(all_present(keys)).groupBy(*keys).count().filter("count > 1")
@@ -78,68 +111,81 @@ def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeys(f"source rows are not unique on {', '.join(keys)}")
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A silver table: an upserted one through its state, any other as plain Parquet."""
-    table = SilverTable(spark, path)
-    if not table.exists():
-        return spark.read.parquet(path)
-    df = table.read()
-    return df.select(*[c for c in df.columns if c != "_v"])
+def _touched(draft: Draft, source_keys: DataFrame, keys: Sequence[str]) -> set[str]:
+    """Folders of the table that hold a source key, from the key columns alone. At most one value
+    per folder reaches the driver."""
+    if not draft.state["folders"]:
+        return set()
+    place = F.regexp_extract("_metadata.file_path", r"(_v=.*)/[^/]+$", 1)
+    old = draft.table.read_folders(draft.state["folders"], draft.schema)
+    hits = old.select(*keys, place.alias("folder")).join(source_keys, list(keys), "left_semi")
+    return {unquote(row.folder) for row in hits.select("folder").distinct().collect()}
 
 
-def upsert(
-    source: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    partition_by: Sequence[str] = (),
-    newer_by: str | None = None,
-) -> None:
-    """Replace the rows whose keys match, insert the others, delete nothing.
+def merge(draft: Draft, keys: Sequence[str], newer_by: str | None = None, unique: bool = False) -> None:
+    """Publish a draft: rows whose keys match are replaced, the others inserted, none deleted.
 
-    ``source`` is read more than once, so stage it first. The first load creates the table,
-    partitioned by ``partition_by``; later ones keep that layout. A matched row is replaced
-    whatever its age; with ``newer_by`` the side that is higher in that column stays, the source
-    on a tie. Rows with a null key never match.
+    A matched row is replaced whatever its age; with ``newer_by`` the side that is higher in that
+    column stays, the draft's on a tie. Rows with a null key never match. ``unique`` says the
+    caller has checked that the draft's keys are.
     """
-    spark = source.sparkSession
-    table = SilverTable(spark, path)
-    state = table.state()
-    check_unique(source, keys)
-    if state is None:
-        if exists(spark, path) and glob(spark, f"{path}/*.parquet"):
-            raise ValueError(f"{path} holds a table that upsert does not manage")
-        table.commit(source, [], 1, partition_by)
+    source = draft.rows
+    if not unique:
+        check_unique(source, keys)
+    columns = draft.schema.fieldNames()
+    if draft.state is None:
+        draft.table.publish(draft.folders, draft.schema, draft.partition_by, 1)
+        return
+    if source.isEmpty():
+        draft.discard()
         return
-
-    columns = T.StructType.fromJson(state["schema"]).fieldNames()
-    source = source.select(*columns)
     keyed_source = source.filter(all_present(keys))
     source_keys = keyed_source.select(*keys)
-
-    # Key columns only. The result is at most one value per folder.
-    place = F.regexp_extract("_metadata.file_path", r"(_v=.*)/[^/]+$", 1)
-    touched = {
-        unquote(row.folder)
-        for row in table.read(state=state)
-        .select(*keys, place.alias("folder"))
-        .join(source_keys, list(keys), "left_semi")
-        .select("folder")
-        .distinct()
-        .collect()
-    }
-    parts = [source]
+    touched = _touched(draft, source_keys, keys)
+    folders = [f for f in draft.state["folders"] if f not in touched] + draft.folders
     if touched:
-        old = table.read(sorted(touched), state).select(*columns)
+        old = draft.table.read_folders(sorted(touched), draft.schema).select(*columns)
         # Kept out of the join: rows without a key match nothing and would pile up in one task.
         unkeyed = old.filter(~all_present(keys))
         keyed = old.filter(all_present(keys))
         if newer_by is None:
-            parts = [keyed.join(source_keys, list(keys), "left_anti").select(*columns), unkeyed, source]
+            kept = keyed.join(source_keys, list(keys), "left_anti").select(*columns)
         else:
             both = keyed.withColumn("_from_source", F.lit(0)).unionByName(
                 keyed_source.withColumn("_from_source", F.lit(1))
             )
-            winners = latest_by(both, keys, [newer_by, "_from_source"]).select(*columns)
-            parts = [winners, unkeyed, source.filter(~all_present(keys))]
-    keep = [f for f in state["folders"] if f not in touched]
-    table.commit(reduce(DataFrame.unionByName, parts), keep, state["version"] + 1, state["partition_by"])
+            kept = latest_by(both, keys, [newer_by, "_from_source"]).select(*columns)
+            # The draft may hold rows that lost, so its winners are written again.
+            unkeyed = unkeyed.unionByName(source.filter(~all_present(keys)))
+            folders = [f for f in folders if f not in draft.folders]
+        rest = kept.unionByName(unkeyed)
+        if draft.partition_by:
+            rest = rest.hint("rebalance", *draft.partition_by)
+        folders += draft.table.write_folder(rest, draft.partition_by)
+    draft.table.publish(folders, draft.schema, draft.partition_by, draft.state["version"] + 1)
+
+
+def upsert(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str] = (),
+    newer_by: str | None = None,
+) -> None:
+    """Draft and merge in one call. The first load creates the table."""
+    draft = write_draft(df.sparkSession, df, path, partition_by)
+    try:
+        merge(draft, keys, newer_by)
+    except Exception:
+        draft.discard()
+        raise
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A silver table: an upserted one through its state, any other as plain Parquet."""
+    table = SilverTable(spark, path)
+    state = table.state()
+    if state is None:
+        return spark.read.parquet(path)
+    schema = T.StructType.fromJson(state["schema"])
+    return table.read_folders(state["folders"], schema).select(*schema.fieldNames())

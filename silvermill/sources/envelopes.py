@@ -89,7 +89,7 @@ def scan_envelopes(
     if allow_missing and not glob(spark, path):
         return spark.createDataFrame([], fields).select(*columns)
     df = reader.schema(fields).json(path)
-    if scope.entity is not None:
+    if scope.entity is not None and layout != "bare":
         df = df.filter(scope.entity)
     if endpoint is not None:
         df = df.filter(F.col("endpoint") == F.lit(endpoint))

@@ -7,14 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from silvermill.operators.enrich import enrich_left
 from silvermill.operators.flatten import flatten_pages
-from silvermill.operators.latest import latest_by, latest_lookup
-from silvermill.operators.quality import enforce, evaluate, rules_for
+from silvermill.plans.jobs import check_and_publish, shape, upsert_candidate
 from silvermill.plans.specs import Feed, Lookup, Store, Table
 from silvermill.session import Scratch
 from silvermill.sinks.landing import TIME_PARTITIONS
-from silvermill.sinks.upsert import read_table, upsert
 
 
 def ingest_available(
@@ -66,15 +63,8 @@ def stream_entity(
 
     def apply(batch: DataFrame, _: int) -> None:
         with Scratch(spark) as scratch:
-            df = latest_by(flatten_pages(batch, feed.fields), table.dedupe_keys, table.order)
-            if lookup is not None:
-                newest = latest_lookup(
-                    read_table(spark, store.table(lookup.table)), lookup.key, lookup.values, lookup.version
-                )
-                df = enrich_left(df, newest, lookup.key, lookup.values, lookup.normalize)
-            candidate = scratch.stage(df, table.name)
-            rules = rules_for(table.required, table.not_blank, table.not_negative, table.publish_keys, empty="warn")
-            enforce(evaluate(candidate, rules), table.name)
-            upsert(candidate, store.table(table.name), table.publish_keys, table.partition_by, table.newer_by)
+            df = shape(spark, store, flatten_pages(batch, feed.fields), table, lookup)
+            candidate = upsert_candidate(spark, store, table, df, scratch, one_day=False)
+            check_and_publish([(table, candidate)], lookup)
 
     return ingest_available(spark, store.landed(feed.endpoint), feed.schema, checkpoint, apply, files_per_batch)

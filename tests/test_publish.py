@@ -1,0 +1,179 @@
+"""Replace-where and keyed upserts."""
+
+from datetime import date, datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from silvermill.sinks import delta
+from silvermill.sinks.replace import replace_where
+from silvermill.sinks.upsert import DuplicateKeys, SilverTable, merge, read_table, upsert, write_draft
+from silvermill.storage import create_text, glob
+
+few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+D5, D6 = date(2026, 4, 5), date(2026, 4, 6)
+SNAP = "name string, n int, snapshot_date date"
+
+
+def snap(spark, *rows):
+    return spark.createDataFrame(rows, SNAP)
+
+
+def content(df):
+    return sorted(df.collect(), key=str)
+
+
+def test_replace_a_date(spark, folder):
+    path = folder + "/t"
+    replace_where(snap(spark, ("a", 1, D5), ("b", 1, D5)), path, D5)
+    for _ in range(2):
+        replace_where(snap(spark, ("a", 2, D6)), path, "2026-04-06")
+    replace_where(snap(spark, ("c", 3, D5)), path, D5)
+    assert [tuple(r) for r in content(spark.read.schema(SNAP).parquet(path))] == [("a", 2, D6), ("c", 3, D5)]
+
+
+@pytest.mark.parametrize("name", ["o/r", "o'quote/r", 'o"q/\\r'])
+def test_replace_one_entity(spark, folder, name):
+    path = folder + "/t"
+    replace_where(snap(spark, (name, 1, D5), ("b", 1, D5)), path, D5)
+    replace_where(snap(spark, (name, 1, D6), ("b", 1, D6), (None, 9, D6)), path, D6)
+    scope = F.col("name") == F.lit(name)
+    for _ in range(2):
+        replace_where(snap(spark, (name, 2, D6)), path, D6, scope)
+    got = {(r.name, r.snapshot_date): r.n for r in spark.read.schema(SNAP).parquet(path).collect()}
+    assert got == {(name, D5): 1, ("b", D5): 1, (name, D6): 2, ("b", D6): 1, (None, D6): 9}
+
+
+def test_rows_outside_the_replaced_scope_fail(spark, folder):
+    path = folder + "/t"
+    replace_where(snap(spark, ("a", 1, D5)), path, D5)
+    with pytest.raises(Exception, match="outside the replaced scope"):
+        replace_where(snap(spark, ("a", 1, D6)), path, D5)
+    with pytest.raises(Exception, match="outside the replaced scope"):
+        replace_where(snap(spark, ("A", 1, D5)), path, D5, F.col("name") == F.lit("a"))
+    assert content(spark.read.schema(SNAP).parquet(path)) == content(snap(spark, ("a", 1, D5)))
+
+
+def test_empty_replacement(spark, folder):
+    path = folder + "/t"
+    replace_where(snap(spark, ("a", 1, D5)), path, D5)
+    replace_where(snap(spark, ("a", 1, D6)), path, D6)
+    with pytest.raises(ValueError, match="nothing to publish"):
+        replace_where(snap(spark), path, D6)
+    replace_where(snap(spark), path, D6, allow_empty=True)
+    assert content(spark.read.schema(SNAP).parquet(path)) == content(snap(spark, ("a", 1, D5)))
+
+
+ROW = "k1 string, k2 int, v int, part string"
+rows = st.lists(
+    st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 4), st.integers(0, 9), st.sampled_from(["p", "q=1", "r%/ x", None])),
+    max_size=8, unique_by=lambda r: r[:2],
+)
+
+
+@few
+@given(target=rows, source=rows, again=rows, partitioned=st.booleans())
+def test_upsert_model(spark, tmp_path_factory, target, source, again, partitioned):
+    path = str(tmp_path_factory.mktemp("t")) + "/t"
+    model = {}
+    for batch in (target, source, source, again):
+        upsert(spark.createDataFrame(batch, ROW), path, ["k1", "k2"], ["part"] if partitioned else [])
+        model.update({r[:2]: r for r in batch})
+        assert content(read_table(spark, path)) == content(spark.createDataFrame(list(model.values()), ROW))
+
+
+def test_null_keys_are_inserted(spark, folder):
+    path = folder + "/t"
+    batch = spark.createDataFrame([("a", 1, 1, "p"), (None, 1, 2, "p"), (None, 1, 3, "p")], ROW)
+    upsert(batch, path, ["k1", "k2"])
+    upsert(batch, path, ["k1", "k2"])
+    assert sorted((r.k1 or "", r.v) for r in read_table(spark, path).collect()) == [
+        ("", 2), ("", 2), ("", 3), ("", 3), ("a", 1)]
+
+
+def test_duplicate_source_keys_are_refused(spark, folder):
+    path = folder + "/t"
+    two = spark.createDataFrame([("a", 1, 1, "p"), ("a", 1, 2, "p")], ROW)
+    with pytest.raises(DuplicateKeys):
+        upsert(two, path, ["k1", "k2"])
+    assert glob(spark, path + "/_v=*") == []  # the draft is gone
+    upsert(two.limit(1), path, ["k1", "k2"])
+    with pytest.raises(DuplicateKeys):
+        upsert(two, path, ["k1", "k2"])
+    assert read_table(spark, path).count() == 1
+
+
+def test_older_batch_wins_unless_guarded(spark, folder):
+    new = spark.createDataFrame([("a", 9, "new"), ("b", 1, "new"), (None, 5, "new")], "k string, at int, v string")
+    old = spark.createDataFrame([("a", 1, "old"), ("b", 1, "old"), ("c", 1, "old"), (None, 1, "old")], "k string, at int, v string")
+    for newer_by, wanted in ((None, "old"), ("at", "new")):
+        path = f"{folder}/{newer_by}"
+        upsert(new, path, ["k"], newer_by=newer_by)
+        upsert(old, path, ["k"], newer_by=newer_by)
+        got = {r.k: r.v for r in read_table(spark, path).filter("k is not null").collect()}
+        assert got == {"a": wanted, "b": "old", "c": "old"}
+        assert read_table(spark, path).filter("k is null").count() == 2
+
+
+def test_only_folders_with_a_match_are_rewritten(spark, folder):
+    path = folder + "/t"
+    first = spark.createDataFrame([("a", i, 0, f"p{i}") for i in range(5)], ROW)
+    upsert(first, path, ["k1", "k2"], ["part"])
+    before = set(SilverTable(spark, path).state()["folders"])
+    upsert(spark.createDataFrame([("a", 3, 1, "p9"), ("z", 0, 1, "p0")], ROW), path, ["k1", "k2"])
+    after = set(SilverTable(spark, path).state()["folders"])
+    assert {f.split("=")[-1] for f in before - after} == {"p3"}
+    assert {f.split("=")[-1] for f in after - before} == {"p0", "p9"}  # p3 became empty
+    assert read_table(spark, path).count() == 6
+
+
+def test_types_survive(spark, folder):
+    path = folder + "/t"
+    df = spark.createDataFrame([(1, datetime(2026, 4, 6, 2), D6, "007")], "k long, at timestamp, d date, s string")
+    upsert(df, path, ["k"], ["d", "s"])
+    assert read_table(spark, path).schema == df.schema and content(read_table(spark, path)) == content(df)
+
+
+def test_empty_first_load(spark, folder):
+    path = folder + "/t"
+    for part in ([], ["part"]):
+        empty = spark.createDataFrame([], ROW)
+        upsert(empty, path + str(len(part)), ["k1"], part)
+        assert read_table(spark, path + str(len(part))).schema == empty.schema
+        upsert(empty, path + str(len(part)), ["k1"], part)
+        upsert(spark.createDataFrame([("a", 1, 1, "p")], ROW), path + str(len(part)), ["k1"], part)
+        assert read_table(spark, path + str(len(part))).count() == 1
+
+
+def test_a_draft_is_invisible_and_a_lost_race_raises(spark, folder):
+    path = folder + "/t"
+    batch = spark.createDataFrame([("a", 1, 1, "p")], ROW)
+    upsert(batch, path, ["k1"])
+    draft = write_draft(spark, batch.withColumn("v", F.lit(2)), path)
+    assert read_table(spark, path).first().v == 1
+    upsert(batch.withColumn("v", F.lit(3)), path, ["k1"])  # another job publishes first
+    with pytest.raises(FileExistsError):
+        merge(draft, ["k1"])
+    assert read_table(spark, path).first().v == 3
+
+
+def test_upsert_refuses_a_foreign_table(spark, folder):
+    path = folder + "/t"
+    batch = spark.createDataFrame([("a", 1, 1, "p")], ROW)
+    batch.write.parquet(path)
+    with pytest.raises(ValueError, match="does not manage"):
+        upsert(batch, path, ["k1"])
+
+
+def test_create_text_never_replaces(spark, folder):
+    create_text(spark, folder + "/x.json", "1")
+    with pytest.raises(FileExistsError):
+        create_text(spark, folder + "/x.json", "2")
+
+
+def test_delta_needs_its_classes(spark, folder):
+    if delta.DeltaTable is None:
+        with pytest.raises(RuntimeError, match="delta-spark"):
+            delta.upsert(spark.createDataFrame([("a", 1, 1, "p")], ROW), folder, ["k1"])
