@@ -255,9 +255,6 @@ def _land_lines(spark, sf, store):
     land_records(spark, store, "lines", lines, entities, RUN_TS, "l_shipdate", fetched_at=RUN_TS)
 
 
-_JOB_COLUMNS = LINE_COLUMNS.replace("l_orderkey", "l_orderkey as order_id")
-
-
 @query(
     "job_entity",
     f"""select l_orderkey as order_id, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate,

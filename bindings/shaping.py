@@ -6,8 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from bindings.common import RUN_TS, customer_records, query, table
-from silvermill.functions.columns import entity_name, iso_text, json_map, run_stamp
+from bindings.common import RUN_TS, query, table
+from silvermill.functions.columns import entity_name, json_map, run_stamp
 from silvermill.operators.enrich import enrich_left, miss_count
 from silvermill.operators.flatten import flatten_pages, split_by
 from silvermill.operators.incremental import after_marks, in_states, in_window, marks_of
@@ -35,9 +35,8 @@ def latest_lines(df):
 def recent_orders(spark, sf):
     """The newest order per customer since 2001-06-01."""
     orders = table(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("2001-06-01").cast("timestamp_ntz"))
-    return latest_lookup(
-        orders, ["o_custkey"], ["o_orderkey", "o_orderstatus", "o_orderdate"], ["o_orderdate", "o_orderkey"]
-    )
+    newest = latest_lookup(orders, ["o_custkey"], ["o_orderkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"])
+    return Scratch(spark).stage(newest, "lookup")
 
 
 def customers_with_order(spark, sf):
@@ -261,7 +260,8 @@ def incremental_since_hwm(spark, sf):
     """One event type has no mark and is read in full."""
     events = table(spark, sf, "events").select("event_id", "ts", "event_type")
     seen = in_window(events, "ts", until=datetime(2024, 1, 20)).filter("event_type <> 'signup'")
-    return after_marks(events, marks_of(seen, ["event_type"], "ts"), ["event_type"], "ts")
+    marks = Scratch(spark).stage(marks_of(seen, ["event_type"], "ts"), "marks")
+    return after_marks(events, marks, ["event_type"], "ts")
 
 
 @query(

@@ -17,11 +17,12 @@ def enrich_left(
 ) -> DataFrame:
     """All columns and rows of ``df``, then the lookup's values, null where no key matches.
 
-    No broadcast is forced: the lookup may grow with the data. Catalyst (from the planned size)
-    or AQE (from the size after its shuffle) broadcasts it when it is under
-    ``spark.sql.autoBroadcastJoinThreshold``; otherwise the sides are shuffled and AQE splits the
-    rows of a hot key over several tasks. ``normalize`` is applied to both sides' key, for names
-    that differ only in form; the lookup must stay unique under it.
+    No broadcast is forced, as the lookup may grow with the data; pass it as a stored table
+    (``Scratch.stage``). Then its exact size decides: under ``spark.sql.autoBroadcastJoinThreshold``
+    it is broadcast and ``df`` is not shuffled, beyond that both sides are shuffled plainly, which
+    lets AQE split the rows of a hot key over several tasks (it cannot where a window or an
+    aggregate sits between shuffle and join). ``normalize`` is applied to both sides' key, for
+    names that differ only in form; the lookup must stay unique under it.
     """
     shape = normalize or (lambda column: column)
     right = lookup.select(*[F.col(k).alias(f"_key_{k}") for k in on], *[F.col(v).alias(f"_value_{v}") for v in values])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field, fields
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
@@ -46,15 +46,11 @@ class Run:
         self.status = "SUCCESS" if error is None else "FAILED"
         self.error = None if error is None else str(error)[:4000]
         self.finished_at = datetime.now(timezone.utc)
-        facts = {k: v for k, v in asdict_shallow(self).items() if k not in ("spark", "path")}
+        facts = {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("spark", "path")}
         log.info("%s", facts)
         row = self.spark.createDataFrame([facts], RUN_SCHEMA).coalesce(1)
         row.write.mode("append").json(self.path)
 
 
-def asdict_shallow(run: Run) -> dict:
-    return {name: getattr(run, name) for name in run.__dataclass_fields__}
-
-
 def read_runs(spark: SparkSession, path: str):
     return spark.read.schema(RUN_SCHEMA).json(path)

@@ -56,16 +56,20 @@ def read_silver(spark: SparkSession, store: Store, name: str) -> DataFrame:
     return delta.read_table(spark, path) if store.format == "delta" else read_table(spark, path)
 
 
-def shape(
-    spark: SparkSession, store: Store, flat: DataFrame, table: Table, lookup: Lookup | None = None
-) -> DataFrame:
+def newest(spark: SparkSession, store: Store, lookup: Lookup | None, scratch: Scratch) -> DataFrame | None:
+    """The lookup's newest version per key, staged: read once however many tables it enriches."""
+    if lookup is None:
+        return None
+    silver = read_silver(spark, store, lookup.table)
+    return scratch.stage(latest_lookup(silver, lookup.key, lookup.values, lookup.version), "lookup")
+
+
+def shape(flat: DataFrame, table: Table, lookup: Lookup | None = None, values: DataFrame | None = None) -> DataFrame:
     """Flat rows to the rows a table would get: renamed, latest per key, enriched."""
     df = latest_by(flat.withColumnsRenamed(dict(table.renames)), table.dedupe_keys, table.order)
     if lookup is None:
         return df
-    silver = read_silver(spark, store, lookup.table)
-    newest = latest_lookup(silver, lookup.key, lookup.values, lookup.version)
-    return enrich_left(df, newest, lookup.key, lookup.values, lookup.normalize)
+    return enrich_left(df, values, lookup.key, lookup.values, lookup.normalize)
 
 
 @dataclass
@@ -122,7 +126,7 @@ def run_snapshot(
     result is an error."""
     with _run(spark, store, table.name, scope, run_ts) as run, Scratch(spark) as scratch:
         flat = _flat(run, store, feed, scope, scratch, paged=False)
-        candidate = scratch.stage(shape(spark, store, flat, table), table.name)
+        candidate = scratch.stage(shape(flat, table), table.name)
         rows = _check(candidate, table, empty="error")
         entity = F.col(entity_column) == F.lit(f"{scope.owner}/{scope.repo}") if scope.owner else None
         publish = delta.replace_where if store.format == "delta" else replace_where
@@ -138,7 +142,7 @@ def run_entity(
     """One current row per key: upserted. An empty result is only a warning."""
     with _run(spark, store, table.name, scope, run_ts) as run, Scratch(spark) as scratch:
         flat = _flat(run, store, feed, scope, scratch, paged=True, allow_missing=allow_missing)
-        df = shape(spark, store, flat, table, lookup)
+        df = shape(flat, table, lookup, newest(spark, store, lookup, scratch))
         candidate = upsert_candidate(spark, store, table, df, scratch, scope.process_date is not None)
         run.rows_written = check_and_publish([(table, candidate)], lookup)
     return run
@@ -152,9 +156,10 @@ def run_split_entity(
     rows; both gates pass before either table is published."""
     with _run(spark, store, feed.endpoint, scope, run_ts) as run, Scratch(spark) as scratch:
         flat = _flat(run, store, feed, scope, scratch, paged=True, partition_by=(flag,), allow_missing=allow_missing)
+        values = newest(spark, store, lookup, scratch)
         work = []
         for part, table in zip(split_by(flat, flag), (without, having)):
-            df = shape(spark, store, part, table, lookup)
+            df = shape(part, table, lookup, values)
             one_day = scope.process_date is not None
             work.append((table, upsert_candidate(spark, store, table, df, scratch, one_day)))
         run.rows_written = check_and_publish(work, lookup)

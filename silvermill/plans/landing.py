@@ -40,14 +40,15 @@ def land_records(
     ``mark`` the marks move to ``run_ts`` once the pages are landed.
     """
     marks_path = store.table("_marks")
-    chosen = in_window(records.join(entities.select(*ENTITY), list(ENTITY), "left_semi"), ts, since, until)
-    if states is not None:
-        chosen = in_states(chosen, *states)
-    marks = read_marks(spark, marks_path, endpoint) if since is None else None
-    if marks is not None:
-        chosen = after_marks(chosen, marks, ENTITY, ts)
     run = F.lit(run_ts).cast("timestamp")
     with Scratch(spark) as scratch:
+        entities = scratch.stage(entities.select(*ENTITY).distinct(), "entities")
+        chosen = in_window(records.join(entities, list(ENTITY), "left_semi"), ts, since, until)
+        if states is not None:
+            chosen = in_states(chosen, *states)
+        marks = read_marks(spark, marks_path, endpoint) if since is None else None
+        if marks is not None:
+            chosen = after_marks(chosen, marks, ENTITY, ts)
         envelopes = page_envelopes(
             chosen.withColumn("batch_ts", run),
             endpoint,
@@ -58,7 +59,7 @@ def land_records(
         )
         land(envelopes, store.landed(endpoint))
         if mark:
-            done = entities.select(*ENTITY, F.lit(endpoint).alias("endpoint"), run.alias("last_run")).distinct()
+            done = entities.select(*ENTITY, F.lit(endpoint).alias("endpoint"), run.alias("last_run"))
             write_marks(done, marks_path)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from silvermill.operators.flatten import flatten_pages
-from silvermill.plans.jobs import check_and_publish, shape, upsert_candidate
+from silvermill.plans.jobs import check_and_publish, newest, shape, upsert_candidate
 from silvermill.plans.specs import Feed, Lookup, Store, Table
 from silvermill.session import Scratch
 from silvermill.sinks.landing import TIME_PARTITIONS
@@ -63,7 +63,8 @@ def stream_entity(
 
     def apply(batch: DataFrame, _: int) -> None:
         with Scratch(spark) as scratch:
-            df = shape(spark, store, flatten_pages(batch, feed.fields), table, lookup)
+            values = newest(spark, store, lookup, scratch)
+            df = shape(flatten_pages(batch, feed.fields), table, lookup, values)
             candidate = upsert_candidate(spark, store, table, df, scratch, one_day=False)
             check_and_publish([(table, candidate)], lookup)
 

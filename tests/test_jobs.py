@@ -56,10 +56,18 @@ def issue(id, **more):
             "updated_at": "2026-04-02T00:00:00Z", "reactions": {"total_count": 1, "+1": 1}, **more}
 
 
+def make_world(folder, layout):
+    return Bronze(folder + "/bronze", layout), Store(folder + "/bronze", folder + "/silver"), layout
+
+
 @pytest.fixture(params=["keyed", "bare"])
-def world(request, folder):
-    bronze = Bronze(folder + "/bronze", request.param)
-    return bronze, Store(folder + "/bronze", folder + "/silver"), request.param
+def any_world(request, folder):
+    return make_world(folder, request.param)
+
+
+@pytest.fixture
+def world(folder):
+    return make_world(folder, "keyed")
 
 
 def fill(bronze):
@@ -84,8 +92,8 @@ COMMIT_COLUMNS = """commit_id message url user_id bronze_ingested_at bronze_batc
 git_author_name git_author_email author_login silver_ingested_at snapshot_date repo_id""".split()
 
 
-def test_all_jobs(spark, world):
-    bronze, store, layout = world
+def test_all_jobs(spark, any_world):
+    bronze, store, layout = any_world
     fill(bronze)
     for _ in range(2):  # a rerun gives the same tables
         repos, commits, issues = forge.run_date(spark, store, Scope("2026-04-06"), RUN, layout)
@@ -113,8 +121,8 @@ def test_all_jobs(spark, world):
     assert runs.groupBy("job", "status").count().count() == 3 and runs.count() == 6
 
 
-def test_scoped_rerun_touches_one_entity(spark, world):
-    bronze, store, layout = world
+def test_scoped_rerun_touches_one_entity(spark, any_world):
+    bronze, store, layout = any_world
     fill(bronze)
     forge.run_date(spark, store, Scope("2026-04-06"), RUN, layout)
     bronze.put("repo_metadata", "o", "r", repo(1, "o/r", description="newest"), fetched="2026-04-06T09:00:00Z")

@@ -1,0 +1,118 @@
+"""What Spark makes of the operators: pruning, shuffles, broadcast, hot keys."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from silvermill.operators.enrich import enrich_left
+from silvermill.operators.latest import latest_by, latest_lookup
+from silvermill.operators.paging import paginate
+from silvermill.operators.quality import evaluate, rules_for
+from silvermill.session import Scratch, shared_folder
+from silvermill.sinks.upsert import read_table, upsert
+from silvermill.sources.envelopes import Scope, scan_envelopes
+
+N = 300_000
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A third of the rows has one key, another third a null key."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 5000)
+    df = spark.range(N).select(key.alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    return Scratch(spark).stage(df.repartition(16), "hot")
+
+
+@pytest.fixture
+def conf(spark):
+    changed = {}
+
+    def put(key, value):
+        changed.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in changed.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def plan(df, run=False):
+    if run:
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def lookup(spark):
+    table = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"), F.lit(1).alias("version"))
+    return Scratch(spark).stage(latest_lookup(table, ["k"], ["v"], ["version"]), "lookup")
+
+
+def test_small_lookup_is_broadcast(spark, hot):
+    text = plan(enrich_left(hot, lookup(spark), ["k"], ["v"]))
+    assert "BroadcastHashJoin" in text and "LeftOuter" in text and "hashpartitioning" not in text
+
+
+def test_hot_key_is_split_when_the_lookup_is_too_large_to_broadcast(spark, hot, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "500KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500KB")
+    joined = enrich_left(hot, lookup(spark), ["k"], ["v"])
+    # The aggregate on the same key would otherwise reuse the join's partitioning.
+    result = joined.groupBy("k").agg(F.count("v").alias("n"), F.max("text"))
+    text = plan(result, run=True)
+    assert "SortMergeJoin(skew=true)" in text
+    assert joined.filter("v is null").count() == hot.filter("k is null").count() == N // 3
+    assert joined.filter("k = 7 and v = 14").count() == hot.filter("k = 7").count() > N // 3 - 1
+
+
+def test_latest_row_limits_groups_before_the_shuffle(spark, hot):
+    text = plan(latest_by(hot, ["k"], ["id"]))
+    assert text.index("Final") < text.index("hashpartitioning") < text.index("Partial")
+    result = latest_by(hot, ["k"], ["id"])
+    assert result.count() == hot.select("k").distinct().count()
+
+
+def test_pages_of_a_hot_entity_are_spread(spark, hot):
+    pages = paginate(hot, ["k"], Scratch(spark), 10, block=20)
+    per_task = [r.n for r in pages.filter("k = 7").groupBy(F.spark_partition_id()).agg(F.sum("count").alias("n")).collect()]
+    assert sum(per_task) == hot.filter("k = 7").count() and max(per_task) < sum(per_task) / 2
+    assert pages.agg(F.sum("count")).first()[0] == N
+
+
+def test_scope_prunes_folders(spark, folder):
+    rows = [("o", r, "2026", "04", d, "02", "o") for r in ("r", "s") for d in ("05", "06")]
+    df = spark.createDataFrame(rows, "owner string, repo string, yyyy string, mm string, dd string, hh string, x string")
+    df.write.partitionBy("yyyy", "mm", "dd", "hh", "owner", "repo").json(folder + "/b")
+    scoped = scan_envelopes(spark, folder + "/b", "owner string, repo string, x string", Scope("2026-04-06", "o", "r"))
+    text = plan(scoped)
+    assert "(owner#" in text and "PushedFilters: []" in text and "ReadSchema: struct<x:string>" in text
+    assert len(scoped.inputFiles()) == 2  # only the date is listed; the entity is a partition filter
+    assert scoped.count() == 1
+
+
+def test_gate_reads_each_frame_once_for_row_rules(spark, hot):
+    text = plan(evaluate(hot, rules_for(["k", "id"], ["text"], ["id"])))
+    assert text.count("FileScan") == 1
+    only_keys = plan(evaluate(hot, rules_for(unique=["id"])))
+    assert "ReadSchema: struct<id:bigint>" in only_keys and "text" not in only_keys.split("ReadSchema")[1]
+
+
+def test_skewed_partition_is_written_by_several_tasks(spark, hot, folder, conf):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500KB")
+    df = hot.withColumn("part", F.when(F.col("k") == 7, "hot").otherwise("cold"))
+    upsert(df, folder + "/t", ["id"], ["part"])
+    files = [f for f in read_table(spark, folder + "/t").inputFiles() if "part=hot" in f]
+    assert 2 <= len(files) <= 64
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
+    assert shared_folder(spark)
