@@ -9,7 +9,6 @@ from bindings.common import (
     CUSTOMER_SQL,
     DAY,
     EVENT_FIELDS,
-    EVENT_RECORD,
     EVENT_SCHEMA,
     RUN_TS,
     customer_records,
@@ -21,13 +20,13 @@ from bindings.common import (
 from silvermill.functions.columns import iso_text, parse_ts, snapshot_date, time_parts, url_param
 from silvermill.operators.flatten import flatten_pages, flatten_snapshots
 from silvermill.operators.paging import count_pages, plan_pages
-from silvermill.plans.landing import land_snapshots
+from silvermill.plans.landing import land_remote, land_snapshots
 from silvermill.plans.specs import Store
 from silvermill.session import Scratch
 from silvermill.sinks.landing import landed_totals, page_envelopes
 from silvermill.sources.entities import scope_entities
 from silvermill.sources.envelopes import Scope, scan_envelopes
-from silvermill.sources.paged import ReplayTransport, decode_pages, fetch_pages, request_params
+from silvermill.sources.paged import ReplayTransport
 
 EVENTS_SQL = "select event_id, ts, user_id, event_type, value from events"
 
@@ -191,18 +190,17 @@ def record_responses(spark, sf) -> str:
             "owner", "repo", "page", "url", F.to_json("data").alias("body"),
             link(F.col("page") + 1).alias("next_url"), link(F.col("pages")).alias("last_url"),
         )
-        rows.sortWithinPartitions("owner", "repo", "page").write.partitionBy("owner", "repo").parquet(path)
+        rows.sortWithinPartitions("owner", "repo", "page").write.partitionBy("owner", "repo").parquet(path + "/events")
     return path
 
 
 @query("paged_source", EVENTS_SQL)
 def paged_source(spark, sf):
-    entities = event_records(spark, sf).select("owner", "repo")
-    params = request_params("events")
+    """Recorded pages asked for one by one by Spark tasks, landed as received, scanned, flattened."""
+    store = Store(Scratch(spark).path("bronze"), Scratch(spark).path("silver"))
     transport = ReplayTransport(record_responses(spark, sf))
-    responses = fetch_pages(entities, transport, Scratch(spark), params)
-    pages = decode_pages(responses, EVENT_RECORD, "events", RUN_TS.isoformat(), params)
-    return flatten_pages(pages, EVENT_FIELDS)
+    land_remote(spark, store, "events", event_records(spark, sf), transport, RUN_TS)
+    return flatten_pages(scan_envelopes(spark, store.landed("events"), EVENT_SCHEMA, Scope(DAY)), EVENT_FIELDS)
 
 
 @query(

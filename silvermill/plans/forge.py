@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from silvermill.plans.audit import Run
 from silvermill.plans.jobs import run_entity, run_snapshot, run_split_entity
+from silvermill.plans.landing import land_remote, land_remote_snapshots
 from silvermill.plans.specs import Feed, Lookup, Store, Table
+from silvermill.sources.entities import scope_entities
 from silvermill.sources.envelopes import Scope
+from silvermill.sources.paged import Transport
 
 # Envelope fields read, and the output columns they become, in order.
 
@@ -150,6 +153,18 @@ PULLS = Table(
 REPO_IDS = Lookup("repo_metadata", key=("repo_full_name",), values=("repo_id",))
 
 
+def land_run(
+    spark: SparkSession, store: Store, entities: DataFrame, transport: Transport, run_ts: datetime,
+    since: datetime, until: datetime, scheduled: bool = True, owner: str | None = None, repo: str | None = None,
+) -> None:
+    """Land an interval of all endpoints for all listed entities, or for one. Issues have no upper
+    bound, as a later change must not hide them. Only scheduled runs move the high-water marks."""
+    entities = scope_entities(entities, owner, repo)
+    land_remote_snapshots(store, REPO_FEED.endpoint, entities, transport, run_ts)
+    land_remote(spark, store, ISSUE_FEED.endpoint, entities, transport, run_ts, since, mark=scheduled)
+    land_remote(spark, store, COMMIT_FEED.endpoint, entities, transport, run_ts, since, until, mark=scheduled)
+
+
 def with_layout(feed: Feed, layout: str) -> Feed:
     return Feed(feed.endpoint, feed.schema, feed.fields, layout)
 

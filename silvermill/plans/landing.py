@@ -7,12 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silvermill.functions.columns import iso_text
 from silvermill.operators.incremental import after_marks, in_states, in_window
 from silvermill.plans.specs import Store
 from silvermill.session import Scratch
 from silvermill.sinks.landing import ENTITY, land, page_envelopes, snapshot_envelopes
 from silvermill.sinks.upsert import SilverTable, read_table, upsert
-from silvermill.sources.paged import Transport, decode_pages, fetch_pages, request_params
+from silvermill.sources.paged import Transport, fetch_entities, fetch_pages, raw_envelopes
 
 MARK_KEYS = ("owner", "repo", "endpoint")
 
@@ -64,19 +65,35 @@ def land_records(
 
 
 def land_remote(
-    spark: SparkSession, store: Store, endpoint: str, entities: DataFrame, transport: Transport, record: str,
-    run_ts: datetime, since: datetime | None = None, until: datetime | None = None, mark: bool = False, **given,
+    spark: SparkSession, store: Store, endpoint: str, entities: DataFrame, transport: Transport,
+    run_ts: datetime, since: datetime | None = None, until: datetime | None = None,
+    incremental: bool = True, mark: bool = False, given: dict | None = None,
 ) -> None:
-    """Land all pages a paged remote source has for the listed entities; the remote applies the bounds."""
-    params = request_params(
-        endpoint, since=since and since.isoformat(), until=until and until.isoformat(), **given
-    )
+    """Land all pages a paged remote source has for the listed entities; the remote applies the
+    bounds. Lower bound: ``since``, else when incremental each entity's high-water mark, else none."""
+    upper = until.isoformat() if until else None
     with Scratch(spark) as scratch:
-        responses = fetch_pages(entities, transport, scratch, params)
-        land(decode_pages(responses, record, endpoint, run_ts.isoformat(), params), store.landed(endpoint))
-    if mark:
-        run = F.lit(run_ts).cast("timestamp").alias("last_run")
-        write_marks(entities.select(*ENTITY, F.lit(endpoint).alias("endpoint"), run).distinct(), store.table("_marks"))
+        asked = entities.select(*ENTITY).distinct()
+        marks = read_marks(spark, store.table("_marks"), endpoint) if incremental and since is None else None
+        if marks is not None:
+            bound = marks.select(*ENTITY, iso_text("last_run").alias("since"))
+            asked = asked.join(bound, list(ENTITY), "left")
+        else:
+            asked = asked.withColumn("since", F.lit(since.isoformat() if since else None).cast("string"))
+        asked = scratch.stage(asked, "entities")
+        responses = fetch_pages(asked, transport, endpoint, scratch, upper, given)
+        land(raw_envelopes(responses, endpoint, run_ts, upper, given), store.landed(endpoint))
+        if mark:
+            run = F.lit(run_ts).cast("timestamp").alias("last_run")
+            write_marks(asked.select(*ENTITY, F.lit(endpoint).alias("endpoint"), run), store.table("_marks"))
+
+
+def land_remote_snapshots(
+    store: Store, endpoint: str, entities: DataFrame, transport: Transport, run_ts: datetime
+) -> None:
+    """Ask for each listed entity itself and land one envelope per entity."""
+    envelopes = raw_envelopes(fetch_entities(entities, transport, endpoint), endpoint, run_ts)
+    land(envelopes.drop("params", "url", "count"), store.landed(endpoint), by_entity=False)
 
 
 def land_snapshots(

@@ -1,9 +1,9 @@
-"""Paged remote source: page requests planned, spread and sent by Spark tasks.
+"""Paged remote source: requests planned, spread and sent by Spark tasks.
 
-A transport answers single page requests. Each entity's first page tells how many pages there
-are; those are planned as rows, shuffled by block and fetched by ``mapInArrow``. The tasks pass
-the response text on; the JSON is parsed by Spark afterwards. A request that fails fails its
-task, and after Spark's retries the job.
+A transport answers single requests. Each entity's first page tells how many pages there are;
+those are planned as rows, shuffled by block and fetched by ``mapInArrow``. The tasks pass the
+response text on untouched; Spark parses it afterwards. A request that fails fails its task, and
+after Spark's retries the job.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ from silvermill.session import Scratch
 # Executors need not have this package installed: what they run is sent by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-RESPONSE_SCHEMA = "owner string, repo string, page bigint, url string, fetched_at string, body string"
-
 
 @dataclass(frozen=True)
 class Response:
@@ -41,44 +39,47 @@ class Response:
 
 
 class Transport(Protocol):
-    """Sends one request: a page by number, or by the URL an earlier response named."""
+    """Sends one request: the entity itself (no page), a page by number, or a page by the URL an
+    earlier response named."""
 
     def get(
-        self, owner: str, repo: str, params: dict, page: int | None = None, url: str | None = None
+        self, owner: str, repo: str, endpoint: str, params: dict, page: int | None = None, url: str | None = None
     ) -> Response: ...
 
 
 @dataclass(frozen=True)
 class ReplayTransport:
-    """Answers from recorded responses: Parquet under ``path/owner=…/repo=…``, sorted by page,
-    with the columns page, url, body, next_url, last_url."""
+    """Answers pages from recorded responses: Parquet under ``path/endpoint/owner=…/repo=…``,
+    sorted by page, with the columns page, url, body, next_url, last_url. Bounds and states in
+    the request are not applied: what was recorded is what is answered."""
 
     path: str
     block: int = 100
     _block: dict = field(default_factory=dict, compare=False, repr=False)
 
-    def get(self, owner, repo, params, page=None, url=None):
+    def get(self, owner, repo, endpoint, params, page=None, url=None):
         if url is not None:
             page = int(parse_qs(urlsplit(url).query)["page"][0])
-        found = self._pages(owner, repo, (page - 1) // self.block).get(page)
+        found = self._pages(endpoint, owner, repo, (page - 1) // self.block).get(page)
         if found is None:
             if page == 1:
                 return Response(url="", body="[]")
-            raise LookupError(f"no recorded page {page} of {owner}/{repo}")
+            raise LookupError(f"no recorded page {page} of {owner}/{repo} {endpoint}")
         return Response(**{k: found[k] for k in ("url", "body", "next_url", "last_url")})
 
-    def _pages(self, owner, repo, block):
+    def _pages(self, *key):
         """The recorded pages of one block; the last block read stays in memory."""
-        if (owner, repo, block) not in self._block:
+        if key not in self._block:
+            endpoint, owner, repo, block = key
             low = block * self.block
             wanted = (ds.field("page") > low) & (ds.field("page") <= low + self.block)
-            rows = self._rows(owner, repo).filter(wanted).to_table().to_pylist()
+            rows = self._rows(endpoint, owner, repo).filter(wanted).to_table().to_pylist()
             self._block.clear()
-            self._block[owner, repo, block] = {row["page"]: row for row in rows}
-        return self._block[owner, repo, block]
+            self._block[key] = {row["page"]: row for row in rows}
+        return self._block[key]
 
-    def _rows(self, owner, repo):
-        where = self.path.replace("s3a://", "s3://", 1)
+    def _rows(self, endpoint, owner, repo):
+        where = f"{self.path}/{endpoint}".replace("s3a://", "s3://", 1)
         fs, root = pafs.FileSystem.from_uri(where if "://" in where else f"file://{where.removeprefix('file:')}")
         keys = pa.schema([("owner", pa.string()), ("repo", pa.string())])
         recorded = ds.dataset(root, format="parquet", filesystem=fs, partitioning=ds.partitioning(keys, flavor="hive"))
@@ -86,23 +87,21 @@ class ReplayTransport:
 
 
 def request_params(
-    endpoint: str,
-    page_size: int = PAGE_SIZE,
-    since: str | None = None,
-    until: str | None = None,
-    state: str | None = "all",
-    stateful_endpoints: tuple[str, ...] = ("issues",),
-    **given,
+    endpoint: str, since: str | None = None, until: str | None = None, given: dict | None = None
 ) -> dict:
-    """Defaults of a page request; what the caller gives wins."""
-    params = {"per_page": page_size}
-    if endpoint in stateful_endpoints:
-        params["state"] = state
+    """Parameters of a page request: defaults and bounds, under what the caller gives."""
+    params = {"per_page": PAGE_SIZE}
+    if endpoint in STATEFUL_ENDPOINTS:
+        params["state"] = "all"
     if since:
         params["since"] = since
     if until:
         params["until"] = until
-    return {**params, **given}
+    return {**params, **(given or {})}
+
+
+# Fixed value: the endpoint whose records have a state; without the parameter only open ones come.
+STATEFUL_ENDPOINTS = ("issues",)
 
 
 def pages_named_by(first: Response) -> int | None:
@@ -134,71 +133,96 @@ def _per_row(send: Callable[[dict], Iterator[dict]], columns: dict[str, pa.DataT
     return run
 
 
-_KEYS = {"owner": pa.string(), "repo": pa.string()}
+_KEYS = {"owner": pa.string(), "repo": pa.string(), "since": pa.string()}
+_KEYS_DDL = "owner string, repo string, since string"
 _ANSWER = {**_KEYS, "page": pa.int64(), "url": pa.string(), "fetched_at": pa.string(), "body": pa.string()}
+_ANSWER_DDL = f"{_KEYS_DDL}, page bigint, url string, fetched_at string, body string"
+
+
+def _answer(row: dict, page: int | None, response: Response) -> dict:
+    now = datetime.now(timezone.utc).isoformat()
+    return {**{k: row[k] for k in _KEYS}, "page": page, "url": response.url, "fetched_at": now, "body": response.body}
+
+
+def _requests(entities: DataFrame, tasks: int) -> DataFrame:
+    """One row per entity (owner, repo, and since where it has one), spread over ``tasks``. A
+    fixed number: AQE would see a few bytes of names and send all requests from one task."""
+    since = F.col("since") if "since" in entities.columns else F.lit(None).cast("string").alias("since")
+    return entities.select("owner", "repo", since).dropDuplicates(["owner", "repo"]).repartition(tasks, "owner", "repo")
+
+
+def fetch_entities(entities: DataFrame, transport: Transport, endpoint: str, tasks: int | None = None) -> DataFrame:
+    """One response per entity, about the entity itself."""
+    tasks = tasks or entities.sparkSession.sparkContext.defaultParallelism
+
+    def send(row):
+        yield _answer(row, None, transport.get(row["owner"], row["repo"], endpoint, {}))
+
+    return _requests(entities, tasks).mapInArrow(_per_row(send, _ANSWER), _ANSWER_DDL)
 
 
 def fetch_pages(
     entities: DataFrame,
     transport: Transport,
+    endpoint: str,
     scratch: Scratch,
-    params: dict | None = None,
+    until: str | None = None,
+    given: dict | None = None,
     block: int = 10,
     tasks: int | None = None,
 ) -> DataFrame:
-    """All pages of the entities (owner, repo) as rows of ``RESPONSE_SCHEMA``.
+    """All pages of the entities: owner, repo, since, page, url, fetched_at, body.
 
+    ``entities`` has owner, repo and optionally since, the lower bound sent for that entity.
     Known page counts are fetched in parallel, ``block`` pages to a shuffle key. An entity whose
     count is unknown is followed link by link in one task, the only order it can be read in.
-    ``tasks`` is fixed rather than left to AQE, which would see a few bytes of page numbers and
-    send all requests from one task.
     """
-    params = params or {}
     tasks = tasks or scratch.spark.sparkContext.defaultParallelism
 
-    def answer(row, page, response):
-        now = datetime.now(timezone.utc).isoformat()
-        return {**{k: row[k] for k in _KEYS}, "page": page, "url": response.url, "fetched_at": now, "body": response.body}
+    def get(row, page=None, url=None):
+        params = request_params(endpoint, row["since"], until, given)
+        return transport.get(row["owner"], row["repo"], endpoint, params, page=page, url=url)
 
     def probe(row):
-        first = transport.get(row["owner"], row["repo"], params, page=1)
-        yield {**{k: row[k] for k in _KEYS}, "pages": pages_named_by(first)}
+        yield {**{k: row[k] for k in _KEYS}, "pages": pages_named_by(get(row, page=1))}
 
     def one_page(row):
-        yield answer(row, row["page"], transport.get(row["owner"], row["repo"], params, page=row["page"]))
+        yield _answer(row, row["page"], get(row, page=row["page"]))
 
     def follow(row):
-        page, response = 1, transport.get(row["owner"], row["repo"], params, page=1)
-        yield answer(row, page, response)
+        page, response = 1, get(row, page=1)
+        yield _answer(row, page, response)
         while response.next_url:
-            page, response = page + 1, transport.get(row["owner"], row["repo"], params, url=response.next_url)
-            yield answer(row, page, response)
+            page, response = page + 1, get(row, url=response.next_url)
+            yield _answer(row, page, response)
 
-    keys = entities.select("owner", "repo").distinct().repartition(tasks, "owner", "repo")
-    probed = keys.mapInArrow(_per_row(probe, {**_KEYS, "pages": pa.int64()}), "owner string, repo string, pages bigint")
+    probed = _requests(entities, tasks).mapInArrow(
+        _per_row(probe, {**_KEYS, "pages": pa.int64()}), f"{_KEYS_DDL}, pages bigint"
+    )
     # Staged, so that both branches below see the same answer and no entity is asked twice.
     totals = scratch.stage(probed, "totals")
-    known = plan_pages(totals, ["owner", "repo"], block, tasks)
+    known = plan_pages(totals, list(_KEYS), block, tasks)
     unknown = totals.filter("pages is null").repartition(tasks, "owner", "repo")
-    return known.mapInArrow(_per_row(one_page, _ANSWER), RESPONSE_SCHEMA).unionByName(
-        unknown.mapInArrow(_per_row(follow, _ANSWER), RESPONSE_SCHEMA)
+    return known.mapInArrow(_per_row(one_page, _ANSWER), _ANSWER_DDL).unionByName(
+        unknown.mapInArrow(_per_row(follow, _ANSWER), _ANSWER_DDL)
     )
 
 
-def decode_pages(responses: DataFrame, record: str, endpoint: str, batch_timestamp: str, params: dict) -> DataFrame:
-    """Responses to page envelopes; ``record`` is the DDL type of one record. Text that is not
-    such an array fails the job."""
-    sent = F.struct(
-        *[F.lit(v).alias(k) for k, v in params.items()], F.col("page")
-    )
-    data = F.from_json("body", f"array<{record}>", {"mode": "FAILFAST"})
+def raw_envelopes(
+    responses: DataFrame, endpoint: str, run_ts: datetime, until: str | None = None, given: dict | None = None
+) -> DataFrame:
+    """Responses to envelopes whose data keeps every field that was received, as a variant. Text
+    that is not JSON fails the job."""
+    sent = request_params(endpoint, None, until, given)
+    params = {"page": F.col("page"), "since": F.col("since"), **{k: F.lit(v) for k, v in sent.items()}}
     return responses.select(
         "owner",
         "repo",
         "fetched_at",
-        F.lit(batch_timestamp).alias("batch_timestamp"),
         F.lit(endpoint).alias("endpoint"),
-        sent.alias("params"),
+        F.struct(*[value.alias(name) for name, value in params.items()]).alias("params"),
         "url",
-        data.alias("data"),
-    ).withColumn("count", F.size("data").cast("long"))
+        F.json_array_length("body").cast("long").alias("count"),
+        F.parse_json("body").alias("data"),
+        F.lit(run_ts.isoformat()).alias("batch_timestamp"),
+    )

@@ -14,6 +14,7 @@ from silvermill.plans.jobs import backfill
 from silvermill.plans.specs import Store
 from silvermill.sinks.upsert import read_table
 from silvermill.sources.envelopes import Scope
+from silvermill.sources.paged import Response
 from silvermill.streaming.ingest import stream_entity
 
 RUN = datetime(2026, 4, 6, 3, tzinfo=timezone.utc)
@@ -244,3 +245,33 @@ def test_cli(spark, folder):
         cli.main(["repos", *base, "2026-04-06", "--owner", "o"])
     with pytest.raises(SystemExit):
         cli.main(["repos", *base, "not-a-date"])
+
+
+class Forge:
+    """A remote with two repositories; issues come without a last link."""
+
+    def get(self, owner, repo_name, endpoint, params, page=None, url=None):
+        if endpoint == "repo_metadata":
+            return Response("u", json.dumps(repo({"r": 1, "s": 2}[repo_name], f"{owner}/{repo_name}")))
+        if endpoint == "commits":
+            assert params["until"] and params["since"]
+            body = [commit(f"{repo_name}{page}{i}") for i in range(2)]
+            return Response("u", json.dumps(body), "n", "https://x.org/?page=3")
+        assert params["state"] == "all" and "until" not in params
+        page = page or int(url)
+        body = [issue(page, pull_request={} if page == 2 else None)]
+        return Response("u", json.dumps(body), str(page + 1) if page < 3 else None)
+
+
+def test_landing_run_to_tables(spark, folder):
+    store = Store(folder + "/bronze", folder + "/silver")
+    entities = spark.createDataFrame([("o", "r"), ("o", "s")], "owner string, repo string")
+    since, until = datetime(2026, 3, 30, tzinfo=timezone.utc), datetime(2026, 4, 6, tzinfo=timezone.utc)
+    forge.land_run(spark, store, entities, Forge(), until, since, until)
+    repos, commits, issues = forge.run_date(spark, store, Scope("2026-04-06"))
+    assert (repos.pages, commits.pages, commits.records, issues.pages) == (2, 6, 12, 6)
+    assert issues.rows_written == {"issues": 4, "pulls": 2}
+    table = read_table(spark, store.table("commits"))
+    assert table.groupBy("repo_full_name", "repo_id").count().count() == 2 and table.count() == 12
+    with pytest.raises(ValueError, match="not in the entity list"):
+        forge.land_run(spark, store, entities, Forge(), until, since, until, owner="o", repo="none")

@@ -1,6 +1,7 @@
 """Page numbering, page plans and the paged remote source."""
 
 import json
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,16 +9,13 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from silvermill.operators.paging import count_pages, paginate, plan_pages
+from silvermill.plans.landing import land_remote, land_remote_snapshots, read_marks
+from silvermill.plans.specs import Store
 from silvermill.session import Scratch
-from silvermill.sources.paged import (
-    ReplayTransport,
-    Response,
-    decode_pages,
-    fetch_pages,
-    pages_named_by,
-    request_params,
-)
+from silvermill.sources.envelopes import Scope, scan_envelopes
+from silvermill.sources.paged import ReplayTransport, Response, pages_named_by, request_params
 
+RUN = datetime(2026, 4, 6, 2, tzinfo=timezone.utc)
 few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -65,9 +63,9 @@ def test_page_count_from_links():
 
 
 def test_request_params():
-    assert request_params("commits", since="s", until="u") == {"per_page": 100, "since": "s", "until": "u"}
+    assert request_params("commits", "s", "u") == {"per_page": 100, "since": "s", "until": "u"}
     assert request_params("issues") == {"per_page": 100, "state": "all"}
-    assert request_params("issues", state="open", per_page=5) == {"per_page": 5, "state": "open"}
+    assert request_params("issues", given={"state": "open", "per_page": 5}) == {"per_page": 5, "state": "open"}
 
 
 def record(spark, folder, with_last=True):
@@ -76,31 +74,77 @@ def record(spark, folder, with_last=True):
     for owner, repo, pages in (("a", "x", 12), ("b", "y", 1)):
         for p in range(1, pages + 1):
             link = f"https://x.org/{owner}/{repo}?page="
-            rows.append((owner, repo, p, link + str(p), json.dumps([{"id": p * 10}, {"id": p * 10 + 1}]),
+            rows.append((owner, repo, p, link + str(p), json.dumps([{"id": p * 10, "more": {"+1": p}}, {"id": p * 10 + 1}]),
                          link + str(p + 1) if p < pages else None, link + str(pages) if with_last and p < pages else None))
     schema = "owner string, repo string, page long, url string, body string, next_url string, last_url string"
-    spark.createDataFrame(rows, schema).coalesce(1).write.partitionBy("owner", "repo").parquet(folder + "/recorded")
+    df = spark.createDataFrame(rows, schema).coalesce(1)
+    df.write.partitionBy("owner", "repo").parquet(folder + "/recorded/things")
     return ReplayTransport(folder + "/recorded", block=5)
 
 
 @pytest.mark.parametrize("with_last", [True, False])
-def test_fetch(spark, folder, with_last):
+def test_fetch_and_land(spark, folder, with_last):
     transport = record(spark, folder, with_last)
     entities = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z"), ("a", "x")], "owner string, repo string")
-    responses = fetch_pages(entities, transport, Scratch(spark), {"per_page": 2}, block=2)
-    pages = decode_pages(responses, "struct<id bigint>", "things", "2026-04-06T02:00:00Z", {"per_page": 2}).collect()
+    store = Store(folder + "/bronze", folder + "/silver")
+    land_remote(spark, store, "things", entities, transport, RUN, given={"per_page": 2}, mark=True)
+    schema = """owner string, repo string, url string, count bigint, batch_timestamp string,
+    params struct<per_page bigint, page bigint, since string>, data array<struct<id bigint, more struct<`+1` int>>>"""
+    pages = scan_envelopes(spark, store.landed("things"), schema, Scope("2026-04-06")).collect()
     assert sorted((p.owner, p.params.page, p["count"]) for p in pages) == [("a", i, 2) for i in range(1, 13)] + [("b", 1, 2)]
     assert {r.id for p in pages for r in p.data} == {p * 10 + i for p in range(1, 13) for i in (0, 1)}
+    assert {r.id: r.more["+1"] for p in pages for r in p.data if p.owner == "a" and r.more}[70] == 7
+    assert all(p.params.per_page == 2 and p.url.endswith(f"page={p.params.page}") for p in pages)
+    marks = read_marks(spark, store.table("_marks"), "things")
+    assert {(r.owner, r.repo) for r in marks.collect()} == {("a", "x"), ("b", "y"), ("c", "z")}
+
+
+class Bounded:
+    """Answers with the bounds it was asked for."""
+
+    def get(self, owner, repo, endpoint, params, page=None, url=None):
+        if page is None and url is None:
+            return Response(f"u/{owner}", json.dumps({"id": 5, "full_name": f"{owner}/{repo}"}))
+        return Response("u", json.dumps([{"since": params.get("since"), "until": params.get("until")}]))
+
+
+def test_marks_bound_the_next_run(spark, folder):
+    store = Store(folder + "/bronze", folder + "/silver")
+    one = spark.createDataFrame([("a", "x")], "owner string, repo string")
+    two = spark.createDataFrame([("a", "x"), ("b", "y")], "owner string, repo string")
+    later = RUN + timedelta(days=7)
+    land_remote(spark, store, "commits", one, Bounded(), RUN, mark=True)
+    land_remote(spark, store, "commits", two, Bounded(), later, until=later)
+    schema = "owner string, params struct<since string, until string>, data array<struct<since string, until string>>"
+
+    def asked(day):
+        rows = scan_envelopes(spark, store.landed("commits"), schema, Scope(day)).collect()
+        assert all(tuple(r.params) == tuple(r.data[0]) for r in rows)
+        return {r.owner: tuple(r.params) for r in rows}
+
+    assert asked("2026-04-06") == {"a": (None, None)}
+    until = "2026-04-13T02:00:00+00:00"
+    assert asked("2026-04-13") == {"a": ("2026-04-06T02:00:00.000000Z", until), "b": (None, until)}
+
+
+def test_remote_snapshots(spark, folder):
+    store = Store(folder + "/bronze", folder + "/silver")
+    two = spark.createDataFrame([("a", "x"), ("b", "y")], "owner string, repo string")
+    land_remote_snapshots(store, "repo_metadata", two, Bounded(), RUN)
+    df = scan_envelopes(spark, store.landed("repo_metadata"), "owner string, data struct<id bigint, full_name string>")
+    assert sorted((r.owner, r.data.id, r.data.full_name) for r in df.collect()) == [("a", 5, "a/x"), ("b", 5, "b/y")]
 
 
 class Failing:
-    def get(self, owner, repo, params, page=None, url=None):
+    def get(self, owner, repo, endpoint, params, page=None, url=None):
         if page == 3:
             raise OSError("page 3 is gone")
         return Response("u", "[1]", "n", "https://x.org/?page=4")
 
 
-def test_a_failed_page_fails_the_fetch(spark):
+def test_a_failed_page_fails_the_run_and_sets_no_mark(spark, folder):
+    store = Store(folder + "/bronze", folder + "/silver")
     entities = spark.createDataFrame([("a", "x")], "owner string, repo string")
     with pytest.raises(Exception, match="page 3 is gone"):
-        fetch_pages(entities, Failing(), Scratch(spark)).count()
+        land_remote(spark, store, "commits", entities, Failing(), RUN, mark=True)
+    assert read_marks(spark, store.table("_marks"), "commits") is None
