@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -14,9 +15,17 @@ from silvermill.functions.columns import run_stamp, snapshot_date
 def flatten_pages(envelopes: DataFrame, fields: Sequence[str], data: str = "data") -> DataFrame:
     """One row per record of the page's array; a null or empty array gives no row.
 
-    ``fields`` are select expressions over the envelope's columns and ``record``.
+    ``fields`` are select expressions over the envelope's columns and ``record``. Those that do
+    not name ``record`` are computed once per page, before the array is exploded.
     """
-    return envelopes.withColumn("record", F.explode(data)).selectExpr(*fields)
+    of_record = [re.search(r"\brecord\b", f) is not None for f in fields]
+    pages = envelopes.select(
+        F.col(data).alias("_data"), *[F.expr(f) for f, inner in zip(fields, of_record) if not inner]
+    )
+    of_page = iter(pages.columns[1:])
+    return pages.withColumn("record", F.explode("_data")).select(
+        *[F.expr(f) if inner else F.col(f"`{next(of_page)}`") for f, inner in zip(fields, of_record)]
+    )
 
 
 def flatten_snapshots(envelopes: DataFrame, fields: Sequence[str]) -> DataFrame:

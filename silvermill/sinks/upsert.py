@@ -48,7 +48,7 @@ class SilverTable:
 
     def write_folder(self, rows: DataFrame, partition_by: Sequence[str]) -> list[str]:
         """Write rows to a folder of their own; returns its partition folders, or just itself."""
-        folder = f"_v={uuid.uuid4().hex}"
+        folder = f"_v={uuid.uuid4().int >> 66}"
         writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
         writer.parquet(f"{self.path}/{folder}")
         leaves = glob(self.spark, "/".join([self.path, folder, *["*=*"] * len(partition_by)]))
@@ -112,14 +112,21 @@ def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def _touched(draft: Draft, source_keys: DataFrame, keys: Sequence[str]) -> set[str]:
-    """Folders of the table that hold a source key, from the key columns alone. At most one value
-    per folder reaches the driver."""
+    """Folders of the table that hold a source key, from the key columns and the folder's own
+    values alone. At most one row per folder reaches the driver."""
     if not draft.state["folders"]:
         return set()
-    place = F.regexp_extract("_metadata.file_path", r"(_v=.*)/[^/]+$", 1)
+    place = [F.col(c).cast("string").alias(f"_in_{c}") for c in ("_v", *draft.partition_by)]
     old = draft.table.read_folders(draft.state["folders"], draft.schema)
-    hits = old.select(*keys, place.alias("folder")).join(source_keys, list(keys), "left_semi")
-    return {unquote(row.folder) for row in hits.select("folder").distinct().collect()}
+    hits = old.select(*keys, *place).join(source_keys, list(keys), "left_semi")
+    values = {tuple(row) for row in hits.select(*[c for c in hits.columns if c.startswith("_in_")]).distinct().collect()}
+    return {f for f in draft.state["folders"] if _folder_values(f) in values}
+
+
+def _folder_values(folder: str) -> tuple[str | None, ...]:
+    """``_v=1/day=2026-04-06`` to its values, as Spark reads them."""
+    values = (unquote(part.split("=", 1)[1]) for part in folder.split("/"))
+    return tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values)
 
 
 def merge(draft: Draft, keys: Sequence[str], newer_by: str | None = None, unique: bool = False) -> None:
