@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,13 +20,23 @@ def latest_by(
     runs before the shuffle as well: a hot key sends one row per input task.
     """
     if ties is None:
-        ties = [F.xxhash64(*df.columns)]
+        ties = [_row_hash(df)]
     newest_first = [F.col(c).desc_nulls_last() for c in order]
-    newest_first += [F.col(c).desc_nulls_last() if isinstance(c, str) else c.desc() for c in ties]
+    newest_first += [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in ties]
     window = Window.partitionBy(*keys).orderBy(*newest_first)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """Hash of all columns; maps and variants, which have no hash, by their JSON text."""
+    return F.xxhash64(
+        *[
+            F.to_json(F.struct(f.name)) if re.search("map<|variant", f.dataType.simpleString()) else F.col(f"`{f.name}`")
+            for f in df.schema
+        ]
+    )
+
+
 def latest_lookup(
     table: DataFrame, key: Sequence[str], values: Sequence[str], version: Sequence[str]
 ) -> DataFrame:

@@ -13,7 +13,7 @@ log = logging.getLogger(__name__)
 
 RUN_SCHEMA = (
     "job_run_id string, job string, status string, process_date string, owner string, repo string, "
-    "started_at timestamp, finished_at timestamp, pages bigint, records bigint, "
+    "started_at timestamp, finished_at timestamp, pages bigint, miscounted_pages bigint, records bigint, "
     "rows_written map<string,bigint>, error string"
 )
 
@@ -34,6 +34,7 @@ class Run:
     started_at: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     finished_at: datetime | None = None
     pages: int | None = None
+    miscounted_pages: int | None = None
     records: int | None = None
     rows_written: dict[str, int] = field(default_factory=dict)
     error: str | None = None

@@ -6,6 +6,7 @@ that, and publishes only after every gate of the job has passed.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -25,6 +26,8 @@ from silvermill.sinks.replace import replace_where
 from silvermill.sinks.upsert import merge, read_table, write_draft
 from silvermill.sources.envelopes import Scope, scan_envelopes
 
+log = logging.getLogger(__name__)
+
 
 def _run(spark: SparkSession, store: Store, job: str, scope: Scope, run_ts: datetime | None) -> Run:
     run = Run(spark, store.table("_runs"), job, scope.process_date, scope.owner, scope.repo)
@@ -43,11 +46,16 @@ def _flat(
         run.spark, store.landed(feed.endpoint), feed.schema, scope, feed.layout, allow_missing=allow_missing
     )
     pages, records = Observation(), Observation()
-    envelopes = envelopes.observe(pages, F.count("*").alias("n"))
+    # A page whose stated count is not the number of its records was cut or altered.
+    stated = paged and "count" in envelopes.columns
+    wrong = F.count_if(F.coalesce(F.size("data"), F.lit(0)) != F.col("count")) if stated else F.count_if(F.lit(False))
+    envelopes = envelopes.observe(pages, F.count("*").alias("n"), wrong.alias("wrong"))
     flatten = flatten_pages if paged else flatten_snapshots
     flat = stamp(flatten(envelopes, feed.fields), run.started_at).observe(records, F.count("*").alias("n"))
     staged = scratch.stage(flat, feed.endpoint, partition_by)
-    run.pages, run.records = pages.get["n"], records.get["n"]
+    run.pages, run.records, run.miscounted_pages = pages.get["n"], records.get["n"], pages.get["wrong"]
+    if run.miscounted_pages:
+        log.warning("job=%s pages with another count than stated: %s", run.job, run.miscounted_pages)
     return staged
 
 
@@ -94,13 +102,16 @@ def upsert_candidate(
 
 
 def check_and_publish(work: Sequence[tuple[Table, Candidate]], lookup: Lookup | None = None) -> dict[str, int]:
-    """Publish all candidates once the gates of all have passed; otherwise drop them. Row counts."""
+    """Publish all candidates once the gates of all have passed; drop those that were not
+    published. Returns row counts."""
+    waiting = [candidate for _, candidate in work]
     try:
         rows = {table.name: _check(candidate.rows, table, "warn", lookup) for table, candidate in work}
-        for _, candidate in work:
-            candidate.publish()
+        while waiting:
+            waiting[0].publish()
+            waiting.pop(0)
     except Exception:
-        for _, candidate in work:
+        for candidate in waiting:
             candidate.discard()
         raise
     return rows

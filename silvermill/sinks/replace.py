@@ -31,9 +31,10 @@ def replace_where(
     offence = F.concat(F.lit(f"row outside the replaced scope of {day}: "), F.to_json(F.struct(*df.columns)))
     rows = df.withColumn(partition, F.when(inside, F.col(partition)).otherwise(F.raise_error(offence)))
 
-    if scope is not None and exists(spark, path):
-        current = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-        rows = rows.unionByName(current.filter(this_day & ~F.coalesce(scope, F.lit(False))))
+    folder = f"{path}/{partition}={day}"
+    if scope is not None and exists(spark, folder):
+        current = spark.read.schema(df.schema).option("basePath", path).parquet(folder).select(*df.columns)
+        rows = rows.unionByName(current.filter(~F.coalesce(scope, F.lit(False))))
 
     written = Observation()
     (
@@ -47,4 +48,4 @@ def replace_where(
     if written.get["rows"] == 0:
         if not allow_empty:
             raise ValueError(f"nothing to publish for {day} at {path}")
-        delete(spark, f"{path}/{partition}={day}")
+        delete(spark, folder)

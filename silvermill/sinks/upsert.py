@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,13 +73,14 @@ class Draft:
     schema: T.StructType
     partition_by: tuple[str, ...]
     folders: list[str]
+    rest: list[str] = field(default_factory=list)  # older rows written again by the merge
 
     @property
     def rows(self) -> DataFrame:
         return self.table.read_folders(self.folders, self.schema).select(*self.schema.fieldNames())
 
     def discard(self) -> None:
-        for folder in {f.split("/")[0] for f in self.folders}:
+        for folder in {f.split("/")[0] for f in self.folders + self.rest}:
             delete(self.table.spark, f"{self.table.path}/{folder}")
 
 
@@ -168,7 +169,8 @@ def merge(draft: Draft, keys: Sequence[str], newer_by: str | None = None, unique
         rest = kept.unionByName(unkeyed)
         if draft.partition_by:
             rest = rest.hint("rebalance", *draft.partition_by)
-        folders += draft.table.write_folder(rest, draft.partition_by)
+        draft.rest = draft.table.write_folder(rest, draft.partition_by)
+        folders += draft.rest
     draft.table.publish(folders, draft.schema, draft.partition_by, draft.state["version"] + 1)
 
 

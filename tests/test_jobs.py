@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silvermill.operators.quality import QualityError
-from silvermill.plans import cli, forge
+from silvermill.plans import cli, forge, jobs
 from silvermill.plans.audit import read_runs
 from silvermill.plans.jobs import backfill
 from silvermill.plans.specs import Store
@@ -26,7 +26,8 @@ class Bronze:
     def __init__(self, root, layout):
         self.root, self.layout, self.n = root, layout, 0
 
-    def put(self, endpoint, owner, repo, data, batch="2026-04-06T02:00:00+00:00", fetched="2026-04-06T02:00:01.5+00:00", text=None):
+    def put(self, endpoint, owner, repo, data, batch="2026-04-06T02:00:00+00:00", fetched="2026-04-06T02:00:01.5+00:00",
+            text=None, count=None):
         day = batch[:10].split("-")
         time = f"yyyy={day[0]}/mm={day[1]}/dd={day[2]}/hh={batch[11:13]}"
         entity = f"{owner}/{repo}" if self.layout == "bare" else f"owner={owner}/repo={repo}"
@@ -37,6 +38,8 @@ class Bronze:
         os.makedirs(path, exist_ok=True)
         self.n += 1
         envelope = {"owner": owner, "repo": repo, "fetched_at": fetched, "batch_timestamp": batch, "endpoint": endpoint, "data": data}
+        if isinstance(data, list):
+            envelope["count"] = len(data) if count is None else count
         with open(f"{path}/{endpoint}_{self.n}.json", "w") as out:
             out.write(text or json.dumps(envelope))
 
@@ -157,14 +160,37 @@ def test_one_bad_part_of_a_split_keeps_both_tables_back(spark, world):
     assert sorted(read_table(spark, store.table("issues")).collect()) == sorted(before)
 
 
-def test_corrupt_file(spark, world):
+def test_a_late_failure_keeps_what_is_published(spark, world, monkeypatch):
+    bronze, store, layout = world
+    fill(bronze)
+    forge.repos_job(spark, store, Scope("2026-04-06"), RUN, layout)
+    merge = jobs.merge
+
+    def failing(draft, *args, **kwargs):
+        if draft.table.path.endswith("pulls"):
+            raise OSError("storage went away")
+        merge(draft, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "merge", failing)
+    with pytest.raises(OSError):
+        forge.issues_job(spark, store, Scope("2026-04-06"), RUN, layout)
+    assert read_table(spark, store.table("issues")).count() == 2
+    assert not os.path.exists(store.table("pulls") + "/_state") and not [
+        f for f in os.listdir(store.table("pulls")) if f.startswith("_v=")]
+    monkeypatch.undo()
+    forge.issues_job(spark, store, Scope("2026-04-06"), RUN, layout)
+    assert read_table(spark, store.table("issues")).count() == read_table(spark, store.table("pulls")).count() == 2
+
+
+def test_corrupt_file_and_wrong_count(spark, world):
     bronze, store, layout = world
     fill(bronze)
     bronze.put("commits", "o", "r", None, text="{broken")
     bronze.put("repo_metadata", "o", "r", repo(1, "o/r"))
     forge.repos_job(spark, store, Scope("2026-04-06"), RUN, layout)
+    bronze.put("commits", "o", "r", [commit("c")], count=2)
     run = forge.commits_job(spark, store, Scope("2026-04-06"), RUN, layout)
-    assert (run.pages, run.records) == (5, 4)  # counted as a page, gives no record
+    assert (run.pages, run.records, run.miscounted_pages) == (6, 5, 1)  # counted as a page, gives no record
     bronze.put("repo_metadata", "o", "r", None, text="{broken")
     with pytest.raises(QualityError, match="not_null"):
         forge.repos_job(spark, store, Scope("2026-04-06"), RUN, layout)

@@ -83,6 +83,12 @@ def test_tie_breaker(spark):
     assert latest_by(df, ["k"], ["at"], ["v"]).first().v == "c"
 
 
+def test_ties_of_rows_with_maps(spark):
+    df = spark.sql("select 1 k, 1 at, map('a', id) m, parse_json('{\"x\": 1}') v from range(5)")
+    first = latest_by(df, ["k"], ["at"]).first().m
+    assert all(latest_by(df.repartition(n), ["k"], ["at"]).first().m == first for n in (2, 3))
+
+
 def test_enrich(spark):
     table = spark.createDataFrame(
         [("a/x", 1, "2026-01-01"), ("a/x", 2, "2026-02-01"), ("B/y", 3, "2026-01-01")],
