@@ -354,10 +354,10 @@ STREAM_TABLE = Table(
 
 @query(
     "land_incremental",
-    """select event_type, count(*) as landed from events where ts > timestamp '2024-01-16' group by event_type""",
+    """select event_type, count(*) as landed from events where ts >= timestamp '2024-01-16' group by event_type""",
 )
 def land_incremental(spark, sf):
-    """A marked run up to 2024-01-16, then a run that takes only what is newer than the marks."""
+    """A marked run up to 2024-01-16, then a run that takes only what the marks leave."""
     store = _store(spark)
     cut = datetime(2024, 1, 16)
     records = event_records(spark, sf).withColumn("at", F.to_timestamp("ts"))

@@ -29,10 +29,15 @@ def marks_of(df: DataFrame, entity: Sequence[str], ts: str, mark: str = "last_ru
 
 
 def after_marks(
-    df: DataFrame, marks: DataFrame, entity: Sequence[str], ts: str, mark: str = "last_run"
+    df: DataFrame, marks: DataFrame, entity: Sequence[str], ts: str, mark: str = "last_run", inclusive: bool = False
 ) -> DataFrame:
-    """Rows newer than their entity's mark; an entity without a mark is loaded in full. As with
-    any lookup, pass ``marks`` as a stored table if they may be many."""
+    """Rows newer than their entity's mark; an entity without a mark is loaded in full.
+
+    ``inclusive`` also takes rows at the mark: for marks that are the open end of a window rather
+    than the newest instant seen. As with any lookup, pass ``marks`` as a stored table if they
+    may be many.
+    """
     low = marks.select(*entity, F.col(mark).alias("_low"))
     joined = df.join(low, list(entity), "left")
-    return joined.filter(F.col("_low").isNull() | (F.col(ts) > F.col("_low"))).select(*df.columns)
+    newer = F.col(ts) >= F.col("_low") if inclusive else F.col(ts) > F.col("_low")
+    return joined.filter(F.col("_low").isNull() | newer).select(*df.columns)

@@ -38,7 +38,8 @@ def land_records(
     """Land one endpoint's records (owner, repo, ``ts``, …) of the listed entities.
 
     Lower bound: ``since`` if given, else each entity's high-water mark, else everything. With
-    ``mark`` the marks move to ``run_ts`` once the pages are landed.
+    ``mark`` the marks move to ``run_ts`` once the pages are landed; rows at a mark belong to the
+    next run, so a run up to ``until=run_ts`` and the next one neither lose nor repeat a row.
     """
     marks_path = store.table("_marks")
     run = F.lit(run_ts).cast("timestamp")
@@ -49,7 +50,7 @@ def land_records(
             chosen = in_states(chosen, *states)
         marks = read_marks(spark, marks_path, endpoint) if since is None else None
         if marks is not None:
-            chosen = after_marks(chosen, marks, ENTITY, ts)
+            chosen = after_marks(chosen, marks, ENTITY, ts, inclusive=True)
         envelopes = page_envelopes(
             chosen.withColumn("batch_ts", run),
             endpoint,

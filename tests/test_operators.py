@@ -141,4 +141,5 @@ def test_incremental(spark):
     assert sum(p.count() for p in parts) == 4
     marks = marks_of(df.filter("e = 'a' and ts < timestamp_ntz '2026-01-03'"), ["e"], "ts")
     assert sorted((r.e, r.ts.day) for r in after_marks(df, marks, ["e"], "ts").collect()) == [("a", 3), ("b", 1)]
+    assert after_marks(df, marks, ["e"], "ts", inclusive=True).count() == 3
     assert in_states(df, "e").count() == 4 and in_states(df, "e", ["b"]).count() == 1

@@ -9,11 +9,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from silvermill.operators.paging import count_pages, paginate, plan_pages
-from silvermill.plans.landing import land_remote, land_remote_snapshots, read_marks
+from silvermill.plans.landing import land_records, land_remote, land_remote_snapshots, read_marks
 from silvermill.plans.specs import Store
 from silvermill.session import Scratch
 from silvermill.sources.envelopes import Scope, scan_envelopes
 from silvermill.sources.paged import ReplayTransport, Response, pages_named_by, request_params
+from silvermill.storage import glob
 
 RUN = datetime(2026, 4, 6, 2, tzinfo=timezone.utc)
 few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -99,6 +100,19 @@ def test_fetch_and_land(spark, folder, with_last):
     assert {(r.owner, r.repo) for r in marks.collect()} == {("a", "x"), ("b", "y"), ("c", "z")}
 
 
+def test_landing_windows_touch(spark, folder):
+    store = Store(folder + "/bronze", folder + "/silver")
+    at = [RUN - timedelta(hours=1), RUN, RUN + timedelta(hours=1), RUN + timedelta(hours=2)]
+    rows = spark.createDataFrame([("a", "x", i, t) for i, t in enumerate(at)], "owner string, repo string, id int, at timestamp")
+    entities = rows.select("owner", "repo")
+    for run in (RUN, RUN + timedelta(hours=2), RUN + timedelta(hours=3)):
+        land_records(spark, store, "things", rows, entities, run, "at", until=run, mark=True)
+    df = scan_envelopes(spark, store.landed("things"), "owner string, params struct<page bigint>, data array<struct<id int>>")
+    assert sorted(tuple(r.id for r in row.data) for row in df.collect()) == [(0,), (1, 2), (3,)]
+    land_records(spark, store, "things", rows.filter("id < 0"), entities, RUN + timedelta(days=1), "at", mark=True)
+    assert not glob(spark, store.landed("things") + "/yyyy=2026/mm=04/dd=07")  # nothing to land, nothing landed
+
+
 class Bounded:
     """Answers with the bounds it was asked for."""
 
