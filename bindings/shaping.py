@@ -29,7 +29,7 @@ RECENT_ORDER_SQL = LATEST_ORDER_SQL.format(where="where " + RECENT)
 
 
 def latest_lines(df):
-    return latest_by(df, LINE_KEYS, LINE_ORDER).select(*LINE_COLUMNS.split(", "))
+    return latest_by(df.select(*LINE_COLUMNS.split(", ")), LINE_KEYS, LINE_ORDER)
 
 
 def recent_orders(spark, sf):

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field, fields
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
@@ -49,7 +51,10 @@ class Run:
         self.finished_at = datetime.now(timezone.utc)
         facts = {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("spark", "path")}
         log.info("%s", facts)
-        row = self.spark.createDataFrame([facts], RUN_SCHEMA).coalesce(1)
+        counts = [F.lit(x) for pair in facts["rows_written"].items() for x in pair]
+        columns = {**{k: F.lit(v) for k, v in facts.items() if k != "rows_written"}, "rows_written": F.create_map(*counts)}
+        kinds = T.StructType.fromDDL(RUN_SCHEMA)
+        row = self.spark.range(1, numPartitions=1).select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in kinds])
         row.write.mode("append").json(self.path)
 
 
