@@ -25,9 +25,17 @@ def snapshot_date(ts: Column | str) -> Column:
     return F.to_date(ts)
 
 
+def instant(at: datetime) -> Column:
+    """A literal that does not depend on the driver's own time zone: a naive datetime is wall
+    time in the session's zone."""
+    if at.tzinfo is not None:
+        return F.lit(at)
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def run_stamp(run_ts: datetime) -> Column:
     """One driver-side instant for all rows of a run."""
-    return F.lit(run_ts).cast("timestamp")
+    return instant(run_ts).cast("timestamp")
 
 
 def time_parts(ts: Column | str) -> dict[str, Column]:

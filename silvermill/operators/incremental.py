@@ -8,13 +8,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silvermill.functions.columns import instant
+
 
 def in_window(df: DataFrame, ts: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
     """Half-open ``[since, until)``, so that windows that touch neither lose nor repeat a row."""
     if since is not None:
-        df = df.filter(F.col(ts) >= F.lit(since))
+        df = df.filter(F.col(ts) >= instant(since))
     if until is not None:
-        df = df.filter(F.col(ts) < F.lit(until))
+        df = df.filter(F.col(ts) < instant(until))
     return df
 
 

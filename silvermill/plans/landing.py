@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silvermill.functions.columns import iso_text
+from silvermill.functions.columns import instant, iso_text, run_stamp
 from silvermill.operators.incremental import after_marks, in_states, in_window
 from silvermill.plans.specs import Store
 from silvermill.session import Scratch
@@ -42,7 +42,7 @@ def land_records(
     next run, so a run up to ``until=run_ts`` and the next one neither lose nor repeat a row.
     """
     marks_path = store.table("_marks")
-    run = F.lit(run_ts).cast("timestamp")
+    run = run_stamp(run_ts)
     with Scratch(spark) as scratch:
         entities = scratch.stage(entities.select(*ENTITY).distinct(), "entities")
         chosen = in_window(records.join(entities, list(ENTITY), "left_semi"), ts, since, until)
@@ -55,9 +55,9 @@ def land_records(
             chosen.withColumn("batch_ts", run),
             endpoint,
             scratch,
-            F.lit(fetched_at).cast("timestamp") if fetched_at else F.current_timestamp(),
-            since=None if since is None else F.lit(since),
-            until=None if until is None else F.lit(until),
+            run_stamp(fetched_at) if fetched_at else F.current_timestamp(),
+            since=None if since is None else instant(since),
+            until=None if until is None else instant(until),
         )
         land(envelopes, store.landed(endpoint))
         if mark:
@@ -85,7 +85,7 @@ def land_remote(
         responses = fetch_pages(asked, transport, endpoint, scratch, upper, given)
         land(raw_envelopes(responses, endpoint, run_ts, upper, given), store.landed(endpoint))
         if mark:
-            run = F.lit(run_ts).cast("timestamp").alias("last_run")
+            run = run_stamp(run_ts).alias("last_run")
             write_marks(asked.select(*ENTITY, F.lit(endpoint).alias("endpoint"), run), store.table("_marks"))
 
 
@@ -101,6 +101,6 @@ def land_snapshots(
     store: Store, endpoint: str, records: DataFrame, run_ts: datetime, fetched_at: datetime | None = None
 ) -> None:
     """Land one envelope per entity; the columns beside owner and repo form its data."""
-    fetched = F.lit(fetched_at).cast("timestamp") if fetched_at else F.current_timestamp()
-    rows = records.withColumn("batch_ts", F.lit(run_ts).cast("timestamp"))
+    fetched = run_stamp(fetched_at) if fetched_at else F.current_timestamp()
+    rows = records.withColumn("batch_ts", run_stamp(run_ts))
     land(snapshot_envelopes(rows, endpoint, fetched), store.landed(endpoint), by_entity=False)

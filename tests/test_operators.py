@@ -1,5 +1,6 @@
 """Columns, latest rows, lookups, quality rules, incremental selection."""
 
+import time
 from datetime import date, datetime, timezone
 
 import pytest
@@ -46,6 +47,20 @@ def test_timestamps(spark):
     assert as_utc(spark, run_stamp(datetime(2026, 4, 6, 2, tzinfo=timezone.utc))) == "2026-04-06T02:00:00.000000Z"
 
 
+def test_literals_ignore_the_zone_of_the_driver(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        at = datetime(2026, 4, 6, 2, 0, 0, 500)
+        df = spark.createDataFrame([("2026-04-06 02:00:00.0005",)], "s string").select(F.col("s").cast("timestamp_ntz").alias("ts"))
+        assert in_window(df, "ts", since=at).count() == 1 and in_window(df, "ts", until=at).count() == 0
+        assert as_utc(spark, run_stamp(at)) == "2026-04-06T02:00:00.000500Z"
+        assert as_utc(spark, run_stamp(at.replace(tzinfo=timezone.utc))) == "2026-04-06T02:00:00.000500Z"
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_names_and_urls(spark):
     null = F.lit(None).cast("string")
     assert one(spark, entity_name(F.lit("o"), F.lit("r"))) == "o/r"
