@@ -28,3 +28,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from silvermill.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.bpe import digests, encode_and_decode
+
+    return digests(
+        encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    )
