@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from silvermill.llm.common import table
 
@@ -37,3 +38,14 @@ def op8_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(
         encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     )
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.common import held_out
+    from silvermill.llm.language import predict, train
+
+    docs = table(spark, sf_dir, "documents")
+    learned = docs.filter(F.col("text").isNotNull() & ~held_out(F.col("doc_id"), 3, 1))
+    scored = predict(docs, train(learned))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score")
