@@ -49,3 +49,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = docs.filter(F.col("text").isNotNull() & ~held_out(F.col("doc_id"), 3, 1))
     scored = predict(docs, train(learned))
     return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.common import held_out
+    from silvermill.llm.quality import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")

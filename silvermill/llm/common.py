@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from silvermill.session import shared_folder
 
-NO_LETTER = r"^\P{L}*$"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +34,30 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called that, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int, rows: int,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """(text, label) of at most ``rows`` labelled documents outside the held-out part, those with the
+    smallest hashes of their ids. Rows with a null id or label are never learned from."""
+    chosen = (
+        labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+        .filter(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"), parts, part))
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
+        .limit(rows)
+    )
+    # The chosen ids are at most ``rows``, which bounds the broadcast.
+    return id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("text", "label")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once and read back: later steps do not compute it again, and no executor's
     loss can take it away."""

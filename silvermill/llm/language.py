@@ -140,12 +140,11 @@ class Scorer:
         return [word_bits(word, grams, escapes, self.order) for grams, escapes in self.trees]
 
     def score(self, text: str) -> tuple[str, float]:
-        found = words(text)
-        if not found or not self.langs:
+        if not self.langs or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0
-        rows, rest = [], np.zeros(len(self.langs))
-        total = np.zeros(len(self.langs))
-        for word in found:
+        rows: list[int] = []
+        rest, total = np.zeros(len(self.langs)), np.zeros(len(self.langs))
+        for word in words(text):
             row = self.rows.get(word)
             if row is None:
                 if len(word) > LONGEST_WORD:
