@@ -9,8 +9,8 @@ sum of its hits' lexical weights times what the machine gives them, so a word al
 
 The lexicon starts from the short lists below; insults are added from a bounded sample of labelled rows: word
 beginnings and words that toxic documents have far more often, weighted by their log odds. A beginning
-is lengthened while nearly all its occurrences share the next letter. A logistic regression turns the
-best and the summed clause scores into the document's score.
+is lengthened while nearly all its occurrences share the next letter. On the other half of the sample a
+logistic regression learns to turn the best and the summed clause scores into the document's score.
 
 Defined cases: a null, empty or wordless text has no clause and gets the score of a document without
 hits; without labelled rows of both classes the lists and fixed calibration are used; labels other
@@ -39,11 +39,11 @@ from silvermill.llm.common import free_name, id_and_text, labelled_sample, stage
 SAMPLE_ROWS = 8000
 THRESHOLD = 0.3
 SHORTEST, LONGEST = 4, 12  # letters of a learned beginning
-LEAST_SHARE = 0.01  # of the toxic rows, that must hold a learned word
+LEAST_SHARE = 0.025  # of the toxic rows, that must hold a learned word
 LEAST_WEIGHT = 3.0
-MOST_WEIGHT = 8.0
+DOUBT = 2.0  # clean rows that a term is taken to have been in besides those seen
 LISTED_WEIGHT = 4.0
-SHARED_NEXT = 0.95
+SHARED_NEXT = 0.85
 
 # The starting lexicon in English, German, French and Spanish.
 INSULTS = (
@@ -220,7 +220,7 @@ def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) ->
 
     def weight(term: str) -> float:
         a, b = counts[term]
-        return min(MOST_WEIGHT, math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1)))
+        return math.log(a / (toxic + 1)) - math.log((b + DOUBT) / (clean + 1))
 
     marked = {t for t in counts if weight(t) >= LEAST_WEIGHT}
     longer: dict[str, list[str]] = defaultdict(list)
@@ -247,6 +247,9 @@ def train(
     """Learn ``toxic`` from at most ``sample_rows`` labelled documents whose crc32 modulo 4 is not 2."""
     rows = labelled_sample(docs, labels, "toxic", 4, 2, sample_rows, id_col, text_col).dropDuplicates(["text", "label"])
     rows = staged(rows, "toxicity-sample")
+    # Terms are learned on one half and weighed against each other on the other, by hash of the text.
+    first = F.pmod(F.xxhash64("text"), F.lit(2)) == 0
+    other, rows = rows.filter(~first), rows.filter(first)
     seen = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     listed = dict.fromkeys(INSULTS, LISTED_WEIGHT)
     if len(seen) < 2:
@@ -258,7 +261,7 @@ def train(
     frequent = {t: c for t, c in counts.items() if c[0] >= least}
     refuted = {t for t, (a, b) in counts.items() if b * (seen[1] + 1) > a * (seen[0] + 1)}
     insults = {t: w for t, w in listed.items() if t not in refuted} | choose_terms(frequent, seen[1], seen[0])
-    return calibrate(rows, Grammar(insults))
+    return calibrate(other, Grammar(insults))
 
 
 def calibrate(rows: DataFrame, grammar: Grammar) -> Grammar:
@@ -275,6 +278,8 @@ def calibrate(rows: DataFrame, grammar: Grammar) -> Grammar:
             )
 
     points = staged(rows.mapInArrow(run, "best double, total double, label int").coalesce(1), "toxicity-points")
+    if points.select("label").distinct().count() < 2:
+        return grammar
     vectors = VectorAssembler(inputCols=["best", "total"], outputCol="features").transform(points)
     model = LogisticRegression(labelCol="label", regParam=0.001, maxIter=50).fit(vectors)
     by_best, by_sum = map(float, model.coefficients)
