@@ -69,3 +69,25 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.knn import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op4_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as vec
+  from embeddings where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_sum(list_transform(list_zip(q.vec, c.vec), p -> p[1] * p[2])) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5"""
