@@ -80,14 +80,27 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op4_top_k"] = """
 with v as (
-  select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as vec
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as vec
   from embeddings where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
 ), scored as (
   select q.vec_id as query_id, c.vec_id,
-    cast(list_sum(list_transform(list_zip(q.vec, c.vec), p -> p[1] * p[2])) as bigint) as score
+    cast(list_sum(list_transform(list_zip(q.vec, c.vec), lambda p: p[1] * p[2])) as bigint) as score
   from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id
 ), ranked as (
   select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
 )
 select query_id, rank, vec_id, score from ranked where rank <= 5"""
+
+
+@query
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.exact import duplicates
+
+    return duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_exact_dedup"] = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+  coalesce(doc_id = max(doc_id) over same, false) as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))"""
