@@ -104,3 +104,10 @@ ORACLES["op2_exact_dedup"] = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
   coalesce(doc_id = max(doc_id) over same, false) as kept, sha256(coalesce(text, '')) as text_sha256
 from documents window same as (partition by coalesce(text, ''))"""
+
+
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,9 @@ from silvermill.session import shared_folder
 
 
 
+BITS = 1 << 26  # of the bitmap that tells rows apart: 8 MB, whatever the input
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -64,3 +68,35 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, doc_id, text, file, row): the input's own columns in one struct, so that no name clashes, and
+    the file and row a document stands in. A frame that does not come from files is written to some."""
+    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    try:
+        rows = docs.select(doc, *place)
+    except AnalysisException:
+        rows = staged(docs, "input").select(doc, *place)
+    text = F.coalesce(F.col("doc").getField(text_col), F.lit(""))
+    return rows.withColumns({"doc_id": F.col("doc").getField(id_col).cast("long"), "text": text})
+
+
+def split_by_keys(rows: DataFrame, keys: DataFrame, *on: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that certainly match none of ``keys`` on the columns ``on``, and the others, without a shuffle of
+    ``rows``: a bitmap of fixed size over the hashes of the keys is broadcast. The more keys, the more
+    rows without a match are among the others, so a join has to follow."""
+    at = F.pmod(F.xxhash64(*on), F.lit(BITS))
+    places = keys.select(at.alias("_at"))
+    bitmap = places.groupBy(F.bitmap_bucket_number("_at").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("_bits")
+    )
+    # At most BITS / 32768 rows of 4 KB.
+    marked = rows.withColumn("_bucket", F.bitmap_bucket_number(at)).join(F.broadcast(bitmap), "_bucket", "left")
+    bit = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    powers = F.array(*(F.lit(1 << i) for i in range(8)))
+    is_set = byte.bitwiseAND(F.element_at(powers, (bit % 8).cast("int") + 1)) != 0
+    found = F.coalesce(is_set, F.lit(False))
+    return marked.filter(~found).select(*rows.columns), marked.filter(found).select(*rows.columns)

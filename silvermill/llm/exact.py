@@ -22,13 +22,11 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silvermill.llm.common import new_folder, staged
+from silvermill.llm.common import located, new_folder, split_by_keys, staged
 
-BITS = 1 << 26  # of the bitmap over hits: 8 MB, whatever the input
 BATCH_BYTES = 64 << 30  # of records (about 150 bytes a document) per micro-batch
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RECORD = "digest binary, doc_id long, file string, row long"
@@ -38,20 +36,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def located(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
-    """(doc, text, digest, doc_id, file, row): the input's own columns in one struct, so that no name clashes.
-    A frame that does not come from files is written to some first."""
-    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
-    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
-    try:
-        rows = docs.select(doc, *place)
-    except AnalysisException:
-        rows = staged(docs, "exact-input").select(doc, *place)
-    text = F.coalesce(F.col("doc").getField(text_col), F.lit(""))
-    rows = rows.withColumns({"doc_id": F.col("doc").getField(id_col).cast("long"), "text": text})
-    return rows.withColumn("digest", digest(F.col("text")))
-
-
 @contextmanager
 def _settings(spark: SparkSession, **values: str):
     before = {key: spark.conf.get(key, None) for key in values}
@@ -81,25 +65,6 @@ def keep_state(spark: SparkSession, records: str, checkpoint: str, batch_bytes:
     return state.select("key.digest", value[0].alias("n"), value[1].alias("keeper"))
 
 
-def _position() -> Column:
-    return F.pmod(F.xxhash64("digest"), F.lit(BITS))
-
-
-def _split(rows: DataFrame, hits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that no hit's bit marks, and those that one does."""
-    at = hits.select(_position().alias("at"))
-    bitmap = at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")
-    )
-    # At most BITS / 32768 rows of 4 KB.
-    marked = rows.withColumn("bucket", F.bitmap_bucket_number(_position())).join(F.broadcast(bitmap), "bucket", "left")
-    bit = F.bitmap_bit_position(_position())
-    byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = byte.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (bit % 8).cast("int") + 1)) != 0
-    hit = F.coalesce(is_set, F.lit(False))
-    return marked.filter(~hit).drop("bucket", "bits"), marked.filter(hit).drop("bucket", "bits")
-
-
 def grouped(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -109,13 +74,13 @@ def grouped(
 ) -> DataFrame:
     """Every row's struct ``doc``, its doc_id and text, n (rows of its text), keep_id, and kept."""
     spark = docs.sparkSession
-    rows = located(docs, id_col, text_col, digest)
+    rows = located(docs, id_col, text_col).withColumn("digest", digest(F.col("text")))
     records = new_folder(spark, "exact-records")
     rows.select("digest", "doc_id", "file", "row").write.parquet(records)
     state = keep_state(spark, records, new_folder(spark, "exact-stream"), batch_bytes)
     hits = staged(state.filter("n > 1"), "exact-hits")
 
-    single, several = _split(rows, hits)
+    single, several = split_by_keys(rows, hits, "digest")
     same = several.groupBy("digest", "text").agg(
         F.count("*").alias("n"), F.max(F.struct("doc_id", "file", "row")).alias("keeper")
     )
