@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,11 +25,11 @@ def enrich_left(
     aggregate sits between shuffle and join). ``normalize`` is applied to both sides' key, for
     names that differ only in form; the lookup must stay unique under it.
     """
+    if not on:
+        raise ValueError("an enrichment needs at least one key")
     shape = normalize or (lambda column: column)
     right = lookup.select(*[F.col(k).alias(f"_key_{k}") for k in on], *[F.col(v).alias(f"_value_{v}") for v in values])
-    condition = F.lit(True)
-    for k in on:
-        condition = condition & (shape(F.col(k)) == shape(F.col(f"_key_{k}")))
+    condition = functools.reduce(Column.__and__, [shape(F.col(k)) == shape(F.col(f"_key_{k}")) for k in on])
     return df.join(right, condition, "left").select(
         *df.columns, *[F.col(f"_value_{v}").alias(v) for v in values]
     )

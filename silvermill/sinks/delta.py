@@ -1,7 +1,11 @@
-"""The same publishes on Delta tables, for sessions that have its classes and catalog settings."""
+"""The same publishes on Delta tables, for sessions that have its classes and catalog settings.
+
+These are not installed where this package is tested, so nothing here but the check for them has ever run.
+"""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from datetime import date
 
@@ -36,14 +40,21 @@ def replace_where(
         df.writeTo(f"delta.`{path}`").overwrite(this_day if scope is None else this_day & scope)
 
 
-def upsert(df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
-    """Update all matched rows, insert the others."""
+def upsert(
+    df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (), newer_by: str | None = None
+) -> None:
+    """Update matched rows, insert the others. With ``newer_by`` a matched row is updated only by one that is
+    not lower in that column, nulls lowest."""
+    if not keys:
+        raise ValueError("an upsert needs at least one key")
     spark, table = df.sparkSession, _available()
     if not table.isDeltaTable(spark, path):
         df.write.format("delta").partitionBy(*partition_by).save(path)
         return
-    same = F.lit(True)
-    for key in keys:
-        same = same & (F.col(f"target.{key}") == F.col(f"source.{key}"))
+    same = functools.reduce(Column.__and__, [F.col(f"target.{key}") == F.col(f"source.{key}") for key in keys])
+    newer = None
+    if newer_by is not None:
+        old, new = F.col(f"target.{newer_by}"), F.col(f"source.{newer_by}")
+        newer = old.isNull() | F.coalesce(new >= old, F.lit(False))
     merging = table.forPath(spark, path).alias("target").merge(df.alias("source"), same)
-    merging.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+    merging.whenMatchedUpdateAll(newer).whenNotMatchedInsertAll().execute()

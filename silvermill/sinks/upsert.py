@@ -3,9 +3,13 @@
 A table is a set of folders. New rows are first written as a draft: a folder inside the table
 that no reader sees yet. The quality gate reads the draft, and publishing it writes one small
 state file that names the folders which make up the table from now on; readers follow the newest
-state. So the new rows are computed and written once, a job that dies leaves the table as it
-was, and a reader never sees half an upsert. Of the older rows, only folders (partitions) that
-hold a matched key are rewritten.
+state. A job that dies leaves the table as it was, and a reader never sees half an upsert.
+
+A table without partition columns is partitioned by a fixed number of hash buckets of its key. The
+buckets of a batch are known from the draft's folder names, so only those of the table are read, and each
+is replaced by one folder: the number of folders stays what it was. In a table with partition columns
+only folders that hold a matched key are rewritten. Folders that a state no longer names are deleted by a later
+publish, once they have been out of use for the retention period.
 """
 
 from __future__ import annotations
@@ -14,9 +18,10 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +29,10 @@ from silvermill.functions.columns import all_present
 from silvermill.operators.latest import latest_by
 from silvermill.storage import create_text, delete, exists, glob, read_text
 
+BUCKETS = 16
+RETENTION = timedelta(days=1)
+_BUCKET = "_bucket"
+
 
 class DuplicateKeys(ValueError):
     """The source holds more than one row for a merge key."""
@@ -36,9 +45,17 @@ class SilverTable:
         self.spark = spark
         self.path = path
 
+    def _states(self) -> list[str]:
+        return glob(self.spark, f"{self.path}/_state/*.json")
+
     def state(self) -> dict | None:
-        states = glob(self.spark, f"{self.path}/_state/*.json")
-        return json.loads(read_text(self.spark, states[-1])) if states else None
+        """The newest state; one that is still being written does not count yet."""
+        for path in reversed(self._states()):
+            try:
+                return json.loads(read_text(self.spark, path))
+            except ValueError:
+                continue
+        return None
 
     def read_folders(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
@@ -54,14 +71,34 @@ class SilverTable:
         leaves = glob(self.spark, "/".join([self.path, folder, *["*=*"] * len(partition_by)]))
         return [leaf[leaf.index("_v=") :] for leaf in leaves]
 
-    def publish(self, folders: Sequence[str], schema: T.StructType, partition_by: Sequence[str], version: int) -> None:
+    def publish(self, draft: Draft, folders: Sequence[str], retention: timedelta) -> None:
+        """Make ``folders`` the table, and delete what has been out of use for ``retention``."""
+        now = datetime.now(timezone.utc)
+        before = draft.state or {"version": 0, "folders": [], "retired": []}
+        retired = dict.fromkeys({*before["folders"]} - {*folders}, now.isoformat()) | dict(before["retired"])
+        due = [f for f, since in retired.items() if now - datetime.fromisoformat(since) >= retention]
+        files = {int(path.rsplit("/", 1)[1].split(".")[0]): path for path in self._states()}
+        later = [n for n in files if n > before["version"]]
+        current = self.state()
+        if current is not None and current["version"] > before["version"]:
+            raise FileExistsError(f"{self.path} was published by another job; rerun on the new state.")
+        version = max([before["version"], *later]) + 1  # past a file that a dying writer left unreadable
         state = {
             "version": version,
-            "schema": json.loads(schema.json()),
-            "partition_by": list(partition_by),
+            "schema": json.loads(draft.schema.json()),
+            "partition_by": list(draft.partition_by),
+            "bucket_by": list(draft.bucket_by),
+            "buckets": draft.buckets,
             "folders": list(folders),
+            "retired": sorted((f, since) for f, since in retired.items() if f not in due),
         }
         create_text(self.spark, f"{self.path}/_state/{version:08d}.json", json.dumps(state))
+        unseen = {*draft.folders} - {*folders}  # written again by the merge; no reader knows them
+        for folder in [*due, *unseen]:
+            delete(self.spark, f"{self.path}/{folder}")
+        for number, path in files.items():
+            if number < before["version"]:
+                delete(self.spark, path)
 
 
 @dataclass
@@ -72,37 +109,87 @@ class Draft:
     state: dict | None
     schema: T.StructType
     partition_by: tuple[str, ...]
+    bucket_by: tuple[str, ...]
+    buckets: int
     folders: list[str]
-    rest: list[str] = field(default_factory=list)  # older rows written again by the merge
+    rest: list[str] = field(default_factory=list)  # rows written again by the merge
+
+    @property
+    def stored(self) -> T.StructType:
+        """The schema of the folders: the table's, and its bucket where it has one."""
+        return _with_bucket(self.schema) if self.bucket_by else self.schema
+
+    @property
+    def layout(self) -> tuple[str, ...]:
+        return (_BUCKET,) if self.bucket_by else self.partition_by
+
+    def read(self, folders: Sequence[str]) -> DataFrame:
+        return self.table.read_folders(folders, self.stored)
 
     @property
     def rows(self) -> DataFrame:
-        return self.table.read_folders(self.folders, self.schema).select(*self.schema.fieldNames())
+        return self.read(self.folders).select(*self.schema.fieldNames())
 
     def discard(self) -> None:
         for folder in {f.split("/")[0] for f in self.folders + self.rest}:
             delete(self.table.spark, f"{self.table.path}/{folder}")
 
 
+def _with_bucket(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(_BUCKET, T.IntegerType())])
+
+
+def _in_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` in its types. A value that its type cannot hold fails the job."""
+
+    def cast(f: T.StructField) -> Column:
+        column = F.col(f"`{f.name}`")
+        if df.schema[f.name].dataType == f.dataType:
+            return column
+        tried = column.try_cast(f.dataType)
+        lost = column.isNotNull() & tried.isNull()
+        problem = F.concat(F.lit(f"{f.name} cannot be kept as {f.dataType.simpleString()}: "), column.cast("string"))
+        return F.when(lost, F.raise_error(problem)).otherwise(tried).alias(f.name)
+
+    for f in schema:
+        have = df.schema[f.name].dataType
+        if have != f.dataType and (isinstance(have, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))):
+            raise TypeError(f"{f.name} is {have.simpleString()}, the table keeps {f.dataType.simpleString()}")
+    return df.select(*[cast(f) for f in schema])
+
+
 def write_draft(
-    spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = True
+    spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (),
+    rebalance: bool = True, buckets: int = BUCKETS,
 ) -> Draft:
     """Compute and write new rows for the table at ``path``, which need not exist yet. An existing
-    table keeps its own columns and partitioning.
+    table keeps its own columns, types, partitioning and buckets.
 
     ``rebalance`` gathers the rows of a partition before they are written, splitting a large one
     over tasks; leave that shuffle out when all rows go to one partition.
     """
+    if not keys:
+        raise ValueError("an upsert needs at least one key")
     table = SilverTable(spark, path)
     state = table.state()
+    bucket_by = () if partition_by else tuple(keys)
     if state is not None:
-        partition_by = state["partition_by"]
-        df = df.select(*T.StructType.fromJson(state["schema"]).fieldNames())
+        partition_by, bucket_by, buckets = state["partition_by"], tuple(state["bucket_by"]), state["buckets"]
+        if bucket_by and bucket_by != tuple(keys):
+            raise ValueError(f"{path} is kept by {', '.join(bucket_by)}, not by {', '.join(keys)}")
+        df = conform(df, T.StructType.fromJson(state["schema"]))
     elif exists(table.spark, path) and glob(table.spark, f"{path}/[!_.]*"):
         raise ValueError(f"{path} holds a table that upsert does not manage")
-    if partition_by and rebalance:
-        df = df.hint("rebalance", *partition_by)
-    return Draft(table, state, df.schema, tuple(partition_by), table.write_folder(df, partition_by))
+    draft = Draft(table, state, df.schema, tuple(partition_by), bucket_by, buckets, [])
+    rows = _in_bucket(df, bucket_by, buckets) if bucket_by else df
+    if draft.layout and (rebalance or bucket_by):
+        rows = rows.hint("rebalance", *draft.layout)
+    draft.folders = table.write_folder(rows, draft.layout)
+    return draft
 
 
 def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
@@ -113,15 +200,18 @@ def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def _touched(draft: Draft, source_keys: DataFrame, keys: Sequence[str]) -> set[str]:
-    """Folders of the table that hold a source key, from the key columns and the folder's own
-    values alone. At most one row per folder reaches the driver."""
-    if not draft.state["folders"]:
+    """Folders of the table that may hold a source key: those of the draft's buckets, else those in
+    which the key columns and the folder's own values find one (a row per folder reaches the driver)."""
+    old = draft.state["folders"]
+    if draft.bucket_by:
+        buckets = {f.rsplit("/", 1)[1] for f in draft.folders}
+        return {f for f in old if f.rsplit("/", 1)[1] in buckets}
+    if not old:
         return set()
     place = [F.col(c).cast("string").alias(f"_in_{c}") for c in ("_v", *draft.partition_by)]
-    old = draft.table.read_folders(draft.state["folders"], draft.schema)
-    hits = old.select(*keys, *place).join(source_keys, list(keys), "left_semi")
+    hits = draft.read(old).select(*keys, *place).join(source_keys, list(keys), "left_semi")
     values = {tuple(row) for row in hits.select(*[c for c in hits.columns if c.startswith("_in_")]).distinct().collect()}
-    return {f for f in draft.state["folders"] if _folder_values(f) in values}
+    return {f for f in old if _folder_values(f) in values}
 
 
 def _folder_values(folder: str) -> tuple[str | None, ...]:
@@ -130,7 +220,10 @@ def _folder_values(folder: str) -> tuple[str | None, ...]:
     return tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values)
 
 
-def merge(draft: Draft, keys: Sequence[str], newer_by: str | None = None, unique: bool = False) -> None:
+def merge(
+    draft: Draft, keys: Sequence[str], newer_by: str | None = None, unique: bool = False,
+    retention: timedelta = RETENTION,
+) -> None:
     """Publish a draft: rows whose keys match are replaced, the others inserted, none deleted.
 
     A matched row is replaced whatever its age; with ``newer_by`` the side that is higher in that
@@ -142,7 +235,7 @@ def merge(draft: Draft, keys: Sequence[str], newer_by: str | None = None, unique
         check_unique(source, keys)
     columns = draft.schema.fieldNames()
     if draft.state is None:
-        draft.table.publish(draft.folders, draft.schema, draft.partition_by, 1)
+        draft.table.publish(draft, draft.folders, retention)
         return
     if source.isEmpty():
         draft.discard()
@@ -150,28 +243,36 @@ def merge(draft: Draft, keys: Sequence[str], newer_by: str | None = None, unique
     keyed_source = source.filter(all_present(keys))
     source_keys = keyed_source.select(*keys)
     touched = _touched(draft, source_keys, keys)
-    folders = [f for f in draft.state["folders"] if f not in touched] + draft.folders
+    folders = [f for f in draft.state["folders"] if f not in touched]
     if touched:
-        old = draft.table.read_folders(sorted(touched), draft.schema).select(*columns)
+        old = draft.read(sorted(touched)).select(*columns)
         # Kept out of the join: rows without a key match nothing and would pile up in one task.
         unkeyed = old.filter(~all_present(keys))
         keyed = old.filter(all_present(keys))
+        again = bool(draft.bucket_by) or newer_by is not None
         if newer_by is None:
             kept = keyed.join(source_keys, list(keys), "left_anti").select(*columns)
+            kept = kept.unionByName(keyed_source) if again else kept
         else:
             both = keyed.withColumn("_from_source", F.lit(0)).unionByName(
                 keyed_source.withColumn("_from_source", F.lit(1))
             )
             kept = latest_by(both, keys, [newer_by, "_from_source"]).select(*columns)
-            # The draft may hold rows that lost, so its winners are written again.
-            unkeyed = unkeyed.unionByName(source.filter(~all_present(keys)))
-            folders = [f for f in folders if f not in draft.folders]
         rest = kept.unionByName(unkeyed)
-        if draft.partition_by:
-            rest = rest.hint("rebalance", *draft.partition_by)
-        draft.rest = draft.table.write_folder(rest, draft.partition_by)
+        if again:
+            # The draft's rows are written with the old ones: into one folder a bucket, and without those that lost.
+            rest = rest.unionByName(source.filter(~all_present(keys)))
+        else:
+            folders += draft.folders
+        if draft.bucket_by:
+            rest = _in_bucket(rest, draft.bucket_by, draft.buckets)
+        if draft.layout:
+            rest = rest.hint("rebalance", *draft.layout)
+        draft.rest = draft.table.write_folder(rest, draft.layout)
         folders += draft.rest
-    draft.table.publish(folders, draft.schema, draft.partition_by, draft.state["version"] + 1)
+    else:
+        folders += draft.folders
+    draft.table.publish(draft, folders, retention)
 
 
 def upsert(
@@ -180,11 +281,12 @@ def upsert(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     newer_by: str | None = None,
+    retention: timedelta = RETENTION,
 ) -> None:
     """Draft and merge in one call. The first load creates the table."""
-    draft = write_draft(df.sparkSession, df, path, partition_by)
+    draft = write_draft(df.sparkSession, df, path, keys, partition_by)
     try:
-        merge(draft, keys, newer_by)
+        merge(draft, keys, newer_by, retention=retention)
     except Exception:
         draft.discard()
         raise
@@ -197,4 +299,5 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     if state is None:
         return spark.read.parquet(path)
     schema = T.StructType.fromJson(state["schema"])
-    return table.read_folders(state["folders"], schema).select(*schema.fieldNames())
+    stored = _with_bucket(schema) if state["bucket_by"] else schema
+    return table.read_folders(state["folders"], stored).select(*schema.fieldNames())

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -18,6 +17,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def make_until_exit(spark: SparkSession, path: str) -> str:
+    """Create a folder that is deleted when the driver's JVM ends."""
+    fs, target = _open(spark, path)
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+    return path
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)
@@ -39,12 +46,14 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file in one visible step; fails when the path is already taken."""
+    """Write a small file; fails when the path is already taken, also by a writer at the same time.
+    Until it is closed a reader may see only part of it."""
     fs, target = _open(spark, path)
-    draft = target.getParent().suffix(f"/.draft-{uuid.uuid4().hex}")
-    stream = fs.create(draft)
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError as problem:
+        if fs.exists(target):
+            raise FileExistsError(f"{path} was written by another job; rerun on the new state.") from problem
+        raise
     stream.write(bytearray(text.encode()))
     stream.close()
-    if fs.exists(target) or not fs.rename(draft, target):
-        fs.delete(draft, False)
-        raise FileExistsError(f"{path} was written by another job; rerun on the new state.")

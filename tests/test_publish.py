@@ -1,6 +1,6 @@
 """Replace-where and keyed upserts."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from silvermill.sinks import delta
 from silvermill.sinks.replace import replace_where
-from silvermill.sinks.upsert import DuplicateKeys, SilverTable, merge, read_table, upsert, write_draft
+from silvermill.sinks.upsert import BUCKETS, DuplicateKeys, SilverTable, merge, read_table, upsert, write_draft
 from silvermill.storage import create_text, glob
 
 few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -151,7 +151,7 @@ def test_a_draft_is_invisible_and_a_lost_race_raises(spark, folder):
     path = folder + "/t"
     batch = spark.createDataFrame([("a", 1, 1, "p")], ROW)
     upsert(batch, path, ["k1"])
-    draft = write_draft(spark, batch.withColumn("v", F.lit(2)), path)
+    draft = write_draft(spark, batch.withColumn("v", F.lit(2)), path, ["k1"])
     assert read_table(spark, path).first().v == 1
     upsert(batch.withColumn("v", F.lit(3)), path, ["k1"])  # another job publishes first
     with pytest.raises(FileExistsError):
@@ -159,6 +159,54 @@ def test_a_draft_is_invisible_and_a_lost_race_raises(spark, folder):
     assert read_table(spark, path).first().v == 3
 
 
+def test_a_table_keeps_its_types(spark, folder):
+    path = folder + "/t"
+    upsert(spark.createDataFrame([(1, 1.5, "a")], "k long, x double, s string"), path, ["k"])
+    upsert(spark.createDataFrame([(1, 2, 7), (2, 3, 8)], "k int, x int, s int"), path, ["k"])
+    assert [tuple(r) for r in content(read_table(spark, path))] == [(1, 2.0, "7"), (2, 3.0, "8")]
+    assert read_table(spark, path).schema.simpleString() == "struct<k:bigint,x:double,s:string>"
+    with pytest.raises(Exception, match="x cannot be kept as double: many"):
+        upsert(spark.createDataFrame([(3, "many", "c")], "k long, x string, s string"), path, ["k"])
+    with pytest.raises(TypeError, match="s is array<int>"):
+        upsert(spark.createDataFrame([(3, 1.0, [1])], "k long, x double, s array<int>"), path, ["k"])
+    assert read_table(spark, path).count() == 2
+    assert content(read_table(spark, path)) == content(read_table(spark, path))
+
+
+def test_buckets_bound_folders_and_reads(spark, folder):
+    path = folder + "/t"
+    for i in range(10):
+        rows = [("a", n, i, "p") for n in range(50)] + [("new", i, i, "p")]
+        upsert(spark.createDataFrame(rows, ROW), path, ["k1", "k2"], retention=timedelta(0))
+        state = SilverTable(spark, path).state()
+        assert len(state["folders"]) <= BUCKETS and state["retired"] == []
+        on_disk = glob(spark, path + "/_v=*/_bucket=*")
+        assert {f[f.index("_v=") :] for f in on_disk} == set(state["folders"])
+    assert read_table(spark, path).count() == 60
+    before = set(state["folders"])
+    one = spark.createDataFrame([("a", 7, 99, "p")], ROW)
+    upsert(one, path, ["k1", "k2"])
+    after = SilverTable(spark, path).state()
+    gone = before - set(after["folders"])
+    assert len(gone) == 1 and {f for f, _ in after["retired"]} == gone  # one bucket, kept for its readers
+    assert read_table(spark, path).count() == 60
+
+
+def test_an_upsert_needs_a_key(spark, folder):
+    with pytest.raises(ValueError, match="at least one key"):
+        upsert(spark.createDataFrame([("a", 1, 1, "p")], ROW), folder + "/t", [])
+
+
+def test_an_unfinished_state_is_passed_over(spark, folder):
+    path = folder + "/t"
+    batch = spark.createDataFrame([("a", 1, 1, "p")], ROW)
+    upsert(batch, path, ["k1"])
+    create_text(spark, path + "/_state/00000002.json", '{"version": 2, "fol')
+    assert read_table(spark, path).count() == 1
+    upsert(batch.withColumn("v", F.lit(2)), path, ["k1"])
+    assert read_table(spark, path).first().v == 2 and SilverTable(spark, path).state()["version"] == 3
+
+
 def test_upsert_refuses_a_foreign_table(spark, folder):
     path = folder + "/t"
     batch = spark.createDataFrame([("a", 1, 1, "p")], ROW)
