@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silvermill.functions.columns import iso_text
-from silvermill.session import Scratch, configure
+from silvermill.session import Scratch, derived_session
 from silvermill.sinks.landing import land, page_envelopes
 
 QUERIES: dict = {}
@@ -32,7 +32,7 @@ EVENT_FIELDS = (
 def query(name: str, sql: str | None = None):
     def register(run):
         def call(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(configure(spark), sf_dir)
+            return run(derived_session(spark), sf_dir)
 
         QUERIES[name] = call
         if sql is not None:

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from silvermill.storage import delete
+from silvermill.storage import delete, make_until_exit
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A hot lookup key is split over tasks even where a later step then needs one more shuffle.
@@ -20,34 +17,34 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings every job here relies on to a session that already runs."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+_folders: dict[str, str] = {}
 
 
 def get_spark(app: str, **conf: str) -> SparkSession:
+    """The application's own session, with the settings every job here relies on."""
     builder = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return configure(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="silvermill-")
+def derived_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's, with its settings and then ours; the caller's stays as it is."""
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **SETTINGS}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or a temporary one in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach.")
+    """This application's folder among those all executors see: under ``spark.checkpoint.dir``, or where
+    that is unset under the warehouse. It is deleted when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+        _folders[app] = make_until_exit(spark, f"{root.rstrip('/')}/{app}-{uuid.uuid4().hex[:8]}")
+    return _folders[app]
 
 
 class Scratch:

@@ -12,7 +12,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("P
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from silvermill.session import get_spark
 
     session = get_spark(
@@ -21,6 +21,7 @@ def spark():
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": "file://" + str(tmp_path_factory.mktemp("shared")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
