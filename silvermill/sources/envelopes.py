@@ -92,5 +92,7 @@ def scan_envelopes(
     if scope.entity is not None and layout != "bare":
         df = df.filter(scope.entity)
     if endpoint is not None:
-        df = df.filter(F.col("endpoint") == F.lit(endpoint))
+        ours = F.col("endpoint") == F.lit(endpoint)
+        # A line that cannot be read has no endpoint; it is kept where its text is asked for.
+        df = df.filter(ours | F.col(corrupt_column).isNotNull() if corrupt_column else ours)
     return df.select(*columns)

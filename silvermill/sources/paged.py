@@ -8,21 +8,18 @@ after Spark's retries the job.
 
 from __future__ import annotations
 
-import json
 import sys
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Protocol
-from urllib.parse import parse_qs, urlsplit
 
 import pyarrow as pa
-import pyarrow.dataset as ds
-import pyarrow.fs as pafs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silvermill.functions.columns import url_param
 from silvermill.operators.paging import PAGE_SIZE, plan_pages
 from silvermill.session import Scratch
 
@@ -47,45 +44,6 @@ class Transport(Protocol):
     ) -> Response: ...
 
 
-@dataclass(frozen=True)
-class ReplayTransport:
-    """Answers pages from recorded responses: Parquet under ``path/endpoint/owner=…/repo=…``,
-    sorted by page, with the columns page, url, body, next_url, last_url. Bounds and states in
-    the request are not applied: what was recorded is what is answered."""
-
-    path: str
-    block: int = 100
-    _block: dict = field(default_factory=dict, compare=False, repr=False)
-
-    def get(self, owner, repo, endpoint, params, page=None, url=None):
-        if url is not None:
-            page = int(parse_qs(urlsplit(url).query)["page"][0])
-        found = self._pages(endpoint, owner, repo, (page - 1) // self.block).get(page)
-        if found is None:
-            if page == 1:
-                return Response(url="", body="[]")
-            raise LookupError(f"no recorded page {page} of {owner}/{repo} {endpoint}")
-        return Response(**{k: found[k] for k in ("url", "body", "next_url", "last_url")})
-
-    def _pages(self, *key):
-        """The recorded pages of one block; the last block read stays in memory."""
-        if key not in self._block:
-            endpoint, owner, repo, block = key
-            low = block * self.block
-            wanted = (ds.field("page") > low) & (ds.field("page") <= low + self.block)
-            rows = self._rows(endpoint, owner, repo).filter(wanted).to_table().to_pylist()
-            self._block.clear()
-            self._block[key] = {row["page"]: row for row in rows}
-        return self._block[key]
-
-    def _rows(self, endpoint, owner, repo):
-        where = f"{self.path}/{endpoint}".replace("s3a://", "s3://", 1)
-        fs, root = pafs.FileSystem.from_uri(where if "://" in where else f"file://{where.removeprefix('file:')}")
-        keys = pa.schema([("owner", pa.string()), ("repo", pa.string())])
-        recorded = ds.dataset(root, format="parquet", filesystem=fs, partitioning=ds.partitioning(keys, flavor="hive"))
-        return recorded.filter((ds.field("owner") == owner) & (ds.field("repo") == repo))
-
-
 def request_params(
     endpoint: str, since: str | None = None, until: str | None = None, given: dict | None = None
 ) -> dict:
@@ -104,14 +62,13 @@ def request_params(
 STATEFUL_ENDPOINTS = ("issues",)
 
 
-def pages_named_by(first: Response) -> int | None:
-    """Page count told by the first response: from its last link; None if only a next link is
-    given; else 1, or 0 for an empty body."""
-    if first.last_url:
-        return int(parse_qs(urlsplit(first.last_url).query).get("page", ["1"])[0])
-    if first.next_url:
-        return None
-    return 1 if json.loads(first.body) else 0
+def page_count(last_url: Column | str, next_url: Column | str, items: Column | str) -> Column:
+    """How many pages an entity has, as told by its first page: the number in the link to the last one;
+    unknown (null) when only the next one is linked; without links one, or none if the page is empty."""
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    last, following = col(last_url), col(next_url)
+    alone = F.when(following.isNull(), (col(items) > 0).cast("long"))
+    return F.coalesce(F.when(last.isNotNull(), url_param(last, "page", "1").cast("long")), alone)
 
 
 def _per_row(send: Callable[[dict], Iterator[dict]], columns: dict[str, pa.DataType]):
@@ -184,7 +141,9 @@ def fetch_pages(
         return transport.get(row["owner"], row["repo"], endpoint, params, page=page, url=url)
 
     def probe(row):
-        yield {**{k: row[k] for k in _KEYS}, "pages": pages_named_by(get(row, page=1))}
+        first = get(row, page=1)
+        keys = {k: row[k] for k in _KEYS}
+        yield {**keys, "last_url": first.last_url, "next_url": first.next_url, "body": first.body}
 
     def one_page(row):
         yield _answer(row, row["page"], get(row, page=row["page"]))
@@ -196,11 +155,13 @@ def fetch_pages(
             page, response = page + 1, get(row, url=response.next_url)
             yield _answer(row, page, response)
 
+    links = {"last_url": pa.string(), "next_url": pa.string(), "body": pa.string()}
     probed = _requests(entities, tasks).mapInArrow(
-        _per_row(probe, {**_KEYS, "pages": pa.int64()}), f"{_KEYS_DDL}, pages bigint"
+        _per_row(probe, {**_KEYS, **links}), f"{_KEYS_DDL}, last_url string, next_url string, body string"
     )
+    pages = page_count("last_url", "next_url", F.json_array_length("body"))
     # Staged, so that both branches below see the same answer and no entity is asked twice.
-    totals = scratch.stage(probed, "totals")
+    totals = scratch.stage(probed.select(*_KEYS, pages.alias("pages")), "totals")
     known = plan_pages(totals, list(_KEYS), block, tasks)
     unknown = totals.filter("pages is null").repartition(tasks, "owner", "repo")
     return known.mapInArrow(_per_row(one_page, _ANSWER), _ANSWER_DDL).unionByName(

@@ -13,8 +13,9 @@ from silvermill.plans.landing import land_records, land_remote, land_remote_snap
 from silvermill.plans.specs import Store
 from silvermill.session import Scratch
 from silvermill.sources.envelopes import Scope, scan_envelopes
-from silvermill.sources.paged import ReplayTransport, Response, pages_named_by, request_params
+from silvermill.sources.paged import Response, page_count, request_params
 from silvermill.storage import glob
+from tests.replay import ReplayTransport
 
 RUN = datetime(2026, 4, 6, 2, tzinfo=timezone.utc)
 few = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -55,12 +56,12 @@ def test_a_large_plan_is_spread(spark):
     assert sum(per_task) == 1_000_000 and len(per_task) == 8 and max(per_task) < 300_000
 
 
-def test_page_count_from_links():
+def test_page_count_from_links(spark):
     last = "https://x.org/r/commits?per_page=100&page=12"
-    assert pages_named_by(Response("u", "[1]", "n", last)) == 12
-    assert pages_named_by(Response("u", "[1]", "n")) is None
-    assert pages_named_by(Response("u", "[1]")) == 1
-    assert pages_named_by(Response("u", "[]")) == 0
+    rows = [(0, last, "n", 1), (1, None, "n", 1), (2, None, None, 1), (3, None, None, 0), (4, "https://x.org/r", None, 0)]
+    df = spark.createDataFrame(rows, "id int, last_url string, next_url string, items int")
+    got = df.select("id", page_count("last_url", "next_url", "items").alias("pages")).collect()
+    assert {r.id: r.pages for r in got} == {0: 12, 1: None, 2: 1, 3: 0, 4: 1}
 
 
 def test_request_params():
