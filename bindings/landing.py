@@ -20,13 +20,13 @@ from bindings.common import (
 from silvermill.functions.columns import iso_text, parse_ts, snapshot_date, time_parts, url_param
 from silvermill.operators.flatten import flatten_pages, flatten_snapshots
 from silvermill.operators.paging import count_pages, plan_pages
-from silvermill.plans.landing import land_remote, land_snapshots
+from silvermill.plans.landing import land_snapshots
 from silvermill.plans.specs import Store
 from silvermill.session import Scratch
-from silvermill.sinks.landing import landed_totals, page_envelopes
+from silvermill.sinks.landing import land, landed_totals, page_envelopes
 from silvermill.sources.entities import scope_entities
 from silvermill.sources.envelopes import Scope, scan_envelopes
-from silvermill.sources.paged import ReplayTransport
+from silvermill.sources.paged import raw_envelopes
 
 EVENTS_SQL = "select event_id, ts, user_id, event_type, value from events"
 
@@ -173,34 +173,21 @@ def url_page_param(spark, sf):
     return table(spark, sf, "pages").select("page_id", url_param("url", "page", "1").alias("page"))
 
 
-def record_responses(spark, sf) -> str:
-    """Event pages as recorded responses with their next and last links."""
-    path = Scratch(spark).path("recorded")
+@query("paged_source", EVENTS_SQL)
+def paged_source(spark, sf):
+    """Responses as a paged remote would give them, their page numbers read from their own URLs, landed as
+    received (variants), scanned and flattened."""
     with Scratch(spark) as scratch:
         records = event_records(spark, sf).withColumn("batch_ts", F.lit(RUN_TS))
         pages = page_envelopes(records, "events", scratch, F.lit(RUN_TS))
-        totals = count_pages(event_records(spark, sf), ["owner", "repo"]).select("owner", "repo", "pages")
-
-        def link(number):
-            base = F.regexp_replace("url", "page=[0-9]+$", "page=")
-            return F.when(F.col("page") < F.col("pages"), F.concat(base, number.cast("string")))
-
-        rows = pages.join(totals, ["owner", "repo"]).withColumn("page", F.col("params.page"))
-        rows = rows.select(
-            "owner", "repo", "page", "url", F.to_json("data").alias("body"),
-            link(F.col("page") + 1).alias("next_url"), link(F.col("pages")).alias("last_url"),
+        responses = pages.select(
+            "owner", "repo", F.lit(None).cast("string").alias("since"),
+            url_param("url", "page", "1").cast("long").alias("page"), "url", "fetched_at",
+            F.to_json("data").alias("body"),
         )
-        rows.sortWithinPartitions("owner", "repo", "page").write.partitionBy("owner", "repo").parquet(path + "/events")
-    return path
-
-
-@query("paged_source", EVENTS_SQL)
-def paged_source(spark, sf):
-    """Recorded pages asked for one by one by Spark tasks, landed as received, scanned, flattened."""
-    store = Store(Scratch(spark).path("bronze"), Scratch(spark).path("silver"))
-    transport = ReplayTransport(record_responses(spark, sf))
-    land_remote(spark, store, "events", event_records(spark, sf), transport, RUN_TS)
-    return flatten_pages(scan_envelopes(spark, store.landed("events"), EVENT_SCHEMA, Scope(DAY)), EVENT_FIELDS)
+        root = Scratch(spark).path("bronze") + "/events"
+        land(raw_envelopes(responses, "events", RUN_TS), root)
+    return flatten_pages(scan_envelopes(spark, root, EVENT_SCHEMA, Scope(DAY)), EVENT_FIELDS)
 
 
 @query(
@@ -213,10 +200,13 @@ def entity_scope_filter(spark, sf):
     nation = table(spark, sf, "nation").join(
         table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    first = nation.filter("r_name = 'ASIA'").agg(F.min("n_name").alias("name")).first()["name"]
+    first = nation.filter("r_name = 'ASIA'").agg(F.min("n_name").alias("first"))
     customers = table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    entities = customers.select(F.col("r_name").alias("owner"), F.col("n_name").alias("repo"), "c_custkey")
-    return scope_entities(entities, "ASIA", first)
+    # The entity asked for is named ASIA/first wherever its nation is the first by name.
+    asked = customers.join(first, F.col("n_name") == F.col("first"), "left")
+    repo = F.when(F.col("first").isNotNull(), F.lit("first")).otherwise(F.col("n_name"))
+    entities = asked.select(F.col("r_name").alias("owner"), repo.alias("repo"), F.col("n_name"), "c_custkey")
+    return scope_entities(entities, "ASIA", "first").select("owner", F.col("n_name").alias("repo"), "c_custkey")
 
 
 @query("parse_timestamps", "select event_id, ts from events")

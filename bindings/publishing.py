@@ -19,7 +19,7 @@ from bindings.common import (
     query,
     table,
 )
-from bindings.shaping import LATEST_LINE_SQL, LINE_COLUMNS, LINE_KEYS, LINE_ORDER, customers_with_order, latest_lines
+from bindings.shaping import LATEST_LINE_SQL, LINE_COLUMNS, LINE_KEYS, LINE_ORDER, documents_with_label, latest_lines
 from silvermill.functions.columns import iso_text
 from silvermill.operators.incremental import in_window, marks_of
 from silvermill.plans.audit import read_runs
@@ -130,6 +130,20 @@ def merge_newer_by(spark, sf):
     return read_table(spark, path)
 
 
+@query("merge_type_drift", _merge_sql(LINE_COLUMNS, _OLD, _NEW))
+def merge_type_drift(spark, sf):
+    """A batch whose columns are of other types than the table's: the table keeps its own."""
+    path = Scratch(spark).path("silver") + "/lines"
+    upsert(_lines(spark, sf, _OLD), path, LINE_KEYS)
+    drifted = _lines(spark, sf, _NEW)
+    drifted = drifted.withColumns({
+        "l_orderkey": F.col("l_orderkey").cast("int"), "l_linenumber": F.col("l_linenumber").cast("string"),
+        "l_partkey": F.col("l_partkey").cast("string"), "l_shipdate": F.col("l_shipdate").cast("timestamp"),
+    })
+    upsert(drifted, path, LINE_KEYS)
+    return read_table(spark, path)
+
+
 @query("hwm_upsert", "select 'shop' as owner, event_type as repo, max(ts) as last_run from events group by event_type")
 def hwm_upsert(spark, sf):
     path = Scratch(spark).path("silver") + "/_marks"
@@ -275,7 +289,8 @@ def job_entity(spark, sf):
 
 @query(
     "run_audit_counts",
-    """select 'lines' as job, 'SUCCESS' as status, cast((select sum(ceil(n / 100.0)) from (
+    """select 'lines' as job, 'SUCCESS' as status, cast(0 as bigint) as miscounted_pages,
+    cast(0 as bigint) as corrupt_pages, cast((select sum(ceil(n / 100.0)) from (
       select count(*) as n from lineitem group by l_returnflag)) as bigint) as pages,
     (select count(*) from lineitem) as records,
     (select count(*) from (select distinct l_orderkey, l_linenumber from lineitem)) as rows_written""",
@@ -286,21 +301,19 @@ def run_audit_counts(spark, sf):
     _land_lines(spark, sf, store)
     run_entity(spark, store, LINE_FEED, LINE_TABLE, None, Scope(DAY), RUN_TS)
     return read_runs(spark, store.table("_runs")).select(
-        "job", "status", "pages", "records", F.col("rows_written")["lines"].alias("rows_written")
+        "job", "status", "pages", "miscounted_pages", "corrupt_pages", "records", F.col("rows_written")["lines"].alias("rows_written")
     )
 
 
 MIXED_FEED = Feed(
     "mixed",
-    ENVELOPE
-    + """, data array<struct<c_custkey bigint, c_name string,
-    last_order struct<o_orderkey bigint, o_orderstatus string>>>""",
+    ENVELOPE + """, data array<struct<doc_id bigint, n_chars bigint, label struct<quality int, toxic int>>>""",
     (
-        "record.c_custkey as c_custkey",
-        "record.c_name as c_name",
+        "record.doc_id as doc_id",
+        "record.n_chars as n_chars",
         "concat_ws('/', owner, repo) as repo_full_name",
-        "record.last_order.o_orderkey as o_orderkey",
-        "record.last_order is not null as has_order",
+        "record.label.quality as quality",
+        "record.label is not null as has_label",
         "to_timestamp(fetched_at) as bronze_ingested_at",
         "to_timestamp(batch_timestamp) as bronze_batch_timestamp",
     ),
@@ -308,7 +321,7 @@ MIXED_FEED = Feed(
 
 
 def _mixed_table(name, **more):
-    key = more.pop("key", "c_custkey")
+    key = more.pop("key", "doc_id")
     return Table(
         name,
         dedupe_keys=("repo_full_name", key, "snapshot_date"),
@@ -321,29 +334,26 @@ def _mixed_table(name, **more):
 
 @query(
     "job_split",
-    f"""with l as (select o_custkey, o_orderkey from orders where o_orderdate >= timestamp '2001-06-01'
-      qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1)
-    select c_custkey, c_name, o_orderkey, case when o_orderkey is null then 'absent' else 'present' end as part
-    from customer left join l on c_custkey = o_custkey""",
+    """select doc_id, n_chars, quality, case when quality is null then 'absent' else 'present' end as part
+    from documents left join labels using (doc_id)""",
 )
 def job_split(spark, sf):
-    """Customer pages with an optional order struct to two tables, one with a renamed key."""
+    """Document pages with an optional label struct to two tables, one with a renamed key."""
     store = _store(spark)
-    order = F.when(F.col("o_orderkey").isNotNull(), F.struct("o_orderkey", "o_orderstatus")).alias("last_order")
-    rows = customers_with_order(spark, sf).select(
-        F.lit("shop").alias("owner"), F.col("c_mktsegment").alias("repo"), F.col("o_custkey").alias("c_custkey"),
-        "c_name", order,
+    label = F.when(F.col("quality").isNotNull(), F.struct("quality", "toxic")).alias("label")
+    rows = documents_with_label(spark, sf).select(
+        F.lit("corpus").alias("owner"), F.col("lang").alias("repo"), "doc_id", "n_chars", label
     )
     land_records(
-        spark, store, "mixed", rows, rows.select("owner", "repo").distinct(), RUN_TS, "c_custkey", fetched_at=RUN_TS
+        spark, store, "mixed", rows, rows.select("owner", "repo").distinct(), RUN_TS, "doc_id", fetched_at=RUN_TS
     )
-    without = _mixed_table("without_order")
-    having = _mixed_table("with_order", key="buyer_id", renames={"c_custkey": "buyer_id"})
-    run_split_entity(spark, store, MIXED_FEED, "has_order", without, having, None, Scope(DAY), RUN_TS)
-    absent = read_table(spark, store.table("without_order")).withColumn("part", F.lit("absent"))
-    present = read_table(spark, store.table("with_order")).withColumn("part", F.lit("present"))
-    present = present.withColumnRenamed("buyer_id", "c_custkey")
-    columns = ["c_custkey", "c_name", "o_orderkey", "part"]
+    without = _mixed_table("without_label")
+    having = _mixed_table("with_label", key="labelled_id", renames={"doc_id": "labelled_id"})
+    run_split_entity(spark, store, MIXED_FEED, "has_label", without, having, None, Scope(DAY), RUN_TS)
+    absent = read_table(spark, store.table("without_label")).withColumn("part", F.lit("absent"))
+    present = read_table(spark, store.table("with_label")).withColumn("part", F.lit("present"))
+    present = present.withColumnRenamed("labelled_id", "doc_id")
+    columns = ["doc_id", "n_chars", "quality", "part"]
     return absent.select(*columns).unionByName(present.select(*columns))
 
 
@@ -368,16 +378,23 @@ def land_incremental(spark, sf):
     return newest.groupBy(F.col("repo").alias("event_type")).agg(F.sum("count").alias("landed"))
 
 
-@query("stream_equals_batch", "select event_id, ts, user_id, event_type, value from events")
+@query(
+    "stream_equals_batch",
+    """select event_id, ts, user_id, event_type, value, timestamp '2026-04-06 02:00:00' as silver_ingested_at,
+    date '2026-04-06' as snapshot_date from events""",
+)
 def stream_equals_batch(spark, sf):
     """Two rounds of new files, each taken once, end in the table one batch would give."""
     store = _store(spark)
     checkpoint = Scratch(spark).path("stream")
-    feed = Feed("events", EVENT_SCHEMA, EVENT_FIELDS)
+    batch_time = "to_timestamp(batch_timestamp) as bronze_batch_timestamp"
+    feed = Feed("events", EVENT_SCHEMA, (*EVENT_FIELDS, batch_time))
     records = event_records(spark, sf).withColumn("at", F.to_timestamp("ts"))
     entities = records.select("owner", "repo").distinct()
     cut = datetime(2024, 1, 16)
     for since, until in ((None, cut), (cut, None)):
         land_records(spark, store, "events", records, entities, RUN_TS, "at", since, until, fetched_at=RUN_TS)
-        stream_entity(spark, store, feed, STREAM_TABLE, checkpoint)
-    return read_table(spark, store.table("events"))
+        stream_entity(spark, store, feed, STREAM_TABLE, checkpoint, run_ts=RUN_TS)
+    ingested = F.col("silver_ingested_at").cast("timestamp_ntz")
+    streamed = read_table(spark, store.table("events")).drop("bronze_batch_timestamp")
+    return streamed.withColumn("silver_ingested_at", ingested)

@@ -24,24 +24,18 @@ LATEST_LINE_SQL = f"""select {LINE_COLUMNS} from lineitem qualify row_number() o
   order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_extendedprice desc, l_quantity desc) = 1"""
 LATEST_ORDER_SQL = """select o_custkey, o_orderkey, o_orderstatus, o_orderdate from orders {where}
 qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1"""
-RECENT = "o_orderdate >= timestamp '2001-06-01'"
-RECENT_ORDER_SQL = LATEST_ORDER_SQL.format(where="where " + RECENT)
 
 
 def latest_lines(df):
     return latest_by(df.select(*LINE_COLUMNS.split(", ")), LINE_KEYS, LINE_ORDER)
 
 
-def recent_orders(spark, sf):
-    """The newest order per customer since 2001-06-01."""
-    orders = table(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("2001-06-01").cast("timestamp_ntz"))
-    newest = latest_lookup(orders, ["o_custkey"], ["o_orderkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"])
-    return Scratch(spark).stage(newest, "lookup")
-
-
-def customers_with_order(spark, sf):
-    customer = table(spark, sf, "customer").withColumnRenamed("c_custkey", "o_custkey")
-    return enrich_left(customer, recent_orders(spark, sf), ["o_custkey"], ["o_orderkey", "o_orderstatus"])
+def documents_with_label(spark, sf):
+    """All documents, with their newest label where they have one; about half have none."""
+    labels = table(spark, sf, "labels")
+    newest = latest_lookup(labels, ["doc_id"], ["quality", "toxic"], ["quality", "toxic"])
+    documents = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return enrich_left(documents, Scratch(spark).stage(newest, "lookup"), ["doc_id"], ["quality", "toxic"])
 
 
 def labelled(spark, sf):
@@ -57,6 +51,24 @@ def explode_flatten(spark, sf):
     )
 
 
+@query(
+    "flatten_mixed",
+    """select lower(role) || '#' || conv_id as conv_id, conv_id || '/' || turn as turn_id, 'record' as kind, turn
+    from conversations""",
+)
+def flatten_mixed(spark, sf):
+    """An expression over an envelope column and a record field, another whose name is that of the envelope
+    column, and a literal that spells the record's name."""
+    pages = paginate(table(spark, sf, "conversations").select("conv_id", "turn", "role"), ["conv_id"], Scratch(spark))
+    fields = (
+        "concat(lower(record.role), '#', conv_id) as conv_id",
+        "concat_ws('/', conv_id, record.turn) as turn_id",
+        "'record' as kind",
+        "record.turn as turn",
+    )
+    return flatten_pages(pages, fields)
+
+
 @query("explode_drops_empty", "select doc_id, quality, toxic from documents join labels using (doc_id)")
 def explode_drops_empty(spark, sf):
     """Documents without a label carry an empty array, and give no row."""
@@ -68,20 +80,20 @@ def explode_drops_empty(spark, sf):
     return flatten_pages(pages, ("doc_id", "record.quality as quality", "record.toxic as toxic"))
 
 
-def _split_customers(spark, sf):
-    order = F.when(F.col("o_orderkey").isNotNull(), F.struct("o_orderkey", "o_orderstatus"))
-    base = customers_with_order(spark, sf).select(F.col("o_custkey").alias("c_custkey"), order.alias("last_order"))
-    return split_by(base.withColumn("has_order", F.col("last_order").isNotNull()), "has_order")
+def _split_documents(spark, sf):
+    label = F.when(F.col("quality").isNotNull(), F.struct("quality", "toxic")).alias("label")
+    base = documents_with_label(spark, sf).select("doc_id", label)
+    return split_by(base.withColumn("has_label", F.col("label").isNotNull()), "has_label")
 
 
-@query("split_present", f"select o_custkey as c_custkey, o_orderkey from customer join ({RECENT_ORDER_SQL}) on c_custkey = o_custkey")
+@query("split_present", "select doc_id, quality, toxic from documents join labels using (doc_id)")
 def split_present(spark, sf):
-    return _split_customers(spark, sf)[1].select("c_custkey", "last_order.o_orderkey")
+    return _split_documents(spark, sf)[1].select("doc_id", "label.quality", "label.toxic")
 
 
-@query("split_absent", f"select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey and {RECENT})")
+@query("split_absent", "select doc_id from documents where doc_id not in (select doc_id from labels)")
 def split_absent(spark, sf):
-    return _split_customers(spark, sf)[0].select("c_custkey")
+    return _split_documents(spark, sf)[0].select("doc_id")
 
 
 @query("equality_flag", "select doc_id, quality = 1 as flag from documents left join labels using (doc_id)")
@@ -160,23 +172,20 @@ def lookup_latest(spark, sf):
 
 @query(
     "enrich_left",
-    f"""select c_custkey, c_name, c_mktsegment, o_orderkey, o_orderstatus
-    from customer left join ({RECENT_ORDER_SQL}) on c_custkey = o_custkey""",
+    "select doc_id, lang, source, n_chars, quality, toxic from documents left join labels using (doc_id)",
 )
 def enrich(spark, sf):
-    return customers_with_order(spark, sf).select(
-        F.col("o_custkey").alias("c_custkey"), "c_name", "c_mktsegment", "o_orderkey", "o_orderstatus"
-    )
+    return documents_with_label(spark, sf)
 
 
 @query(
     "enrich_miss_count",
-    f"""select count(*) as row_count, count(*) filter (where o_orderkey is null) as missing
-    from customer left join ({RECENT_ORDER_SQL}) on c_custkey = o_custkey""",
+    """select count(*) as row_count, count(*) filter (where quality is null) as missing
+    from documents left join labels using (doc_id)""",
 )
 def enrich_miss_count(spark, sf):
-    return customers_with_order(spark, sf).agg(
-        F.count("*").alias("row_count"), miss_count("o_orderkey").alias("missing")
+    return documents_with_label(spark, sf).agg(
+        F.count("*").alias("row_count"), miss_count("quality").alias("missing")
     )
 
 

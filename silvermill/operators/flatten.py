@@ -2,29 +2,45 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silvermill.functions.columns import run_stamp, snapshot_date
 
 
+def _resolves(df: DataFrame, expression: str) -> str | None:
+    """The name of a select expression over ``df``, or None where it needs a column that is not there."""
+    try:
+        return df.select(F.expr(expression)).columns[0]
+    except AnalysisException as problem:
+        if problem.getCondition().startswith("UNRESOLVED_COLUMN"):
+            return None
+        raise
+
+
 def flatten_pages(envelopes: DataFrame, fields: Sequence[str], data: str = "data") -> DataFrame:
     """One row per record of the page's array; a null or empty array gives no row.
 
-    ``fields`` are select expressions over the envelope's columns and ``record``. Those that do
-    not name ``record`` are computed once per page, before the array is exploded.
+    ``fields`` are select expressions over the envelope's columns and ``record``. Those that the
+    envelope alone answers are computed once per page, before the array is exploded, under private
+    names: an output name that is also an envelope column does not hide it from the others.
     """
-    of_record = [re.search(r"\brecord\b", f) is not None for f in fields]
+    if "record" in (c.lower() for c in envelopes.columns):
+        raise ValueError("an envelope column named record would hide the page's records")
+    empty = envelopes.sparkSession.createDataFrame([], envelopes.schema)
+    names = [_resolves(empty, f) for f in fields]
+    of_page = {i: f"_page_{i}" for i, name in enumerate(names) if name is not None}
     pages = envelopes.select(
-        F.col(data).alias("_data"), *[F.expr(f) for f, inner in zip(fields, of_record) if not inner]
+        *[F.col(f"`{c}`") for c in envelopes.columns if c != data],
+        F.col(data).alias("_data"),
+        *[F.expr(fields[i]).alias(private) for i, private in of_page.items()],
     )
-    of_page = iter(pages.columns[1:])
     return pages.withColumn("record", F.explode("_data")).select(
-        *[F.expr(f) if inner else F.col(f"`{next(of_page)}`") for f, inner in zip(fields, of_record)]
+        *[F.col(of_page[i]).alias(names[i]) if i in of_page else F.expr(f) for i, f in enumerate(fields)]
     )
 
 

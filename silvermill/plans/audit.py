@@ -15,7 +15,7 @@ log = logging.getLogger(__name__)
 
 RUN_SCHEMA = (
     "job_run_id string, job string, status string, process_date string, owner string, repo string, "
-    "started_at timestamp, finished_at timestamp, pages bigint, miscounted_pages bigint, records bigint, "
+    "started_at timestamp, finished_at timestamp, pages bigint, miscounted_pages bigint, corrupt_pages bigint, records bigint, "
     "rows_written map<string,bigint>, error string"
 )
 
@@ -37,6 +37,7 @@ class Run:
     finished_at: datetime | None = None
     pages: int | None = None
     miscounted_pages: int | None = None
+    corrupt_pages: int | None = None
     records: int | None = None
     rows_written: dict[str, int] = field(default_factory=dict)
     error: str | None = None
@@ -47,7 +48,7 @@ class Run:
 
     def __exit__(self, _, error, __) -> None:
         self.status = "SUCCESS" if error is None else "FAILED"
-        self.error = None if error is None else str(error)[:4000]
+        self.error = None if error is None else str(error)
         self.finished_at = datetime.now(timezone.utc)
         facts = {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("spark", "path")}
         log.info("%s", facts)

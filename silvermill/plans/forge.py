@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from silvermill.plans.specs import Feed, Lookup, Store, Table
 from silvermill.sources.entities import scope_entities
 from silvermill.sources.envelopes import Scope
 from silvermill.sources.paged import Transport
+from silvermill.streaming.ingest import stream_entity, stream_split
 
 # Envelope fields read, and the output columns they become, in order.
 
@@ -115,8 +117,6 @@ PULL_RENAMES = {
     "issue_state": "pull_state",
 }
 
-# End of the fixed values.
-
 REPO_FEED = Feed("repo_metadata", REPO_SCHEMA, REPO_FIELDS)
 COMMIT_FEED = Feed("commits", COMMIT_SCHEMA, COMMIT_FIELDS)
 ISSUE_FEED = Feed("issues", ISSUE_SCHEMA, ISSUE_FIELDS)
@@ -126,6 +126,7 @@ REPOS = Table(
     dedupe_keys=("repo_id", "snapshot_date"),
     required=("repo_id", "repo_full_name", "repo_url", "snapshot_date"),
     not_negative=("size_kb", "network_count", "open_issues_count", "stargazers_count", "subscribers_count"),
+    current_by=("repo_full_name",),
 )
 COMMITS = Table(
     "commits",
@@ -152,6 +153,8 @@ PULLS = Table(
 )
 REPO_IDS = Lookup("repo_metadata", key=("repo_full_name",), values=("repo_id",))
 
+# End of the fixed values.
+
 
 def land_run(
     spark: SparkSession, store: Store, entities: DataFrame, transport: Transport, run_ts: datetime,
@@ -166,7 +169,7 @@ def land_run(
 
 
 def with_layout(feed: Feed, layout: str) -> Feed:
-    return Feed(feed.endpoint, feed.schema, feed.fields, layout)
+    return replace(feed, layout=layout)
 
 
 def repos_job(spark: SparkSession, store: Store, scope: Scope, run_ts: datetime | None = None, layout: str = "keyed") -> Run:
@@ -190,6 +193,17 @@ def issues_job(
     )
 
 
+def stream_commits(spark: SparkSession, store: Store, checkpoint: str, layout: str = "keyed", **options) -> int:
+    """Commits of newly landed files, once each."""
+    return stream_entity(spark, store, with_layout(COMMIT_FEED, layout), COMMITS, checkpoint, REPO_IDS, **options)
+
+
+def stream_issues(spark: SparkSession, store: Store, checkpoint: str, layout: str = "keyed", **options) -> int:
+    """Issues and pull requests of newly landed files, once each."""
+    feed = with_layout(ISSUE_FEED, layout)
+    return stream_split(spark, store, feed, "is_pull_request", ISSUES, PULLS, checkpoint, REPO_IDS, **options)
+
+
 def run_date(
     spark: SparkSession, store: Store, scope: Scope, run_ts: datetime | None = None, layout: str = "keyed",
     allow_missing: bool = False,

@@ -6,28 +6,33 @@ that, and publishes only after every gate of the job has passed.
 
 from __future__ import annotations
 
+import functools
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silvermill.operators.enrich import enrich_left
 from silvermill.operators.flatten import flatten_pages, flatten_snapshots, split_by, stamp
 from silvermill.operators.latest import latest_by, latest_lookup
-from silvermill.operators.quality import enforce, evaluate, rules_for
+from silvermill.operators.quality import QualityError, enforce, evaluate, rules_for
 from silvermill.plans.audit import Run
 from silvermill.plans.specs import Feed, Lookup, Store, Table
 from silvermill.session import Scratch
 from silvermill.sinks import delta
+from silvermill.sinks.landing import ENTITY
 from silvermill.sinks.replace import replace_where
-from silvermill.sinks.upsert import merge, read_table, write_draft
+from silvermill.sinks.upsert import SilverTable, merge, read_table, upsert, write_draft
 from silvermill.sources.envelopes import Scope, scan_envelopes
 
 log = logging.getLogger(__name__)
 
+CORRUPT = "_corrupt"
+
 
 def _run(spark: SparkSession, store: Store, job: str, scope: Scope, run_ts: datetime | None) -> Run:
     run = Run(spark, store.table("_runs"), job, scope.process_date, scope.owner, scope.repo)
@@ -37,28 +42,52 @@ def _run(spark: SparkSession, store: Store, job: str, scope: Scope, run_ts: date
 
 
 def _flat(
-    run: Run, store: Store, feed: Feed, scope: Scope, scratch: Scratch, paged: bool,
-    partition_by: tuple[str, ...] = (), allow_missing: bool = False,
+    run: Run, store: Store, feed: Feed, envelopes: DataFrame, scratch: Scratch, paged: bool,
+    partition_by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Scan, flatten, stamp and stage. Envelopes and records are counted on the way: the staging
-    job has no shuffle, so a lost executor cannot make them count twice."""
-    envelopes = scan_envelopes(
-        run.spark, store.landed(feed.endpoint), feed.schema, scope, feed.layout, allow_missing=allow_missing
-    )
+    """Flatten, stamp and stage scanned envelopes. Envelopes and records are counted on the way: the
+    staging job has no shuffle, so a lost executor cannot make them count twice.
+
+    A page is damaged when it cannot be read as JSON, or when its stated count is not the number of its
+    records. The text of unreadable pages goes to the table ``_quarantine``; then the feed's ``damaged``
+    decides whether the job fails or warns.
+    """
     pages, records = Observation(), Observation()
-    # A page whose stated count is not the number of its records was cut or altered.
-    stated = paged and "count" in envelopes.columns
+    fields = [f for f in envelopes.columns if f != CORRUPT]
+    # Owner and repo may come from the folder.
+    nothing = functools.reduce(Column.__and__, [F.col(f"`{f}`").isNull() for f in fields if f not in ENTITY])
+    unread = F.col(CORRUPT).isNotNull() & nothing
+    stated = paged and "count" in fields
     wrong = F.count_if(F.coalesce(F.size("data"), F.lit(0)) != F.col("count")) if stated else F.count_if(F.lit(False))
-    envelopes = envelopes.observe(pages, F.count("*").alias("n"), wrong.alias("wrong"))
+    counted = envelopes.observe(
+        pages, F.count("*").alias("n"), wrong.alias("wrong"), F.count_if(unread).alias("unread")
+    )
     flatten = flatten_pages if paged else flatten_snapshots
-    flat = stamp(flatten(envelopes, feed.fields), run.started_at).observe(records, F.count("*").alias("n"))
+    flat = stamp(flatten(counted, feed.fields), run.started_at).observe(records, F.count("*").alias("n"))
     staged = scratch.stage(flat, feed.endpoint, partition_by)
-    run.pages, run.records, run.miscounted_pages = pages.get["n"], records.get["n"], pages.get["wrong"]
-    if run.miscounted_pages:
-        log.warning("job=%s pages with another count than stated: %s", run.job, run.miscounted_pages)
+    run.pages, run.records = pages.get["n"], records.get["n"]
+    run.miscounted_pages, run.corrupt_pages = pages.get["wrong"], pages.get["unread"]
+    if run.corrupt_pages:
+        text = envelopes.filter(unread).select(
+            F.lit(run.job_run_id).alias("job_run_id"), F.lit(feed.endpoint).alias("endpoint"), F.col(CORRUPT).alias("text")
+        )
+        text.write.mode("append").json(store.table("_quarantine"))
+    if run.corrupt_pages or run.miscounted_pages:
+        problem = f"{run.job}: corrupt_pages={run.corrupt_pages}; miscounted_pages={run.miscounted_pages}"
+        if feed.damaged == "error":
+            raise QualityError(problem)
+        log.warning(problem)
     return staged
 
 
+def _scan(run: Run, store: Store, feed: Feed, scope: Scope, allow_missing: bool = False) -> DataFrame:
+    return scan_envelopes(
+        run.spark, store.landed(feed.endpoint), feed.schema, scope, feed.layout,
+        endpoint=feed.endpoint if "endpoint" in T.StructType.fromDDL(feed.schema).fieldNames() else None,
+        allow_missing=allow_missing, corrupt_column=CORRUPT,
+    )
+
+
 def read_silver(spark: SparkSession, store: Store, name: str) -> DataFrame:
     path = store.table(name)
     return delta.read_table(spark, path) if store.format == "delta" else read_table(spark, path)
@@ -68,10 +97,25 @@ def newest(spark: SparkSession, store: Store, lookup: Lookup | None, scratch: Sc
     """The lookup's newest version per key, staged: read once however many tables it enriches."""
     if lookup is None:
         return None
+    current = store.table(current_name(lookup.table))
+    if store.format != "delta" and SilverTable(spark, current).state() is not None:
+        return read_table(spark, current).select(*lookup.key, *lookup.values)
     silver = read_silver(spark, store, lookup.table)
     return scratch.stage(latest_lookup(silver, lookup.key, lookup.values, lookup.version), "lookup")
 
 
+def current_name(table: str) -> str:
+    return f"{table}_current"
+
+
+def _keep_current(rows: DataFrame, store: Store, table: Table) -> None:
+    """The newest version of each key beside a snapshot table's history, so that lookups need not read all
+    dates. An older date that is run later does not replace a newer version."""
+    path = store.table(current_name(table.name))
+    newest_rows = latest_by(rows, table.current_by, table.order)
+    upsert(newest_rows, path, table.current_by, newer_by="snapshot_date")
+
+
 def shape(flat: DataFrame, table: Table, lookup: Lookup | None = None, values: DataFrame | None = None) -> DataFrame:
     """Flat rows to the rows a table would get: renamed, latest per key, enriched."""
     df = latest_by(flat.withColumnsRenamed(dict(table.renames)), table.dedupe_keys, table.order)
@@ -95,9 +139,9 @@ def upsert_candidate(
     path, keys = store.table(table.name), table.publish_keys
     if store.format == "delta":
         rows = scratch.stage(df, table.name)
-        return Candidate(rows, lambda: delta.upsert(rows, path, keys, table.partition_by), lambda: None)
+        return Candidate(rows, lambda: delta.upsert(rows, path, keys, table.partition_by, table.newer_by), lambda: None)
     rebalance = not (one_day and table.partition_by == ("snapshot_date",))
-    draft = write_draft(spark, df, path, table.partition_by, rebalance)
+    draft = write_draft(spark, df, path, keys, table.partition_by, rebalance, table.buckets)
     return Candidate(draft.rows, lambda: merge(draft, keys, table.newer_by, unique=True), draft.discard)
 
 
@@ -106,7 +150,7 @@ def check_and_publish(work: Sequence[tuple[Table, Candidate]], lookup: Lookup |
     published. Returns row counts."""
     waiting = [candidate for _, candidate in work]
     try:
-        rows = {table.name: _check(candidate.rows, table, "warn", lookup) for table, candidate in work}
+        rows = {table.name: check(candidate.rows, table, "warn", lookup) for table, candidate in work}
         while waiting:
             waiting[0].publish()
             waiting.pop(0)
@@ -117,12 +161,15 @@ def check_and_publish(work: Sequence[tuple[Table, Candidate]], lookup: Lookup |
     return rows
 
 
-def _check(candidate: DataFrame, table: Table, empty: str, lookup: Lookup | None = None) -> int:
+def check(candidate: DataFrame, table: Table, empty: str, lookup: Lookup | None = None) -> int:
+    """The gate. Rows that were made unique on some of the publish keys are unique on all of them, so that
+    rule's shuffle is left out."""
+    proven = bool(table.publish_keys) and set(table.dedupe_keys) <= set(table.publish_keys)
     rules = rules_for(
         required=table.required,
         not_blank=table.not_blank,
         not_negative=table.not_negative,
-        unique=table.publish_keys,
+        unique=() if proven else table.publish_keys,
         known=lookup.values if lookup else (),
         empty=empty,
     )
@@ -136,26 +183,52 @@ def run_snapshot(
     """One row per entity and day: replaces the process date, or one entity inside it. An empty
     result is an error."""
     with _run(spark, store, table.name, scope, run_ts) as run, Scratch(spark) as scratch:
-        flat = _flat(run, store, feed, scope, scratch, paged=False)
+        flat = _flat(run, store, feed, _scan(run, store, feed, scope), scratch, paged=False)
         candidate = scratch.stage(shape(flat, table), table.name)
-        rows = _check(candidate, table, empty="error")
+        rows = check(candidate, table, empty="error")
         entity = F.col(entity_column) == F.lit(f"{scope.owner}/{scope.repo}") if scope.owner else None
         publish = delta.replace_where if store.format == "delta" else replace_where
         publish(candidate, store.table(table.name), scope.process_date, entity)
+        if table.current_by and store.format != "delta":
+            _keep_current(candidate, store, table)
         run.rows_written = {table.name: rows}
     return run
 
 
+def publish_entity(
+    run: Run, store: Store, feed: Feed, table: Table, lookup: Lookup | None, envelopes: DataFrame,
+    scratch: Scratch, one_day: bool,
+) -> None:
+    """Envelopes to one upserted table: the body of the entity job and of its stream."""
+    flat = _flat(run, store, feed, envelopes, scratch, paged=True)
+    df = shape(flat, table, lookup, newest(run.spark, store, lookup, scratch))
+    candidate = upsert_candidate(run.spark, store, table, df, scratch, one_day)
+    run.rows_written = check_and_publish([(table, candidate)], lookup)
+
+
+def publish_split(
+    run: Run, store: Store, feed: Feed, flag: str, without: Table, having: Table, lookup: Lookup | None,
+    envelopes: DataFrame, scratch: Scratch, one_day: bool,
+) -> None:
+    """Envelopes of a mixed feed to two upserted tables. Staged by the flag, so either table reads only its
+    own rows; both gates pass before either table is published."""
+    flat = _flat(run, store, feed, envelopes, scratch, paged=True, partition_by=(flag,))
+    values = newest(run.spark, store, lookup, scratch)
+    work = []
+    for part, table in zip(split_by(flat, flag), (without, having)):
+        df = shape(part, table, lookup, values)
+        work.append((table, upsert_candidate(run.spark, store, table, df, scratch, one_day)))
+    run.rows_written = check_and_publish(work, lookup)
+
+
 def run_entity(
     spark: SparkSession, store: Store, feed: Feed, table: Table, lookup: Lookup | None, scope: Scope,
     run_ts: datetime | None = None, allow_missing: bool = False,
 ) -> Run:
     """One current row per key: upserted. An empty result is only a warning."""
     with _run(spark, store, table.name, scope, run_ts) as run, Scratch(spark) as scratch:
-        flat = _flat(run, store, feed, scope, scratch, paged=True, allow_missing=allow_missing)
-        df = shape(flat, table, lookup, newest(spark, store, lookup, scratch))
-        candidate = upsert_candidate(spark, store, table, df, scratch, scope.process_date is not None)
-        run.rows_written = check_and_publish([(table, candidate)], lookup)
+        envelopes = _scan(run, store, feed, scope, allow_missing)
+        publish_entity(run, store, feed, table, lookup, envelopes, scratch, scope.process_date is not None)
     return run
 
 
@@ -163,17 +236,11 @@ def run_split_entity(
     spark: SparkSession, store: Store, feed: Feed, flag: str, without: Table, having: Table,
     lookup: Lookup | None, scope: Scope, run_ts: datetime | None = None, allow_missing: bool = False,
 ) -> Run:
-    """A mixed feed to two entity tables. Staged by the flag, so either table reads only its own
-    rows; both gates pass before either table is published."""
+    """A mixed feed to two entity tables."""
     with _run(spark, store, feed.endpoint, scope, run_ts) as run, Scratch(spark) as scratch:
-        flat = _flat(run, store, feed, scope, scratch, paged=True, partition_by=(flag,), allow_missing=allow_missing)
-        values = newest(spark, store, lookup, scratch)
-        work = []
-        for part, table in zip(split_by(flat, flag), (without, having)):
-            df = shape(part, table, lookup, values)
-            one_day = scope.process_date is not None
-            work.append((table, upsert_candidate(spark, store, table, df, scratch, one_day)))
-        run.rows_written = check_and_publish(work, lookup)
+        envelopes = _scan(run, store, feed, scope, allow_missing)
+        one_day = scope.process_date is not None
+        publish_split(run, store, feed, flag, without, having, lookup, envelopes, scratch, one_day)
     return run
 
 

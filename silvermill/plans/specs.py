@@ -27,17 +27,21 @@ class Store:
 @dataclass(frozen=True)
 class Feed:
     """Envelopes of one endpoint. ``fields`` are select expressions over the envelope's columns,
-    with ``record`` for the exploded element of page feeds."""
+    with ``record`` for the exploded element of page feeds. ``damaged`` says what unreadable and
+    miscounted pages do to a job: error or warn."""
 
     endpoint: str
     schema: str
     fields: tuple[str, ...]
     layout: str = "keyed"
+    damaged: str = "error"
 
 
 @dataclass(frozen=True)
 class Table:
-    """A silver table: how its rows are made unique, checked and published."""
+    """A silver table: how its rows are made unique, checked and published. An upserted one needs
+    ``publish_keys``; ``buckets`` holds where it has no ``partition_by``. A snapshot table with ``current_by``
+    keeps the newest version per that key in a table beside it."""
 
     name: str
     dedupe_keys: tuple[str, ...]
@@ -49,6 +53,8 @@ class Table:
     renames: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
     newer_by: str | None = None
+    buckets: int = 16
+    current_by: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

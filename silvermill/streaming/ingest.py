@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from silvermill.operators.flatten import flatten_pages
-from silvermill.plans.jobs import check_and_publish, newest, shape, upsert_candidate
+from silvermill.plans.audit import Run
+from silvermill.plans.jobs import CORRUPT, publish_entity, publish_split
 from silvermill.plans.specs import Feed, Lookup, Store, Table
 from silvermill.session import Scratch
 from silvermill.sinks.landing import TIME_PARTITIONS
@@ -21,51 +22,74 @@ def ingest_available(
     checkpoint: str,
     apply: Callable[[DataFrame, int], None],
     files_per_batch: int | None = None,
+    layout: str = "keyed",
 ) -> int:
     """Pass every envelope file not seen before to ``apply(batch, batch_id)``, then stop.
 
-    Returns the number of batches run. A batch that was cut off is given again, so ``apply``
-    must be idempotent.
+    A batch has the columns of ``schema`` and the text of unreadable lines. Returns the number of batches
+    run. A batch that was cut off is given again, so ``apply`` must be idempotent.
     """
-    fields = T.StructType.fromDDL(schema)
-    for name in TIME_PARTITIONS:
-        fields = fields.add(name, "string")
-    reader = spark.readStream.schema(fields)
+    fields = T.StructType.fromDDL(schema).add(CORRUPT, "string")
+    columns = fields.fieldNames()
+    reader = spark.readStream.option("columnNameOfCorruptRecord", CORRUPT)
+    if layout == "bare":
+        reader = reader.option("recursiveFileLookup", "true")
+    else:
+        for name in TIME_PARTITIONS:
+            fields = fields.add(name, "string")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     ran = []
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        apply(batch, batch_id)
+        apply(batch.select(*columns), batch_id)
         ran.append(batch_id)
 
     query = (
-        reader.json(root)
+        reader.schema(fields).json(root)
         .writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
-    )
+    )
     query.awaitTermination()
     return len(ran)
 
 
+def _stream(
+    spark: SparkSession, store: Store, feed: Feed, job: str, checkpoint: str, run_ts: datetime | None,
+    files_per_batch: int | None, publish: Callable[[Run, DataFrame, Scratch], None],
+) -> int:
+    """``publish`` per batch of new files, each batch a run of its own in the audit table."""
+
+    def apply(batch: DataFrame, _: int) -> None:
+        with Run(spark, store.table("_runs"), job) as run, Scratch(spark) as scratch:
+            run.started_at = run_ts or run.started_at
+            publish(run, batch, scratch)
+
+    root = store.landed(feed.endpoint)
+    return ingest_available(spark, root, feed.schema, checkpoint, apply, files_per_batch, feed.layout)
+
+
 def stream_entity(
-    spark: SparkSession,
-    store: Store,
-    feed: Feed,
-    table: Table,
-    checkpoint: str,
-    lookup: Lookup | None = None,
-    files_per_batch: int | None = None,
+    spark: SparkSession, store: Store, feed: Feed, table: Table, checkpoint: str, lookup: Lookup | None = None,
+    files_per_batch: int | None = None, run_ts: datetime | None = None,
 ) -> int:
     """The entity job per batch of new files: flatten, latest, enrich, gate, upsert."""
 
-    def apply(batch: DataFrame, _: int) -> None:
-        with Scratch(spark) as scratch:
-            values = newest(spark, store, lookup, scratch)
-            df = shape(flatten_pages(batch, feed.fields), table, lookup, values)
-            candidate = upsert_candidate(spark, store, table, df, scratch, one_day=False)
-            check_and_publish([(table, candidate)], lookup)
+    def publish(run: Run, batch: DataFrame, scratch: Scratch) -> None:
+        publish_entity(run, store, feed, table, lookup, batch, scratch, one_day=False)
+
+    return _stream(spark, store, feed, table.name, checkpoint, run_ts, files_per_batch, publish)
+
+
+def stream_split(
+    spark: SparkSession, store: Store, feed: Feed, flag: str, without: Table, having: Table, checkpoint: str,
+    lookup: Lookup | None = None, files_per_batch: int | None = None, run_ts: datetime | None = None,
+) -> int:
+    """The job of a mixed feed per batch of new files."""
+
+    def publish(run: Run, batch: DataFrame, scratch: Scratch) -> None:
+        publish_split(run, store, feed, flag, without, having, lookup, batch, scratch, one_day=False)
 
-    return ingest_available(spark, store.landed(feed.endpoint), feed.schema, checkpoint, apply, files_per_batch)
+    return _stream(spark, store, feed, feed.endpoint, checkpoint, run_ts, files_per_batch, publish)

@@ -2,6 +2,7 @@
 
 import json
 import os
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
@@ -9,13 +10,13 @@ from pyspark.sql import functions as F
 
 from silvermill.operators.quality import QualityError
 from silvermill.plans import cli, forge, jobs
-from silvermill.plans.audit import read_runs
+from silvermill.plans.audit import Run, read_runs
 from silvermill.plans.jobs import backfill
 from silvermill.plans.specs import Store
+from silvermill.session import Scratch
 from silvermill.sinks.upsert import read_table
 from silvermill.sources.envelopes import Scope
 from silvermill.sources.paged import Response
-from silvermill.streaming.ingest import stream_entity
 
 RUN = datetime(2026, 4, 6, 3, tzinfo=timezone.utc)
 
@@ -185,17 +186,53 @@ def test_a_late_failure_keeps_what_is_published(spark, world, monkeypatch):
 def test_corrupt_file_and_wrong_count(spark, world):
     bronze, store, layout = world
     fill(bronze)
-    bronze.put("commits", "o", "r", None, text="{broken")
-    bronze.put("repo_metadata", "o", "r", repo(1, "o/r"))
+    cut = json.dumps({"owner": "o", "repo": "r", "data": [commit("d"), commit("e")]})[:-40]
+    bronze.put("commits", "o", "r", None, text=cut)
     forge.repos_job(spark, store, Scope("2026-04-06"), RUN, layout)
+    with pytest.raises(QualityError, match="corrupt_pages=1; miscounted_pages=0"):
+        forge.commits_job(spark, store, Scope("2026-04-06"), RUN, layout)
+    assert not os.path.exists(store.table("commits"))
     bronze.put("commits", "o", "r", [commit("c")], count=2)
-    run = forge.commits_job(spark, store, Scope("2026-04-06"), RUN, layout)
-    assert (run.pages, run.records, run.miscounted_pages) == (6, 5, 1)  # counted as a page, gives no record
+    feed = replace(forge.COMMIT_FEED, damaged="warn")
+    run = jobs.run_entity(spark, store, feed, forge.COMMITS, forge.REPO_IDS, Scope("2026-04-06"), RUN)
+    assert (run.pages, run.records, run.miscounted_pages, run.corrupt_pages) == (6, 5, 1, 1)
+    failed, passed = (read_runs(spark, store.table("_runs")).filter("job = 'commits'").orderBy("status").collect())
+    assert (failed.status, failed.corrupt_pages, passed.status, passed.corrupt_pages) == ("FAILED", 1, "SUCCESS", 1)
+    kept = spark.read.json(store.table("_quarantine")).collect()
+    assert {(r.endpoint, r.text) for r in kept} == {("commits", cut)} and len(kept) == 2
     bronze.put("repo_metadata", "o", "r", None, text="{broken")
-    with pytest.raises(QualityError, match="not_null"):
+    with pytest.raises(QualityError, match="corrupt_pages=1"):
         forge.repos_job(spark, store, Scope("2026-04-06"), RUN, layout)
 
 
+def test_wrongly_typed_field_is_null(spark, world):
+    bronze, store, layout = world
+    bronze.put("repo_metadata", "o", "r", repo(1, "o/r", size="large"))
+    run = forge.repos_job(spark, store, Scope("2026-04-06"), RUN, layout)
+    assert run.corrupt_pages == 0 and read_table(spark, store.table("repo_metadata")).first().size_kb is None
+
+
+def test_long_errors_are_kept_whole(spark, folder):
+    with pytest.raises(ValueError):
+        with Run(spark, folder + "/_runs", "job"):
+            raise ValueError("x" * 10_000)
+    assert len(read_runs(spark, folder + "/_runs").first().error) == 10_000
+
+
+def test_lookup_reads_the_current_versions(spark, world):
+    bronze, store, layout = world
+    bronze.put("repo_metadata", "o", "r", repo(1, "o/r"))
+    bronze.put("repo_metadata", "o", "r", repo(11, "o/r"), batch="2026-04-13T02:00:00Z")
+    for day in ("2026-04-13", "2026-04-06"):  # the older date does not replace the newer version
+        forge.repos_job(spark, store, Scope(day), RUN, layout)
+    with Scratch(spark) as scratch:
+        values = jobs.newest(spark, store, forge.REPO_IDS, scratch)
+        assert [tuple(r) for r in values.collect()] == [("o/r", 11)]
+        plan = values._jdf.queryExecution().executedPlan().toString()
+        assert all("repo_metadata_current" in f for f in values.inputFiles())
+    assert "Window " not in plan
+
+
 def test_two_dates_in_one_upsert_batch_are_refused(spark, world):
     bronze, store, layout = world
     fill(bronze)
@@ -238,26 +275,28 @@ def test_malformed_timestamp_fails_the_job(spark, world):
         forge.repos_job(spark, store, Scope("2026-04-06"), RUN, layout)
 
 
-def test_streamed_commits_equal_the_batch(spark, folder):
-    bronze, store = Bronze(folder + "/bronze", "keyed"), Store(folder + "/bronze", folder + "/silver")
+def test_streams_equal_the_batch(spark, any_world):
+    bronze, store, layout = any_world
     fill(bronze)
-    forge.repos_job(spark, store, Scope("2026-04-06"), RUN)
-    fields = (*forge.COMMIT_FIELDS, "to_date(to_timestamp(batch_timestamp)) as snapshot_date")
-    feed = type(forge.COMMIT_FEED)("commits", forge.COMMIT_SCHEMA, fields)
+    forge.repos_job(spark, store, Scope("2026-04-06"), RUN, layout)
+    checkpoints = os.path.dirname(store.silver)
 
     def run():
-        return stream_entity(spark, store, feed, forge.COMMITS, folder + "/checkpoint", forge.REPO_IDS)
+        commits = forge.stream_commits(spark, store, checkpoints + "/c1", layout, run_ts=RUN)
+        return commits, forge.stream_issues(spark, store, checkpoints + "/c2", layout, run_ts=RUN)
 
-    assert run() == 1 and run() == 0  # nothing new, no batch
+    assert run() == (1, 1) and run() == (0, 0)  # nothing new, no batch
     bronze.put("commits", "o", "r", [commit("z"), commit("a", "newest")], fetched="2026-04-06T09:00:00Z")
-    assert run() == 1
-    streamed = read_table(spark, store.table("commits"))
-    batch = Store(store.bronze, folder + "/other")
-    forge.repos_job(spark, batch, Scope("2026-04-06"), RUN)
-    forge.commits_job(spark, batch, Scope("2026-04-06"), RUN)
-    columns = [c for c in COMMIT_COLUMNS if c != "silver_ingested_at"]
-    expected = read_table(spark, batch.table("commits")).select(columns)
-    assert sorted(streamed.select(columns).collect(), key=str) == sorted(expected.collect(), key=str)
+    bronze.put("issues", "o", "r", [issue(2, pull_request={}), issue(9)], fetched="2026-04-06T09:00:00Z")
+    assert run() == (1, 1)
+    batch = Store(store.bronze, store.silver + "-other")
+    forge.run_date(spark, batch, Scope("2026-04-06"), RUN, layout)
+    for name in ("commits", "issues", "pulls"):
+        streamed, expected = read_table(spark, store.table(name)), read_table(spark, batch.table(name))
+        assert streamed.schema == expected.schema
+        assert sorted(streamed.collect(), key=str) == sorted(expected.collect(), key=str)
+    runs = read_runs(spark, store.table("_runs")).filter("job <> 'repo_metadata'")
+    assert runs.filter("status = 'SUCCESS' and pages > 0").count() == 4
 
 
 def test_cli(spark, folder):
@@ -267,6 +306,13 @@ def test_cli(spark, folder):
     cli.main(["all", *base, "2026-04-06"])
     cli.main(["commits", *base, "2026-04-06", "--owner", "o", "--repo", "r"])
     assert read_table(spark, folder + "/silver/commits").count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        cli.main(["commits", *base, "2026-04-13"])
+    bronze.put("commits", "o", "r", [commit("late")], batch="2026-04-20T02:00:00Z")
+    cli.main(["commits", *base, "2026-04-20", "2026-04-13", "2026-04-06", "--allow-missing"])
+    assert read_table(spark, folder + "/silver/commits").count() == 4
+    with pytest.raises(Exception, match="delta"):
+        cli.main(["repos", *base, "2026-04-06", "--format", "delta"])
     with pytest.raises(SystemExit):
         cli.main(["repos", *base, "2026-04-06", "--owner", "o"])
     with pytest.raises(SystemExit):

@@ -1,5 +1,9 @@
 """What Spark makes of the operators: pruning, shuffles, broadcast, hot keys."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,10 +11,11 @@ from silvermill.operators.enrich import enrich_left
 from silvermill.operators.latest import latest_by, latest_lookup
 from silvermill.operators.paging import paginate
 from silvermill.operators.quality import evaluate, rules_for
-from silvermill.session import Scratch, shared_folder
-from silvermill.sinks.upsert import read_table, upsert
+from silvermill.session import Scratch
+from silvermill.sinks.upsert import _touched, read_table, upsert, write_draft
 from silvermill.sources.envelopes import Scope, scan_envelopes
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 N = 300_000
 
 
@@ -105,14 +110,38 @@ def test_skewed_partition_is_written_by_several_tasks(spark, hot, folder, conf):
     assert 2 <= len(files) <= 64
 
 
-def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
-    class Cluster:
-        class conf:  # noqa: N801
-            get = staticmethod(lambda key, default: None)
-
-        class sparkContext:  # noqa: N801
-            master = "yarn"
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Cluster)
-    assert shared_folder(spark)
+CHILD = """
+import os, sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as catalog
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.sql.session.timeZone", "America/New_York").config(
+    "spark.checkpoint.dir", "file://" + {folder!r}).getOrCreate()
+catalog.queries()["explode_flatten"](spark, "/root/testdata/sf0.001").count()
+assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+print("staged", sum(len(f) for _, _, f in os.walk({folder!r})))
+"""
+
+
+def test_nothing_stays_when_the_driver_ends(folder):
+    code = CHILD.format(root=ROOT, folder=folder)
+    env = {k: v for k, v in os.environ.items() if not k.startswith("PYSPARK")}
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=folder, env=env, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout.split("staged")[1]) > 0
+    assert not [f for _, _, files in os.walk(folder) for f in files]
+
+
+def test_an_enrichment_needs_a_key(spark, hot):
+    with pytest.raises(ValueError, match="at least one key"):
+        enrich_left(hot, hot, [], ["id"])
+
+
+def test_a_merge_reads_only_the_buckets_of_its_batch(spark, folder):
+    path = folder + "/t"
+    upsert(spark.range(1000).withColumn("v", F.lit(0)), path, ["id"])
+    draft = write_draft(spark, spark.range(1).withColumn("v", F.lit(1)), path, ["id"])
+    touched = _touched(draft, draft.rows.select("id"), ["id"])
+    assert len(touched) == 1 and len(draft.state["folders"]) == 16
+    assert {f.rsplit("/", 1)[1] for f in touched} == {f.rsplit("/", 1)[1] for f in draft.folders}

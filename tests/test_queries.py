@@ -13,11 +13,15 @@ def con():
     return connect(SF)
 
 
+#: Queries of the optional operators have tests of their own.
+OWN = sorted(name for name in catalog.queries() if not name.startswith("op") and name != "pipeline")
+
+
 def test_every_query_has_sql():
-    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(OWN) <= set(catalog.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(catalog.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     problem, _ = compare(spark, con, SF, name, catalog.queries()[name], catalog.oracle_sql()[name])
     assert not problem
