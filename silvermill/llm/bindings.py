@@ -111,3 +111,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from silvermill.llm.ngram_join import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.lines import drop_recurring_lines
+
+    return drop_recurring_lines(table(spark, sf_dir, "documents"))

@@ -1,0 +1,200 @@
+"""Quality, toxicity and language: held-out accuracy, grammar and code lengths, odd rows."""
+
+from __future__ import annotations
+
+import math
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from silvermill.llm import bindings, language, quality, toxicity
+from silvermill.llm.common import held_out, labelled_sample
+from silvermill.llm.toxicity import Grammar, Matcher, compose, transducers
+
+SF = "/root/testdata/sf0.01"
+LARGER = "/root/testdata/sf0.1"
+
+
+def judged(df, column, sql):
+    """(held out, truth, row) of the rows that ``sql`` knows."""
+    truth = dict(duckdb.sql(sql).fetchall())
+    return [(r.held_out, truth[r.doc_id], r) for r in df.collect() if truth.get(r.doc_id) is not None]
+
+
+def test_held_out(spark):
+    df = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
+    got = {r.doc_id: r.h for r in df.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("h")).collect()}
+    assert got.pop(None) and all(got[i] == (zlib.crc32(str(i).encode()) % 4 == 2) for i in range(50))
+
+
+def test_sample_is_bounded_and_leaves_out_what_is_held_out(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit(1).alias("label"))
+    labels = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("int").alias("quality"))
+    allowed = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 and i % 3 < 2]
+    assert labelled_sample(docs, labels, "quality", 5, 0, 1000).count() == len(allowed)
+    assert labelled_sample(docs, labels, "quality", 5, 0, 100).count() == 100
+
+
+def test_op7_query(spark):
+    df = bindings.QUERIES["op7_quality"](spark, SF)
+    rows = judged(df, "quality", f"select doc_id, quality from '{SF}/labels.parquet'")
+    assert df.count() == 1000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for _, _, r in rows)
+    held = [(y, r.predicted) for h, y, r in rows if h]
+    assert len(held) > 40 and sum(y == p for y, p in held) / len(held) > 0.93
+
+
+def test_rules_as_columns_are_the_rules(spark):
+    rule = quality.Rule((("letters", True, 0.5), ("n_words", False, 10.0)), 2.0)
+    model = quality.Ensemble((rule, quality.Rule((("digits", False, 0.1),), -1.0)), 0.25)
+    texts = ["only letters here", "12345", "word " * 50, "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in quality.score(df, model).collect()}
+    for i, text in enumerate(texts):
+        text = text or ""
+        letters, digits = (sum(map(f, text)) / max(1, len(text)) for f in (str.isalpha, str.isdigit))
+        z = 0.25 + 2.0 * (letters > 0.5 and len(text.split()) <= 10) - 1.0 * (digits <= 0.1)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_quality_of_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame([(1, 1), (4, 0), (5, 0), (9, None), (None, 1), (3, 7)], "doc_id long, quality int")
+    model = quality.train(odd, labels)
+    assert quality.score(odd, model).count() == 11 and quality.score(empty, model).count() == 0
+    assert quality.keep_good(odd, model).columns == odd.columns
+    nothing = quality.train(odd, labels.limit(0))
+    assert {r.score for r in quality.score(odd, nothing).collect()} == {0.5}
+    for label in (0, 1):
+        one = quality.train(odd, labels.filter("doc_id in (1, 4, 5)").withColumn("quality", F.lit(label)))
+        assert {round(r.score) for r in quality.score(odd, one).collect()} == {label}
+        assert quality.keep_good(odd, one).count() == 11 * label
+
+
+def test_op5_query(spark):
+    df = bindings.QUERIES["op5_toxicity"](spark, LARGER)
+    rows = judged(df, "toxic", f"select doc_id, toxic from '{LARGER}/labels.parquet'")
+    assert df.count() == 10_000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for _, _, r in rows)
+    clean = [r.predicted for h, y, r in rows if h and not y]
+    toxic = [r.predicted for h, y, r in rows if h and y]
+    assert len(toxic) > 100 and sum(clean) / len(clean) < 0.015 and sum(toxic) / len(toxic) > 0.85
+
+
+MATCHER = Matcher(Grammar({"idiot": 4.0, "scum*": 2.0}))
+
+
+@pytest.mark.parametrize(
+    "text,best",
+    [
+        ("what a idiot", 4.0),
+        ("you idiot", 5.0),  # a target before the hit
+        ("not an idiot", 1.0),
+        ("she said idiot", 2.5),  # target and reported speech
+        ("he is not an idiot", 1.25),
+        ("not a single real word of this, idiot", 4.0),  # the negation ends with its clause
+        ("not one two three idiot", 4.0),  # and reaches three words
+        ("scumbag", 2.0),
+        ("obscumb midiot", 0.0),  # only words and beginnings of words
+        ("kill", 0.0),  # a threat needs a target
+        ("kill you", 4.0),
+        ("they will kill him", 5.0),
+        ("kill, you", 0.0),
+        ('"idiot"', 2.0),
+        ("IDIOT IDIOT", 8.0),
+        ("", 0.0),
+        ("...", 0.0),
+    ],
+)
+def test_clauses(text, best):
+    assert MATCHER.clauses(text)[0] == pytest.approx(best)
+
+
+def test_composition_equals_the_chain():
+    chain, machine, rng = transducers(), compose(transducers()), random.Random(3)
+    for _ in range(300):
+        word = rng.choices(toxicity.SYMBOLS, k=8)
+        states, composed = [0] * len(chain), (0,) * len(chain)
+        for symbol in word:
+            written, factor = symbol, 1.0
+            for i, part in enumerate(chain):
+                states[i], written, by = part.step(states[i], written)
+                factor *= by
+            composed, got = machine[composed, symbol]
+            assert composed == tuple(states) and got == (factor if written == toxicity.HIT else 0.0)
+
+
+def test_terms_are_lengthened_and_not_repeated():
+    counts = {t: (50, 0) for t in ("stup*", "stupi*", "stupid*", "stupid")} | {"abcd*": (40, 0), "abcde": (20, 0), "abcdf": (20, 0)}
+    assert set(toxicity.choose_terms(counts, 100, 1000)) == {"stupid", "abcd*"}
+    assert toxicity.choose_terms({"the": (90, 900)}, 100, 1000) == {}
+
+
+def test_toxicity_of_odd_rows(spark, odd, empty):
+    grammar = toxicity.train(odd, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert set(grammar.insults) == set(toxicity.INSULTS)
+    assert toxicity.score(odd, grammar).count() == 11 and toxicity.score(empty, grammar).count() == 0
+    assert toxicity.keep_clean(odd, grammar).columns == odd.columns and toxicity.keep_clean(odd, grammar).count() == 11
+    bad = odd.withColumn("text", F.lit("you are a stupid worthless idiot"))
+    assert toxicity.keep_clean(bad, grammar).count() == 0
+
+
+def test_op9_query(spark):
+    df = bindings.QUERIES["op9_language_id"](spark, SF)
+    rows = judged(df, "lang", f"select doc_id, lang from '{SF}/documents.parquet'")
+    held = [(y, r.lang_pred) for h, y, r in rows if h]
+    assert df.count() == 1000 and len(held) > 250 and sum(y == p for y, p in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 for _, _, r in rows)
+
+
+def test_code_lengths_against_a_plain_model():
+    """Bits of a word from the definition, with contexts counted anew at every step."""
+    words, order = ["aba", "abc", "bab", "abab"], 2
+    counts: dict = {}
+    for word in words:
+        data = b" " + word.encode() + b" "
+        for at in range(1, len(data)):
+            for k in range(min(order, at) + 1):
+                counts[data[at - k : at + 1]] = counts.get(data[at - k : at + 1], 0) + 1
+    model = language.code_lengths([("x", g, n) for g, n in counts.items()])
+    scorer = language.Scorer(model, order)
+    for word in ["aba", "abz", "zz", "babc"]:
+        data, bits = b" " + word.encode() + b" ", 0.0
+        for at in range(1, len(data)):
+            probability = 1.0
+            for k in range(min(order, at), -1, -1):
+                seen = {g[-1]: n for g, n in counts.items() if len(g) == k + 1 and g[:-1] == data[at - k : at]}
+                total, followers = sum(seen.values()), len(seen)
+                if data[at] in seen:
+                    probability *= seen[data[at]] / (total + followers)
+                    break
+                if seen:
+                    probability *= followers / (total + followers)
+            else:
+                probability /= 256
+            bits -= math.log2(probability)
+        assert language.word_bits(word, *model["x"], order) == pytest.approx(bits)
+        assert scorer._bits(word)[0] == pytest.approx(bits)
+
+
+def test_caches_that_start_anew_give_the_same(monkeypatch):
+    model = language.code_lengths([(lang, bytes([c]), n) for lang in ("a", "b") for c, n in ((97, 3), (98, 1 + (lang == "b")))])
+    text = " ".join("ab"[i % 2] * (1 + i % 9) for i in range(200)) + " " + "a" * 500
+    plain = language.Scorer(model, 3).score(text)
+    monkeypatch.setattr(language, "CACHED_WORDS", 4)
+    monkeypatch.setattr(language, "CACHED_GRAMS", 3)
+    small = language.Scorer(model, 3).score(text)
+    assert small[0] == plain[0] and np.isclose(small[1], plain[1])
+
+
+def test_language_of_odd_rows(spark, odd, empty):
+    learned = spark.createDataFrame([(1, "en", "the quick fox"), (2, "de", "der schnelle fuchs"), (3, None, "x")], "doc_id long, lang string, text string")
+    model = language.train(learned)
+    assert list(model) == ["de", "en"]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(odd, model).collect()}
+    assert got[1][0] == "en" and got[2] == got[3] == got[8] == ("und", 0.0) and len(got) == 10
+    assert language.predict(odd.filter("text = '²'"), model).count() == 0
+    assert language.predict(empty, model).count() == 0
+    nothing = language.train(learned.limit(0))
+    assert {r.lang_pred for r in language.predict(odd, nothing).collect()} == {"und"}
