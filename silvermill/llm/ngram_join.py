@@ -163,14 +163,30 @@ def _meet_members(large: DataFrame, sets: DataFrame) -> DataFrame:
             keys = batch.column(1).to_pylist()
             tokens = _signatures(batch.column(2))
             a, b, stays = [], [], np.ones(len(keys), bool)
+            joined: dict[bytes, bytes] = {}  # members that this batch has connected, as a forest
+
+            def top(name: bytes) -> bytes:
+                while joined.get(name, name) != name:
+                    name = joined[name]
+                return name
+
             for i, (names, sigs) in enumerate(zip(batch.column(3), batch.column(4))):
-                names = names.as_py()
                 equal = (_signatures(sigs.values) == tokens[i]).sum(1)
                 stays[i] = equal.max() < NEARLY_EQUAL
-                for place in np.flatnonzero(equal >= CANDIDATE):
-                    if names[place] != keys[i]:
-                        a.append(keys[i])
-                        b.append(names[place])
+                places = np.flatnonzero(equal >= CANDIDATE)
+                if not len(places):
+                    continue
+                near = [names[int(p)].as_py() for p in places]
+                # One link of the set to a member, and those between members that are still missing.
+                links = [(keys[i], near[0])]
+                for other in near[1:]:
+                    if (one := top(near[0])) != (two := top(other)):
+                        joined[one] = two
+                        links.append((one, two))
+                for one, two in links:
+                    if one != two:
+                        a.append(one)
+                        b.append(two)
             rest = np.flatnonzero(stays)
             places, children = _choose(paths[rest], tokens[rest])
             a += [keys[rest[p]] for p in places]
