@@ -74,11 +74,15 @@ def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc, doc_id, text, file, row): the input's own columns in one struct, so that no name clashes, and
     the file and row a document stands in. A frame that does not come from files is written to some."""
     doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
-    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+
+    def placed(df: DataFrame) -> DataFrame:
+        where = df.metadataColumn("_metadata")
+        return df.select(doc, where.getField("file_path").alias("file"), where.getField("row_index").alias("row"))
+
     try:
-        rows = docs.select(doc, *place)
+        rows = placed(docs)
     except AnalysisException:
-        rows = staged(docs, "input").select(doc, *place)
+        rows = placed(staged(docs, "input"))
     text = F.coalesce(F.col("doc").getField(text_col), F.lit(""))
     return rows.withColumns({"doc_id": F.col("doc").getField(id_col).cast("long"), "text": text})
 

@@ -22,7 +22,7 @@ def odd(spark):
         (8, "...!!!", None), (9, "Ünïcode ﬁ 漢字 <|endoftext|> \U0001f600\r\n\t", "h"), (10, "", "i"),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, digest string")
-    return df.selectExpr("*", "1 as score", "'k' as key", "2 as _stats", "3 as n", "4 as file", "'y' as `row`", "5 as `a.b`")
+    return df.selectExpr("*", "1 as score", "'k' as key", "2 as _stats", "3 as n", "4 as file", "'y' as `row`", "5 as `a.b`", "6 as `_metadata`")
 
 
 @pytest.fixture
