@@ -44,6 +44,7 @@ CHILDREN = 2.0
 TARGET_RECALL = 0.99
 DEPTH = 3
 LEAF = 256
+TILE = 1024  # sets of a block of a bucket that has not come apart
 MEMBERS = 16
 CANDIDATE = 40  # equal entries of 64; a pair at 0.8 has fewer with probability 1e-4
 NEARLY_EQUAL = 61
@@ -267,7 +268,7 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, recall: float = TA
             break
         if depth == DEPTH:
             # What has not come apart is compared whole, in pairs of blocks.
-            blocks = F.ceil(F.col("n") / (LEAF // 2)).cast("int")
+            blocks = F.ceil(F.col("n") / TILE).cast("int")
             own = F.pmod(F.xxhash64("key"), blocks).cast("int")
             tiled = large.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             pair = F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))

@@ -167,6 +167,7 @@ def test_large_groups_and_a_shared_passage(spark, monkeypatch):
     rows = corpus()
     # Small blocks and leaves, so that sampled members, deeper paths and pairs of blocks are all used.
     monkeypatch.setattr(ngram_join, "LEAF", 32)
+    monkeypatch.setattr(ngram_join, "TILE", 48)
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 64)
     got = found(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
     want = brute(rows)
