@@ -28,7 +28,12 @@ from pyspark.sql import functions as F
 from silvermill.llm.common import located, new_folder, split_by_keys, staged
 
 BATCH_BYTES = 64 << 30  # of records (about 150 bytes a document) per micro-batch
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = "spark.sql.streaming.stateStore"
+STATE_SETTINGS = {
+    f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Else every partition's store reserves megabytes of disk before it has a row.
+    f"{_STATE}.rocksdb.allowFAllocate": "false",
+}
 RECORD = "digest binary, doc_id long, file string, row long"
 
 
@@ -54,7 +59,7 @@ def keep_state(spark: SparkSession, records: str, checkpoint: str, batch_bytes:
     keeper = F.max(F.struct("doc_id", "file", "row")).alias("keeper")
     stream = spark.readStream.schema(RECORD).option("maxBytesPerTrigger", batch_bytes).parquet(records)
     counted = stream.groupBy("digest").agg(F.count("*").alias("n"), keeper)
-    with _settings(spark, **{"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}):
+    with _settings(spark, **STATE_SETTINGS):
         query = (
             counted.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
             .queryName(f"exact-{uuid.uuid4().hex}").option("checkpointLocation", checkpoint).start()
