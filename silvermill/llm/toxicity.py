@@ -9,8 +9,9 @@ sum of its hits' lexical weights times what the machine gives them, so a word al
 
 The lexicon starts from the short lists below; insults are added from a bounded sample of labelled rows: word
 beginnings and words that toxic documents have far more often, weighted by their log odds. A beginning
-is lengthened while nearly all its occurrences share the next letter. On the other half of the sample a
-logistic regression learns to turn the best and the summed clause scores into the document's score.
+is lengthened while nearly all its occurrences share the next letter. A logistic regression turns the best
+and the summed clause scores into the document's score; it is fitted on scores that each half of the sample gets
+with the terms learned from the other half.
 
 Defined cases: a null, empty or wordless text has no clause and gets the score of a document without
 hits; without labelled rows of both classes the lists and fixed calibration are used; labels other
@@ -195,24 +196,21 @@ def _terms(text: str) -> set[str]:
 
 
 def count_terms(rows: DataFrame) -> DataFrame:
-    """(term, toxic, clean): numbers of sampled documents of either label that hold a term."""
+    """(term, toxic0, clean0, toxic1, clean1): numbers of rows (text, label, half) that hold a term."""
+    columns = [f"{label}{half}" for half in (0, 1) for label in ("toxic", "clean")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[label].update(_terms(text))
-            terms = list(counts[1]) + [t for t in counts[0] if t not in counts[1]]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "term": terms,
-                    "toxic": pa.array([counts[1][t] for t in terms], pa.int64()),
-                    "clean": pa.array([counts[0][t] for t in terms], pa.int64()),
-                }
-            )
+            counts: dict[str, Counter] = {c: Counter() for c in columns}
+            for text, label, half in zip(*(c.to_pylist() for c in batch.columns)):
+                counts[f"{'toxic' if label else 'clean'}{half}"].update(_terms(text))
+            terms = list(set().union(*counts.values()))
+            numbers = {c: pa.array([counts[c][t] for t in terms], pa.int64()) for c in columns}
+            yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.string()), **numbers})
 
-    counted = rows.mapInArrow(run, "term string, toxic long, clean long")
-    return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    schema = ", ".join(["term string", *(f"{c} long" for c in columns)])
+    counted = rows.select("text", "label", "half").mapInArrow(run, schema)
+    return counted.groupBy("term").agg(*(F.sum(c).alias(c) for c in columns))
 
 
 def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
@@ -241,34 +239,42 @@ def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) ->
     return chosen
 
 
+def _lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
+    """The listed insults that clean rows do not use more than toxic ones, and the learned ones."""
+    least = max(3, math.ceil(LEAST_SHARE * toxic))
+    refuted = {t for t, (a, b) in counts.items() if b * (toxic + 1) > a * (clean + 1)}
+    listed = {t: LISTED_WEIGHT for t in INSULTS if t not in refuted}
+    return listed | choose_terms({t: c for t, c in counts.items() if c[0] >= least}, toxic, clean)
+
+
 def train(
     docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> Grammar:
     """Learn ``toxic`` from at most ``sample_rows`` labelled documents whose crc32 modulo 4 is not 2."""
     rows = labelled_sample(docs, labels, "toxic", 4, 2, sample_rows, id_col, text_col).dropDuplicates(["text", "label"])
-    rows = staged(rows, "toxicity-sample")
-    # Terms are learned on one half and weighed against each other on the other, by hash of the text.
-    first = F.pmod(F.xxhash64("text"), F.lit(2)) == 0
-    other, rows = rows.filter(~first), rows.filter(first)
-    seen = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    listed = dict.fromkeys(INSULTS, LISTED_WEIGHT)
-    if len(seen) < 2:
-        return Grammar(listed)
-    least = max(3, math.ceil(LEAST_SHARE * seen[1]))
+    rows = staged(rows.withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int")), "toxicity-sample")
+    seen = {(r["label"], r["half"]): r["n"] for r in rows.groupBy("label", "half").agg(F.count("*").alias("n")).collect()}
+    toxic, clean = ([seen.get((label, half), 0) for half in (0, 1)] for label in (1, 0))
+    if not sum(toxic) or not sum(clean):
+        return Grammar(dict.fromkeys(INSULTS, LISTED_WEIGHT))
     # Every listed term is counted too, so that one which clean rows use is dropped.
-    counted = count_terms(rows).filter((F.col("toxic") >= least) | F.col("term").isin(*INSULTS)).collect()
-    counts = {r["term"]: (r["toxic"], r["clean"]) for r in counted}
-    frequent = {t: c for t, c in counts.items() if c[0] >= least}
-    refuted = {t for t, (a, b) in counts.items() if b * (seen[1] + 1) > a * (seen[0] + 1)}
-    insults = {t: w for t, w in listed.items() if t not in refuted} | choose_terms(frequent, seen[1], seen[0])
-    return calibrate(other, Grammar(insults))
+    often = (F.col("toxic0") + F.col("toxic1") >= 3) | F.col("term").isin(*INSULTS)
+    counted = count_terms(rows).filter(often).collect()
+    halves = [
+        _lexicon({r["term"]: (r[f"toxic{h}"], r[f"clean{h}"]) for r in counted}, toxic[h], clean[h]) for h in (0, 1)
+    ]
+    both = {r["term"]: (r["toxic0"] + r["toxic1"], r["clean0"] + r["clean1"]) for r in counted}
+    # Either half is scored with the terms of the other, so that calibration meets terms as new texts do.
+    return calibrate(rows, halves[::-1], Grammar(_lexicon(both, sum(toxic), sum(clean))))
 
 
-def calibrate(rows: DataFrame, grammar: Grammar) -> Grammar:
+def calibrate(rows: DataFrame, lexicons: list[dict[str, float]], grammar: Grammar) -> Grammar:
+    """``grammar`` with a calibration learned on rows (text, label, half), scored with ``lexicons[half]``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(grammar)
+        matchers = [Matcher(Grammar(lexicon)) for lexicon in lexicons]
         for batch in batches:
-            scores = [matcher.clauses(text.as_py()) for text in batch.column(0)]
+            scores = [matchers[half.as_py()].clauses(text.as_py()) for text, half in zip(batch.column(0), batch.column(2))]
             yield pa.RecordBatch.from_pydict(
                 {
                     "best": pa.array([b for b, _ in scores], pa.float64()),
@@ -277,9 +283,8 @@ def calibrate(rows: DataFrame, grammar: Grammar) -> Grammar:
                 }
             )
 
-    points = staged(rows.mapInArrow(run, "best double, total double, label int").coalesce(1), "toxicity-points")
-    if points.select("label").distinct().count() < 2:
-        return grammar
+    points = rows.select("text", "label", "half").mapInArrow(run, "best double, total double, label int")
+    points = staged(points.coalesce(1), "toxicity-points")
     vectors = VectorAssembler(inputCols=["best", "total"], outputCol="features").transform(points)
     model = LogisticRegression(labelCol="label", regParam=0.001, maxIter=50).fit(vectors)
     by_best, by_sum = map(float, model.coefficients)
