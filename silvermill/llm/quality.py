@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ TREES = 16
 DEPTH = 3
 LASSO = 0.002
 SEED = 17
+ITERATIONS = 50
 TRAINING_TASKS = 4
 THRESHOLD = 0.3
 
@@ -132,17 +134,10 @@ def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float =
     for tree in forest.trees:
         paths |= _paths(tree._call_java("rootNode"), STATISTICS)
     rules = [Rule(path) for path in sorted(paths, key=lambda p: (len(p), p))]
-    held = data.select(
-        "label",
-        *(
-            F.when(rule.column(F.col("_stats")), 1.0).otherwise(0.0).alias(f"r{i}")
-            for i, rule in enumerate(rules)
-        ),
-    )
-    inputs = [f"r{i}" for i in range(len(rules))]
+    held = F.array(*(F.when(rule.column(F.col("_stats")), 1.0).otherwise(0.0) for rule in rules))
     model = LogisticRegression(
-        labelCol="label", regParam=lasso, elasticNetParam=1.0, standardization=False, maxIter=100
-    ).fit(VectorAssembler(inputCols=inputs, outputCol="features").transform(held))
+        labelCol="label", regParam=lasso, elasticNetParam=1.0, standardization=False, maxIter=ITERATIONS
+    ).fit(data.select("label", array_to_vector(held).alias("features")))
     weights = model.coefficients.toArray()
     kept = tuple(Rule(r.conditions, float(w)) for r, w in zip(rules, weights) if w)
     return Ensemble(kept, float(model.intercept))
