@@ -37,8 +37,10 @@ from silvermill.llm.common import id_and_text
 
 ORDER = 4
 DOCS_PER_LANGUAGE = 250
+COUNTING_TASKS = 4  # for the bounded sample; each sends on its different grams once
 LONGEST_BYTES = 1 << 16
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
+CACHED_GRAMS = 500_000
 LONGEST_WORD = 64
 UNDETERMINED = "und"
 
@@ -56,40 +58,38 @@ def _bytes(word: str) -> bytes:
 def sample(
     labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, longest_bytes: int = LONGEST_BYTES
 ) -> DataFrame:
-    """At most ``docs_per_language`` rows (lang, text) of each language. The limit per group is applied
-    before the shuffle as well."""
+    """At most ``docs_per_language`` rows (lang, text) of each language. Ids are ranked without their texts."""
+    usable = labelled.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= longest_bytes))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return (
-        labelled.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= longest_bytes))
-        .select("doc_id", "lang", "text")
-        .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= docs_per_language)
-        .select("lang", "text")
-    )
+    ranked = usable.select("doc_id", "lang", F.row_number().over(order).alias("_rank"))
+    chosen = ranked.filter(F.col("_rank") <= docs_per_language).select("doc_id", "lang").distinct()
+    # The chosen ids are at most ``docs_per_language`` per language, which bounds the broadcast.
+    found = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    return found.dropDuplicates(["doc_id", "lang"]).select("lang", "text").coalesce(COUNTING_TASKS)
 
 
 def count_contexts(rows: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, gram, n): a context and the byte behind it, and how often that was seen."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
-            seen: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen[lang].update(words(text))
-            for lang, counts in seen.items():
-                grams: Counter = Counter()
-                for word, n in counts.items():
-                    data = _bytes(word)
-                    for at in range(1, len(data)):
-                        for k in range(min(order, at) + 1):
-                            grams[data[at - k : at + 1]] += n
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "lang": [lang] * len(grams),
-                        "gram": pa.array(list(grams), pa.binary()),
-                        "n": pa.array(list(grams.values()), pa.int64()),
-                    }
-                )
+        for lang, counts in seen.items():
+            grams: Counter = Counter()
+            for word, n in counts.items():
+                data = _bytes(word)
+                for at in range(1, len(data)):
+                    for k in range(min(order, at) + 1):
+                        grams[data[at - k : at + 1]] += n
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": [lang] * len(grams),
+                    "gram": pa.array(list(grams), pa.binary()),
+                    "n": pa.array(list(grams.values()), pa.int64()),
+                }
+            )
 
     return rows.mapInArrow(run, "lang string, gram binary, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -111,53 +111,76 @@ def code_lengths(counts: list[tuple[str, bytes, int]]) -> dict[str, tuple[dict[b
     return model
 
 
+def gram_bits(gram: bytes, grams: dict[bytes, float], escapes: dict[bytes, float]) -> float:
+    """Code length of the last byte of ``gram`` behind the ones before it."""
+    bits = 0.0
+    for first in range(len(gram)):
+        found = grams.get(gram[first:])
+        if found is not None:
+            return bits + found
+        bits += escapes.get(gram[first:-1], 0.0)
+    return bits + 8.0
+
+
 def word_bits(word: str, grams: dict[bytes, float], escapes: dict[bytes, float], order: int = ORDER) -> float:
     data = _bytes(word)
-    bits = 0.0
-    for at in range(1, len(data)):
-        for k in range(min(order, at), -1, -1):
-            found = grams.get(data[at - k : at + 1])
-            if found is not None:
-                bits += found
-                break
-            bits += escapes.get(data[at - k : at], 0.0)
-        else:
-            bits += 8.0
-    return bits
+    return sum(gram_bits(data[max(0, at - order) : at + 1], grams, escapes) for at in range(1, len(data)))
+
+
+class Rows:
+    """Vectors by key in one array of at most ``size`` rows, computed on a miss; when it is full it starts anew."""
+
+    def __init__(self, size: int, width: int, compute):
+        self.size, self.compute, self.rows = size, compute, {}
+        self.values = np.zeros((1 << 12, width))
+
+    def full(self) -> bool:
+        return len(self.rows) >= self.size
+
+    def row(self, key) -> int:
+        row = self.rows.get(key)
+        if row is None:
+            value = self.compute(key)
+            row = len(self.rows)
+            if row == len(self.values):
+                self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+            self.values[row] = value
+            self.rows[key] = row
+        return row
 
 
 _SCORERS: dict = {}
 
 
 class Scorer:
+    """Scores texts with a model; keeps the code lengths of words, and of bytes in their contexts."""
+
     def __init__(self, model: dict, order: int):
         self.langs, self.order = list(model), order
         self.trees = list(model.values())
-        self.rows: dict[str, int] = {}
-        self.bits = np.zeros((CACHED_WORDS, len(self.langs)))
+        self.grams = Rows(CACHED_GRAMS, len(self.langs), lambda gram: [gram_bits(gram, *tree) for tree in self.trees])
+        self.words = Rows(CACHED_WORDS, len(self.langs), self._bits)
 
-    def _bits(self, word: str) -> list[float]:
-        return [word_bits(word, grams, escapes, self.order) for grams, escapes in self.trees]
+    def _bits(self, word: str) -> np.ndarray:
+        data, order = _bytes(word), self.order
+        if self.grams.full():
+            self.grams.rows.clear()
+        rows = [self.grams.row(data[max(0, at - order) : at + 1]) for at in range(1, len(data))]
+        return self.grams.values[rows].sum(0)
 
     def score(self, text: str) -> tuple[str, float]:
         if not self.langs or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0
-        rows: list[int] = []
-        rest, total = np.zeros(len(self.langs)), np.zeros(len(self.langs))
-        for word in words(text):
-            row = self.rows.get(word)
-            if row is None:
-                if len(word) > LONGEST_WORD:
-                    rest += self._bits(word)
-                    continue
-                if len(self.rows) == CACHED_WORDS:
-                    total += self.bits[rows].sum(0)
-                    rows = []
-                    self.rows.clear()
-                row = self.rows[word] = len(self.rows)
-                self.bits[row] = self._bits(word)
-            rows.append(row)
-        total += self.bits[rows].sum(0) + rest
+        total = np.zeros(len(self.langs))
+        found = words(text)
+        for first in range(0, len(found), CACHED_WORDS):
+            part = found[first : first + CACHED_WORDS]
+            if len(self.words.rows) + len(part) > 2 * CACHED_WORDS:
+                self.words.rows.clear()
+            rows = [self.words.row(word) for word in part if len(word) <= LONGEST_WORD]
+            total += self.words.values[rows].sum(0)
+            if len(rows) < len(part):
+                total += sum(self._bits(word) for word in part if len(word) > LONGEST_WORD)
         best = int(total.argmin())
         return self.langs[best], float(1 / np.exp2(np.maximum(total[best] - total, -1000)).sum())
 
