@@ -66,7 +66,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once and read back: later steps do not compute it again, and no executor's
     loss can take it away."""
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,8 @@ their lines are dropped from all documents.
 Only leaves that enough documents reach can hold such a template. These are counted first, one number per
 leaf and batch, and only their lines go on; a bitmap of fixed size tells which, and a leaf that shares a bit with
 another does no harm, since all later counts are of the lines themselves. Equal lines are aggregated before they
-are shuffled, and of the documents only those that lose a line are joined with what they lose.
+are shuffled. The different lines to drop are broadcast, 16 bytes each, up to a checked number; beyond it the
+documents that lose a line are joined with what they lose.
 
 Defined cases: lines end at a line feed; blank lines and those of fewer than ``min_tokens`` tokens are never dropped; a
 null text counts as empty, with one empty line; null ids and repeated rows are documents like others, so rows that
@@ -37,6 +38,7 @@ LEADING = 3
 MIN_TOKENS = 4
 MIN_DOCS = 10
 MIN_FIXED = 0.6
+BROADCAST_LINES = 500_000  # 16 bytes each; more different lines to drop are joined with the documents instead
 FIELD = "<*>"
 
 _VARIABLE = re.compile(r"\d|://|@")
@@ -145,8 +147,10 @@ def templates(lines: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
     return general.select("line", F.when(F.col("share") >= min_fixed, pattern).otherwise(own).alias("template"))
 
 
-def recurring_lines(rows: DataFrame, min_docs: int, min_tokens: int, min_fixed: float) -> DataFrame:
-    """(file, row, line): each located document's lines to drop."""
+def recurring_lines(
+    rows: DataFrame, min_docs: int, min_tokens: int, min_fixed: float
+) -> tuple[DataFrame, DataFrame]:
+    """(line): the different lines to drop; and (file, row, line): documents that hold lines of frequent leaves."""
     leaves = staged(count_leaves(rows, min_tokens).filter(F.col("n") >= min_docs).select("leaf"), "leaves")
     lines = staged(candidate_lines(rows, leaves, min_tokens), "candidate-lines")
     different = staged(lines.groupBy("line", "leaf", "masked").agg(F.count("*").alias("n")), "different-lines")
@@ -154,19 +158,43 @@ def recurring_lines(rows: DataFrame, min_docs: int, min_tokens: int, min_fixed:
     # Documents of a template, each once however many of its lines it has.
     held = lines.select("file", "row", "line").join(named, "line").select("template", "file", "row").distinct()
     recurring = held.groupBy("template").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
-    dropped = staged(named.join(recurring, "template").select("line"), "recurring")
-    return lines.select("file", "row", "line").join(dropped, "line")
+    return staged(named.join(recurring, "template").select("line"), "recurring"), lines.select("file", "row", "line")
 
 
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_dropped", T.LongType())]))
-def _without(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    for texts, drops, least in batches:
-        out = []
-        for text, drop, min_tokens in zip(texts, drops, least):
-            drop, parts = set(drop), text.split("\n")
-            kept = [parts[p] for p, found in parsed(text, min_tokens) if not found or digest(found) not in drop]
-            out.append(("\n".join(kept), len(parts) - len(kept)))
-        yield pd.DataFrame(out, columns=["text", "n_dropped"])
+_LEFT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_dropped", T.LongType())])
+
+
+def _without(text: str, drop: set[bytes] | frozenset[bytes], min_tokens: int) -> tuple[str, int]:
+    parts = text.split("\n")
+    kept = [parts[p] for p, found in parsed(text, min_tokens) if not found or digest(found) not in drop]
+    return "\n".join(kept), len(parts) - len(kept)
+
+
+def _by_broadcast(rows: DataFrame, dropped: DataFrame, min_tokens: int) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(frozenset(bytes(r["line"]) for r in dropped.collect()))
+
+    @F.pandas_udf(_LEFT)
+    def left(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_without(t, shared.value, min_tokens) for t in texts], columns=["text", "n_dropped"])
+
+    return rows.select("doc_id", "text", left("text").alias("left"))
+
+
+def _by_join(rows: DataFrame, dropped: DataFrame, lines: DataFrame, min_tokens: int) -> DataFrame:
+    @F.pandas_udf(_LEFT)
+    def left(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
+        out = [_without(t, set(d), min_tokens) for t, d in zip(texts, drops)]
+        return pd.DataFrame(out, columns=["text", "n_dropped"])
+
+    drops = lines.join(dropped, "line").groupBy("file", "row").agg(F.collect_list("line").alias("lines"))
+    drops = staged(drops, "dropped-lines")
+    sure, doubtful = split_by_keys(rows, drops, "file", "row")
+    none = F.array().cast("array<binary>")
+    joined = doubtful.join(drops, ["file", "row"], "left").withColumn("lines", F.coalesce("lines", none))
+    whole = F.struct(F.col("text").alias("text"), F.lit(0).cast("long").alias("n_dropped"))
+    return sure.select("doc_id", "text", whole.alias("left")).unionAll(
+        joined.select("doc_id", "text", left("text", "lines").alias("left"))
+    )
 
 
 def drop_recurring_lines(
@@ -179,12 +207,10 @@ def drop_recurring_lines(
 ) -> DataFrame:
     """doc_id, n_lines, n_dropped and text (what is left) of every document."""
     rows = located(docs, id_col, text_col).select("doc_id", "text", "file", "row")
-    found = recurring_lines(rows, min_docs, min_tokens, min_fixed)
-    drops = staged(found.groupBy("file", "row").agg(F.collect_list("line").alias("lines")), "dropped-lines")
-    sure, doubtful = split_by_keys(rows, drops, "file", "row")
-    joined = doubtful.join(drops, ["file", "row"], "left")
-    lines = F.coalesce(F.col("lines"), F.array().cast("array<binary>"))
-    left = joined.withColumn("left", _without("text", lines, F.lit(min_tokens)))
+    dropped, lines = recurring_lines(rows, min_docs, min_tokens, min_fixed)
+    if dropped.count() <= BROADCAST_LINES:
+        left = _by_broadcast(rows, dropped, min_tokens)
+    else:
+        left = _by_join(rows, dropped, lines, min_tokens)
     n_lines = F.size(F.split("text", "\n")).cast("long").alias("n_lines")
-    whole = sure.select("doc_id", n_lines, F.lit(0).cast("long").alias("n_dropped"), "text")
-    return whole.unionAll(left.select("doc_id", n_lines, "left.n_dropped", "left.text"))
+    return left.select("doc_id", n_lines, "left.n_dropped", "left.text")

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from silvermill.llm import bindings
+from silvermill.llm import bindings, lines
 from silvermill.llm.lines import FIELD, LEADING, MIN_DOCS, MIN_FIXED, MIN_TOKENS, drop_recurring_lines, tokens
 from tests.llm.conftest import SF
 
@@ -18,8 +18,8 @@ def brute(texts, min_docs=MIN_DOCS, min_tokens=MIN_TOKENS, min_fixed=MIN_FIXED):
     path = lambda found: (len(found), *found[:LEADING])
     reached = Counter(leaf for doc in docs for leaf in {path(f) for f in doc if len(f) >= min_tokens})
     support: Counter = Counter()
-    lines = [{f for f in doc if len(f) >= min_tokens and reached[path(f)] >= min_docs} for doc in docs]
-    for doc in lines:
+    own = [{f for f in doc if len(f) >= min_tokens and reached[path(f)] >= min_docs} for doc in docs]
+    for doc in own:
         for found in doc:
             support.update((path(found), place, token) for place, token in enumerate(found))
 
@@ -29,13 +29,13 @@ def brute(texts, min_docs=MIN_DOCS, min_tokens=MIN_TOKENS, min_fixed=MIN_FIXED):
         return (path(found), tuple(fixed)) if share >= min_fixed else found
 
     held = defaultdict(set)
-    for i, doc in enumerate(lines):
+    for i, doc in enumerate(own):
         for found in doc:
             held[template(found)].add(i)
     out = []
     for i, text in enumerate(texts):
         parts = (text or "").split("\n")
-        kept = [p for p, f in zip(parts, docs[i]) if f not in lines[i] or len(held[template(f)]) < min_docs]
+        kept = [p for p, f in zip(parts, docs[i]) if f not in own[i] or len(held[template(f)]) < min_docs]
         out.append((len(parts), len(parts) - len(kept), "\n".join(kept)))
     return out
 
@@ -63,8 +63,9 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize("seed,least", [(0, 10), (1, 4), (2, 2)])
-def test_templates_of_a_small_corpus(spark, seed, least):
+@pytest.mark.parametrize("seed,least,broadcast", [(0, 10, 500), (1, 4, 0), (2, 2, 0), (2, 2, 500)])
+def test_templates_of_a_small_corpus(spark, monkeypatch, seed, least, broadcast):
+    monkeypatch.setattr(lines, "BROADCAST_LINES", broadcast)
     texts = corpus(seed)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
     want = brute(texts, min_docs=least)
