@@ -59,7 +59,8 @@ _PLACE = _RNG.integers(1 << 63, size=TOKENS, dtype=np.uint64)
 _WEIGHT = _RNG.integers(1 << 63, size=WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CHUNK = 4096
 
-_HASHES = Generations(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")))
+# Small, as it stays in a worker that later steps use too, and a hash is soon computed again.
+_HASHES = Generations(lambda word: xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")), 50_000)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 from tokenizers import Tokenizer
 
-GENERATION = 400_000  # entries of one cache generation; a longer key than LONGEST is not kept
+GENERATION = 300_000  # entries of one cache generation; a longer key than LONGEST is not kept
 LONGEST = 64
 
 _BEFORE_WORD = re.compile(r" (?=[^\W_])")
