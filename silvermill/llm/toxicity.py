@@ -40,7 +40,7 @@ from silvermill.llm.common import free_name, id_and_text, labelled_sample, stage
 SAMPLE_ROWS = 8000
 THRESHOLD = 0.3
 SHORTEST, LONGEST = 4, 12  # letters of a learned beginning
-LEAST_SHARE = 0.025  # of the toxic rows, that must hold a learned word
+LEAST_ROWS = 4  # toxic rows that must hold a learned word, whatever their number, so that small languages count too
 LEAST_WEIGHT = 3.0
 DOUBT = 2.0  # clean rows that a term is taken to have been in besides those seen
 LISTED_WEIGHT = 4.0
@@ -241,10 +241,9 @@ def choose_terms(counts: dict[str, tuple[int, int]], toxic: int, clean: int) ->
 
 def _lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
     """The listed insults that clean rows do not use more than toxic ones, and the learned ones."""
-    least = max(3, math.ceil(LEAST_SHARE * toxic))
     refuted = {t for t, (a, b) in counts.items() if b * (toxic + 1) > a * (clean + 1)}
     listed = {t: LISTED_WEIGHT for t in INSULTS if t not in refuted}
-    return listed | choose_terms({t: c for t, c in counts.items() if c[0] >= least}, toxic, clean)
+    return listed | choose_terms({t: c for t, c in counts.items() if c[0] >= LEAST_ROWS}, toxic, clean)
 
 
 def train(

@@ -131,6 +131,13 @@ def test_terms_are_lengthened_and_not_repeated():
     assert toxicity.choose_terms({"the": (90, 900)}, 100, 1000) == {}
 
 
+def test_terms_of_a_small_language_are_learned():
+    # Eight of 960 toxic rows: a pure term of a language that few rows are in.
+    counts = {"zorrupo": (8, 0), "often": (8, 60), "seldom": (3, 0)}
+    learned = set(toxicity._lexicon(counts, 960, 7040)) - set(toxicity.INSULTS)
+    assert learned == {"zorrupo"}
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     grammar = toxicity.train(odd, spark.createDataFrame([], "doc_id long, toxic int"))
     assert set(grammar.insults) == set(toxicity.INSULTS)
