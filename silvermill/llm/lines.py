@@ -3,7 +3,7 @@
 A line's path in the tree is its number of tokens and its leading tokens; tokens with a digit and addresses are
 variable fields from the start. In a leaf, a token is fixed where enough lines have it in that place, any other is a
 variable field too. The line with its variable fields generalised is its template, if enough of its
-tokens are fixed, else the line itself is. Templates that occur in at least ``min_docs`` documents recur, and
+tokens are fixed, else the line itself is, with what stands in its fields. Templates that occur in at least ``min_docs`` documents recur, and
 their lines are dropped from all documents.
 
 Only leaves that enough documents reach can hold such a template. These are counted first, one number per
@@ -63,11 +63,16 @@ def digest(found: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(found).encode("utf-8", "surrogatepass"))
 
 
-def parsed(text: str, min_tokens: int = MIN_TOKENS) -> Iterator[tuple[int, list[str] | None]]:
-    """(place, tokens) of each line; no tokens for one that is never dropped."""
-    for place, line in enumerate(text.split("\n")):
+def own_digest(line: str) -> bytes:
+    """Digest of the line's tokens as they are; by its seed it is no digest of masked tokens."""
+    return xxhash.xxh3_128_digest(" ".join(line.split()).encode("utf-8", "surrogatepass"), seed=1)
+
+
+def parsed(text: str, min_tokens: int = MIN_TOKENS) -> Iterator[tuple[str, list[str] | None]]:
+    """(line, tokens) of each line; no tokens for one that is never dropped."""
+    for line in text.split("\n"):
         found = tokens(line)
-        yield place, found if len(found) >= min_tokens else None
+        yield line, found if len(found) >= min_tokens else None
 
 
 def _place(leaf_hash: int) -> int:
@@ -102,37 +107,40 @@ def _bitmap(leaves: DataFrame) -> np.ndarray:
 
 
 def candidate_lines(rows: DataFrame, leaves: DataFrame, min_tokens: int) -> DataFrame:
-    """(file, row, line, leaf, masked): each document's different lines in the given leaves; ``line`` is a
-    128-bit hash of ``masked``."""
+    """(file, row, line, own, leaf, masked, first): each document's different lines in the given leaves; ``line`` is
+    a 128-bit hash of ``masked``, ``own`` one of the line as it is, ``first`` true once per document and ``line``."""
     shared = rows.sparkSession.sparkContext.broadcast(_bitmap(leaves))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for file, row, text in zip(*(c.to_pylist() for c in batch.columns)):
-                seen = set()
-                for _, found in parsed(text, min_tokens):
+                seen, seen_own = set(), set()
+                for text_line, found in parsed(text, min_tokens):
                     if not found:
                         continue
                     path = leaf(found)
                     at = _place(path)
                     if bitmap[at >> 3] >> (at & 7) & 1:
-                        line = digest(found)
-                        if line not in seen:
+                        own = own_digest(text_line)
+                        if own not in seen_own:
+                            seen_own.add(own)
+                            line = digest(found)
+                            values = (file, row, line, own, path, " ".join(found), line not in seen)
                             seen.add(line)
-                            for column, value in zip(out, (file, row, line, path, " ".join(found))):
+                            for column, value in zip(out, values):
                                 column.append(value)
-            kinds = (pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.string())
+            kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.string(), pa.bool_())
             columns = [pa.array(column, kind) for column, kind in zip(out, kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["file", "row", "line", "leaf", "masked"])
+            yield pa.RecordBatch.from_arrays(columns, ["file", "row", "line", "own", "leaf", "masked", "first"])
 
-    schema = "file string, row long, line binary, leaf long, masked string"
+    schema = "file string, row long, line binary, own binary, leaf long, masked string, first boolean"
     return rows.select("file", "row", "text").mapInArrow(run, schema)
 
 
 def templates(lines: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
-    """(line, template) of different lines (line, leaf, masked, n)."""
+    """(line, template) of those different lines (line, leaf, masked, n) that have enough fixed tokens."""
     words = lines.select("line", "leaf", "n", F.posexplode(F.split("masked", " ")).alias("place", "token"))
     often = words.groupBy("leaf", "place", "token").agg(F.sum("n").alias("support")).filter(F.col("support") >= min_docs)
     often = often.filter(F.col("token") != FIELD).select("leaf", "place", "token", F.lit(True).alias("fixed"))
@@ -143,22 +151,30 @@ def templates(lines: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
         F.avg(F.coalesce(F.col("fixed"), F.lit(False)).cast("int")).alias("share"),
     )
     pattern = F.concat_ws(" ", "leaf", F.array_join("tokens.token", " "))
-    own = F.concat(F.lit("="), F.hex("line"))
-    return general.select("line", F.when(F.col("share") >= min_fixed, pattern).otherwise(own).alias("template"))
+    return general.filter(F.col("share") >= min_fixed).select("line", pattern.alias("template"))
 
 
 def recurring_lines(
     rows: DataFrame, min_docs: int, min_tokens: int, min_fixed: float
 ) -> tuple[DataFrame, DataFrame]:
-    """(line): the different lines to drop; and (file, row, line): documents that hold lines of frequent leaves."""
+    """(line): digests of the different lines to drop, masked where a template covers them, else their own; and
+    (file, row, line): both digests of the lines of frequent leaves that documents hold."""
     leaves = staged(count_leaves(rows, min_tokens).filter(F.col("n") >= min_docs).select("leaf"), "leaves")
     lines = staged(candidate_lines(rows, leaves, min_tokens), "candidate-lines")
-    different = staged(lines.groupBy("line", "leaf", "masked").agg(F.count("*").alias("n")), "different-lines")
-    named = staged(templates(different, min_docs, min_fixed), "templates")
-    # Documents of a template, each once however many of its lines it has.
-    held = lines.select("file", "row", "line").join(named, "line").select("template", "file", "row").distinct()
+    different = lines.groupBy("line", "leaf", "masked").agg(F.count_if("first").alias("n"))
+    named = staged(templates(staged(different, "different-lines"), min_docs, min_fixed), "templates")
+    # Documents of a template, each once however many of its lines it has. A line without one is its own.
+    own = F.concat(F.lit("="), F.hex("own"))
+    held = lines.select("file", "row", "line", "own").join(named, "line", "left")
+    held = held.select(F.coalesce("template", own).alias("template"), "file", "row").distinct()
     recurring = held.groupBy("template").agg(F.count("*").alias("docs")).filter(F.col("docs") >= min_docs)
-    return staged(named.join(recurring, "template").select("line"), "recurring"), lines.select("file", "row", "line")
+    recurring = staged(recurring.select("template"), "recurring")
+    alone = recurring.filter(F.col("template").startswith("="))
+    dropped = named.join(recurring, "template").select("line").unionAll(
+        alone.select(F.unhex(F.expr("substring(template, 2)")).alias("line"))
+    )
+    digests = F.explode(F.array("line", "own")).alias("line")
+    return staged(dropped, "dropped"), lines.select("file", "row", digests).distinct()
 
 
 _LEFT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_dropped", T.LongType())])
@@ -166,7 +182,11 @@ _LEFT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_dr
 
 def _without(text: str, drop: set[bytes] | frozenset[bytes], min_tokens: int) -> tuple[str, int]:
     parts = text.split("\n")
-    kept = [parts[p] for p, found in parsed(text, min_tokens) if not found or digest(found) not in drop]
+    kept = [
+        line
+        for line, found in parsed(text, min_tokens)
+        if not found or (digest(found) not in drop and own_digest(line) not in drop)
+    ]
     return "\n".join(kept), len(parts) - len(kept)
 
 

@@ -95,3 +95,14 @@ def test_odd_rows(spark, odd, empty):
         (str(d), *w) for (d, _), w in zip(rows, want))
     assert {r.n_dropped for r in got if r.doc_id in (1, 7)} == {1}  # the same line in three documents
     assert drop_recurring_lines(empty).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [500, 0])
+def test_lines_of_few_fixed_tokens_stand_for_themselves(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(lines, "BROADCAST_LINES", broadcast)
+    # Ten documents of different figures; one row of figures, and the fields' own sign, are in ten others each.
+    rows = [f"{i} {i + 3}.5 {7 * i} 1{i}\n{i} 8 {i} 9" for i in range(10)]
+    rows += [f"20 30.5 40 50\n2{i} 0 0 1" for i in range(10)] + [f"<*> <*> <*> <*>\n3{i} 1 1 0" for i in range(10)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    want = {i: (2, int(i >= 10), r if i < 10 else r.split("\n")[1]) for i, r in enumerate(rows)}
+    assert found(drop_recurring_lines(df)) == want
