@@ -117,4 +117,4 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from silvermill.llm.lines import drop_recurring_lines
 
-    return drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return drop_recurring_lines(table(spark, sf_dir, "documents"), short_lines=True)

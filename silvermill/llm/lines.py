@@ -12,7 +12,10 @@ another does no harm, since all later counts are of the lines themselves. Equal
 are shuffled. The different lines to drop are broadcast, 16 bytes each, up to a checked number; beyond it the
 documents that lose a line are joined with what they lose.
 
-Defined cases: lines end at a line feed; blank lines and those of fewer than ``min_tokens`` tokens are never dropped; a
+Lines of fewer than ``min_tokens`` tokens, as also long ones in scripts without spaces are, are not generalised: with
+``short_lines`` each stands for itself and is dropped where it recurs, without it they stay.
+
+Defined cases: lines end at a line feed; blank lines are never dropped; a
 null text counts as empty, with one empty line; null ids and repeated rows are documents like others, so rows that
 repeat often enough lose their lines; an empty table gives no rows. Columns may have any names; lines and texts are
 read whole.
@@ -68,25 +71,37 @@ def own_digest(line: str) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(line.split()).encode("utf-8", "surrogatepass"), seed=1)
 
 
-def parsed(text: str, min_tokens: int = MIN_TOKENS) -> Iterator[tuple[str, list[str] | None]]:
-    """(line, tokens) of each line; no tokens for one that is never dropped."""
+def parsed(text: str, min_tokens: int = MIN_TOKENS, short_lines: bool = False) -> Iterator[tuple[str, list[str] | None]]:
+    """(line, tokens) of each line; no list for one that is never dropped, an empty one for a short line, which
+    only stands for itself."""
     for line in text.split("\n"):
         found = tokens(line)
-        yield line, found if len(found) >= min_tokens else None
+        if len(found) >= max(1, min_tokens):
+            yield line, found
+        else:
+            yield line, [] if found and short_lines else None
+
+
+def _path(line: str, found: list[str]) -> int:
+    """The leaf of a line's template; a short line has one of its own."""
+    if found:
+        return leaf(found)
+    return int.from_bytes(own_digest(line)[:8], "little", signed=True)
 
 
 def _place(leaf_hash: int) -> int:
     return leaf_hash % BITS
 
 
-def count_leaves(rows: DataFrame, min_tokens: int) -> DataFrame:
+def count_leaves(rows: DataFrame, min_tokens: int, short_lines: bool = False) -> DataFrame:
     """(leaf, n): numbers of documents that reach a leaf."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
             for text in batch.column(0):
-                seen.update({leaf(found) for _, found in parsed(text.as_py(), min_tokens) if found})
+                lines = parsed(text.as_py(), min_tokens, short_lines)
+                seen.update({_path(line, found) for line, found in lines if found is not None})
             yield pa.RecordBatch.from_pydict(
                 {"leaf": pa.array(list(seen), pa.int64()), "n": pa.array(list(seen.values()), pa.int64())}
             )
@@ -106,9 +121,10 @@ def _bitmap(leaves: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def candidate_lines(rows: DataFrame, leaves: DataFrame, min_tokens: int) -> DataFrame:
+def candidate_lines(rows: DataFrame, leaves: DataFrame, min_tokens: int, short_lines: bool = False) -> DataFrame:
     """(file, row, line, own, leaf, masked, first): each document's different lines in the given leaves; ``line`` is
-    a 128-bit hash of ``masked``, ``own`` one of the line as it is, ``first`` true once per document and ``line``."""
+    a 128-bit hash of ``masked``, ``own`` one of the line as it is, ``first`` true once per document and ``line``. A short
+    line has no ``masked``, and ``own`` as its ``line``."""
     shared = rows.sparkSession.sparkContext.broadcast(_bitmap(leaves))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,17 +133,18 @@ def candidate_lines(rows: DataFrame, leaves: DataFrame, min_tokens: int) -> Data
             out: list[list] = [[], [], [], [], [], [], []]
             for file, row, text in zip(*(c.to_pylist() for c in batch.columns)):
                 seen, seen_own = set(), set()
-                for text_line, found in parsed(text, min_tokens):
-                    if not found:
+                for text_line, found in parsed(text, min_tokens, short_lines):
+                    if found is None:
                         continue
-                    path = leaf(found)
+                    path = _path(text_line, found)
                     at = _place(path)
                     if bitmap[at >> 3] >> (at & 7) & 1:
                         own = own_digest(text_line)
                         if own not in seen_own:
                             seen_own.add(own)
-                            line = digest(found)
-                            values = (file, row, line, own, path, " ".join(found), line not in seen)
+                            line = digest(found) if found else own
+                            masked = " ".join(found) if found else None
+                            values = (file, row, line, own, path, masked, line not in seen)
                             seen.add(line)
                             for column, value in zip(out, values):
                                 column.append(value)
@@ -155,13 +172,14 @@ def templates(lines: DataFrame, min_docs: int, min_fixed: float) -> DataFrame:
 
 
 def recurring_lines(
-    rows: DataFrame, min_docs: int, min_tokens: int, min_fixed: float
+    rows: DataFrame, min_docs: int, min_tokens: int, min_fixed: float, short_lines: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(line): digests of the different lines to drop, masked where a template covers them, else their own; and
     (file, row, line): both digests of the lines of frequent leaves that documents hold."""
-    leaves = staged(count_leaves(rows, min_tokens).filter(F.col("n") >= min_docs).select("leaf"), "leaves")
-    lines = staged(candidate_lines(rows, leaves, min_tokens), "candidate-lines")
-    different = lines.groupBy("line", "leaf", "masked").agg(F.count_if("first").alias("n"))
+    leaves = staged(count_leaves(rows, min_tokens, short_lines).filter(F.col("n") >= min_docs).select("leaf"), "leaves")
+    lines = staged(candidate_lines(rows, leaves, min_tokens, short_lines), "candidate-lines")
+    whole = lines.filter("masked is not null")
+    different = whole.groupBy("line", "leaf", "masked").agg(F.count_if("first").alias("n"))
     named = staged(templates(staged(different, "different-lines"), min_docs, min_fixed), "templates")
     # Documents of a template, each once however many of its lines it has. A line without one is its own.
     own = F.concat(F.lit("="), F.hex("own"))
@@ -173,37 +191,38 @@ def recurring_lines(
     dropped = named.join(recurring, "template").select("line").unionAll(
         alone.select(F.unhex(F.expr("substring(template, 2)")).alias("line"))
     )
-    digests = F.explode(F.array("line", "own")).alias("line")
+    digests = F.explode(F.array_distinct(F.array("line", "own"))).alias("line")
     return staged(dropped, "dropped"), lines.select("file", "row", digests).distinct()
 
 
 _LEFT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_dropped", T.LongType())])
 
 
-def _without(text: str, drop: set[bytes] | frozenset[bytes], min_tokens: int) -> tuple[str, int]:
+def _without(text: str, drop: set[bytes] | frozenset[bytes], min_tokens: int, short_lines: bool) -> tuple[str, int]:
     parts = text.split("\n")
     kept = [
         line
-        for line, found in parsed(text, min_tokens)
-        if not found or (digest(found) not in drop and own_digest(line) not in drop)
+        for line, found in parsed(text, min_tokens, short_lines)
+        if found is None or (own_digest(line) not in drop and (not found or digest(found) not in drop))
     ]
     return "\n".join(kept), len(parts) - len(kept)
 
 
-def _by_broadcast(rows: DataFrame, dropped: DataFrame, min_tokens: int) -> DataFrame:
+def _by_broadcast(rows: DataFrame, dropped: DataFrame, min_tokens: int, short_lines: bool) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(frozenset(bytes(r["line"]) for r in dropped.collect()))
 
     @F.pandas_udf(_LEFT)
     def left(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_without(t, shared.value, min_tokens) for t in texts], columns=["text", "n_dropped"])
+        out = [_without(t, shared.value, min_tokens, short_lines) for t in texts]
+        return pd.DataFrame(out, columns=["text", "n_dropped"])
 
     return rows.select("doc_id", "text", left("text").alias("left"))
 
 
-def _by_join(rows: DataFrame, dropped: DataFrame, lines: DataFrame, min_tokens: int) -> DataFrame:
+def _by_join(rows: DataFrame, dropped: DataFrame, lines: DataFrame, min_tokens: int, short_lines: bool) -> DataFrame:
     @F.pandas_udf(_LEFT)
     def left(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
-        out = [_without(t, set(d), min_tokens) for t, d in zip(texts, drops)]
+        out = [_without(t, set(d), min_tokens, short_lines) for t, d in zip(texts, drops)]
         return pd.DataFrame(out, columns=["text", "n_dropped"])
 
     drops = lines.join(dropped, "line").groupBy("file", "row").agg(F.collect_list("line").alias("lines"))
@@ -224,13 +243,14 @@ def drop_recurring_lines(
     min_fixed: float = MIN_FIXED,
     id_col: str = "doc_id",
     text_col: str = "text",
+    short_lines: bool = False,
 ) -> DataFrame:
     """doc_id, n_lines, n_dropped and text (what is left) of every document."""
     rows = located(docs, id_col, text_col).select("doc_id", "text", "file", "row")
-    dropped, lines = recurring_lines(rows, min_docs, min_tokens, min_fixed)
+    dropped, lines = recurring_lines(rows, min_docs, min_tokens, min_fixed, short_lines)
     if dropped.count() <= BROADCAST_LINES:
-        left = _by_broadcast(rows, dropped, min_tokens)
+        left = _by_broadcast(rows, dropped, min_tokens, short_lines)
     else:
-        left = _by_join(rows, dropped, lines, min_tokens)
+        left = _by_join(rows, dropped, lines, min_tokens, short_lines)
     n_lines = F.size(F.split("text", "\n")).cast("long").alias("n_lines")
     return left.select("doc_id", n_lines, "left.n_dropped", "left.text")

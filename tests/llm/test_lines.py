@@ -106,3 +106,21 @@ def test_lines_of_few_fixed_tokens_stand_for_themselves(spark, monkeypatch, broa
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
     want = {i: (2, int(i >= 10), r if i < 10 else r.split("\n")[1]) for i, r in enumerate(rows)}
     assert found(drop_recurring_lines(df)) == want
+
+
+@pytest.mark.parametrize("broadcast", [500, 0])
+def test_short_lines_and_lines_without_spaces_recur(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(lines, "BROADCAST_LINES", broadcast)
+    long = "版权所有未经许可不得转载本网站的任何内容"
+    rows = [f"All rights  reserved.\n{long}\n\nPage {i}\nonly {long}{i}" for i in range(10)]
+    rows += ["All rights reserved.\nsome words" for _ in range(9)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    want = {i: (5, 2, f"\nPage {i}\nonly {long}{i}") for i in range(10)} | {i: (2, 1, "some words") for i in range(10, 19)}
+    assert found(drop_recurring_lines(df, short_lines=True)) == want
+    assert {r.n_dropped for r in drop_recurring_lines(df).collect()} == {0}
+
+
+def test_op6_query_drops_short_lines(spark):
+    larger = "/root/testdata/sf0.1"
+    got = bindings.QUERIES["op6_line_dedup"](spark, larger).select("text").collect()
+    assert not any(line.strip() == "All rights reserved." for r in got for line in r.text.split("\n"))
