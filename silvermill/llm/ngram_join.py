@@ -41,12 +41,12 @@ WORDS = 5
 THRESHOLD = 0.8
 TOKENS = 64  # entries of a signature
 CHILDREN = 2.0
-TARGET_RECALL = 0.99
+TARGET_RECALL = 0.9999
 DEPTH = 3
 LEAF = 256
 TILE = 1024  # sets of a block of a bucket that has not come apart
 MEMBERS = 16
-CANDIDATE = 40  # equal entries of 64; a pair at 0.8 has fewer with probability 1e-4
+CANDIDATE = 36  # equal entries of 64; a pair at 0.8 has fewer with probability 4e-6
 NEARLY_EQUAL = 61
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 21
@@ -150,8 +150,8 @@ def _first_paths(sets: DataFrame, runs: int) -> DataFrame:
 
 def _meet_members(large: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows (a, b, path) of large buckets: candidate pairs with members (a, b), and the sets (a) that go on
-    (path). Members are drawn by a hash of the set."""
-    draw = Window.partitionBy("path").orderBy(F.xxhash64("key"), "key")
+    (path). Members are drawn by a hash of path and set, so that other buckets have other members."""
+    draw = Window.partitionBy("path").orderBy(F.xxhash64("path", "key"), "key")
     drawn = large.withColumn("n", F.row_number().over(draw)).filter(F.col("n") <= MEMBERS).select("path", "key")
     members = drawn.join(sets.select("key", "sig"), "key").groupBy("path").agg(
         F.collect_list("key").alias("keys"), F.collect_list("sig").alias("sigs")

@@ -190,6 +190,23 @@ def test_recall_of_pairs_at_the_threshold(spark):
     assert runs_needed(0.8, 0.99) == 4
 
 
+def test_pairs_at_the_threshold_below_a_passage_of_all(spark, monkeypatch):
+    # Buckets of the passage's tokens are large down to the last depth; a pair has 80 of 100 shingles in common.
+    monkeypatch.setattr(ngram_join, "LEAF", 32)
+    rng = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = []
+    for _ in range(1500):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(64)]
+        other = [*words]
+        for at in (20, 45):
+            other[at] = "x" + other[at]
+        rows += [f"{passage} {' '.join(words)}", f"{passage} {' '.join(other)}"]
+    assert len(set(shingles(rows[0]).tolist()) & set(shingles(rows[1]).tolist())) == 80
+    got = near_duplicates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    assert got.filter("n_links = 0").count() <= 2
+
+
 def test_near_join_of_odd_rows(spark, odd, empty):
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     assert found(near_duplicates(odd)) == brute(rows)
