@@ -29,7 +29,7 @@ TREES = 16
 DEPTH = 3
 LASSO = 0.002
 SEED = 17
-ITERATIONS = 50
+ITERATIONS = 100
 TRAINING_TASKS = 4
 THRESHOLD = 0.3
 

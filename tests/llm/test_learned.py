@@ -47,6 +47,10 @@ def test_op7_query(spark):
     assert len(held) > 40 and sum(y == p for y, p in held) / len(held) > 0.93
 
 
+def test_the_lasso_keeps_its_iterations():
+    assert quality.ITERATIONS >= 100
+
+
 def test_rules_as_columns_are_the_rules(spark):
     rule = quality.Rule((("letters", True, 0.5), ("n_words", False, 10.0)), 2.0)
     model = quality.Ensemble((rule, quality.Rule((("digits", False, 0.1),), -1.0)), 0.25)
