@@ -118,3 +118,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from silvermill.llm.lines import drop_recurring_lines
 
     return drop_recurring_lines(table(spark, sf_dir, "documents"), short_lines=True)
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.alignment import align_and_score
+
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_and_score(table(spark, sf_dir, "documents"), *paths)
