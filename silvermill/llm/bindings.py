@@ -126,3 +126,17 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align_and_score(table(spark, sf_dir, "documents"), *paths)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.periodic import digests, periodic_runs, with_planted_periods
+
+    return digests(periodic_runs(with_planted_periods(table(spark, sf_dir, "documents"))))
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from silvermill.llm.secret_scan import digests, find_secrets
+
+    return digests(find_secrets(table(spark, sf_dir, "documents")))
