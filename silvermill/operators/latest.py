@@ -20,14 +20,14 @@ def latest_by(
     runs before the shuffle as well: a hot key sends one row per input task.
     """
     if ties is None:
-        ties = [_row_hash(df)]
+        ties = [row_hash(df)]
     newest_first = [F.col(c).desc_nulls_last() for c in order]
     newest_first += [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in ties]
     window = Window.partitionBy(*keys).orderBy(*newest_first)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def _row_hash(df: DataFrame) -> Column:
+def row_hash(df: DataFrame) -> Column:
     """Hash of all columns; maps and variants, which have no hash, by their JSON text."""
     return F.xxhash64(
         *[

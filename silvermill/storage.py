@@ -30,6 +30,21 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, target = _open(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a file or folder; the parent of ``to`` is created."""
+    fs, target = _open(spark, path)
+    _, end = _open(spark, to)
+    fs.mkdirs(end.getParent())
+    if not fs.rename(target, end):
+        raise OSError(f"could not move {path} to {to}")
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """Matching paths, sorted; none when the folder is missing."""
     fs, target = _open(spark, pattern)
