@@ -117,7 +117,8 @@ PULL_RENAMES = {
     "issue_state": "pull_state",
 }
 
-REPO_FEED = Feed("repo_metadata", REPO_SCHEMA, REPO_FIELDS)
+# A value of an odd type in one repository's snapshot is null; it does not hold the others back.
+REPO_FEED = Feed("repo_metadata", REPO_SCHEMA, REPO_FIELDS, misfits="warn")
 COMMIT_FEED = Feed("commits", COMMIT_SCHEMA, COMMIT_FIELDS)
 ISSUE_FEED = Feed("issues", ISSUE_SCHEMA, ISSUE_FIELDS)
 
@@ -151,7 +152,7 @@ PULLS = Table(
     not_blank=("repo_full_name",),
     renames=PULL_RENAMES,
 )
-REPO_IDS = Lookup("repo_metadata", key=("repo_full_name",), values=("repo_id",))
+REPO_IDS = Lookup("repo_metadata", key=("repo_full_name",), values=("repo_id",), version=("snapshot_date", "bronze_ingested_at"))
 
 # End of the fixed values.
 

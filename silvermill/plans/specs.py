@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 
+from silvermill.sinks.upsert import BUCKET_BYTES, BUCKETS
+
 
 @dataclass(frozen=True)
 class Store:
@@ -28,20 +30,22 @@ class Store:
 class Feed:
     """Envelopes of one endpoint. ``fields`` are select expressions over the envelope's columns,
     with ``record`` for the exploded element of page feeds. ``damaged`` says what unreadable and
-    miscounted pages do to a job: error or warn."""
+    miscounted pages do to a job, ``misfits`` what pages with values that their fields' types cannot hold do, which
+    are null then: error or warn."""
 
     endpoint: str
     schema: str
     fields: tuple[str, ...]
     layout: str = "keyed"
     damaged: str = "error"
+    misfits: str = "error"
 
 
 @dataclass(frozen=True)
 class Table:
     """A silver table: how its rows are made unique, checked and published. An upserted one needs
-    ``publish_keys``; ``buckets`` holds where it has no ``partition_by``. A snapshot table with ``current_by``
-    keeps the newest version per that key in a table beside it."""
+    ``publish_keys``; without ``partition_by`` it starts with ``buckets``, and buckets above ``bucket_bytes`` are split.
+    A snapshot table with ``current_by`` keeps the newest version per that key in a table beside it."""
 
     name: str
     dedupe_keys: tuple[str, ...]
@@ -53,7 +57,8 @@ class Table:
     renames: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
     newer_by: str | None = None
-    buckets: int = 16
+    buckets: int = BUCKETS
+    bucket_bytes: int = BUCKET_BYTES
     current_by: tuple[str, ...] = ()
 
 

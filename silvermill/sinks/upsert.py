@@ -41,6 +41,7 @@ from silvermill.functions.columns import all_present
 from silvermill.operators.keyfilter import may_match
 from silvermill.operators.latest import latest_by
 from silvermill.sinks.buckets import MAX_DEPTH, ROOT, Directory, bits_to_split, depth, key_hash, low_bits_of
+from silvermill.sinks.replace import read_dates
 from silvermill.storage import create_text, delete, exists, glob, read_text, size
 
 BUCKETS = 16  # of a new table without partition columns
@@ -456,10 +457,10 @@ def upsert(
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A silver table: an upserted one through its state, any other as plain Parquet."""
+    """A silver table: an upserted one through its state, any other as plain Parquet by its dates."""
     table = SilverTable(spark, path)
     state = table.state()
     if state is None:
-        return spark.read.parquet(path)
+        return read_dates(spark, path)
     schema = T.StructType.fromJson(state["schema"])
     return table.read_folders(state["folders"], _with_bucket(schema)).select(*schema.fieldNames())

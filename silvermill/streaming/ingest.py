@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silvermill.plans.audit import Run
-from silvermill.plans.jobs import CORRUPT, publish_entity, publish_split
+from silvermill.plans.audit import Run, read_runs
+from silvermill.plans.jobs import CORRUPT, Batch, publish_entity, publish_split
 from silvermill.plans.specs import Feed, Lookup, Store, Table
 from silvermill.session import Scratch
 from silvermill.sinks.landing import TIME_PARTITIONS
+from silvermill.storage import exists, read_text
 
 
 def ingest_available(
@@ -56,16 +59,39 @@ def ingest_available(
     return len(ran)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a stream keeps as long as its checkpoint."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
+def _recorded(spark: SparkSession, store: Store, batch: Batch) -> bool:
+    """Whether the audit table has a successful run of this batch."""
+    path = store.table("_runs")
+    if not exists(spark, path):
+        return False
+    same = (F.col("stream") == batch.stream) & (F.col("batch") == batch.number) & (F.col("status") == "SUCCESS")
+    return not read_runs(spark, path).filter(same).isEmpty()
+
+
 def _stream(
     spark: SparkSession, store: Store, feed: Feed, job: str, checkpoint: str, run_ts: datetime | None,
-    files_per_batch: int | None, publish: Callable[[Run, DataFrame, Scratch], None],
+    files_per_batch: int | None, publish: Callable[[Run, DataFrame, Scratch, Batch], None],
 ) -> int:
-    """``publish`` per batch of new files, each batch a run of its own in the audit table."""
-
-    def apply(batch: DataFrame, _: int) -> None:
-        with Run(spark, store.table("_runs"), job) as run, Scratch(spark) as scratch:
+    """``publish`` per batch of new files, each batch a run of its own in the audit table.
+
+    Only the first batch after a start may be one that was given before: if its run is recorded it is passed over,
+    and if it failed behind a publish the tables know what they have of it."""
+    started = False
+
+    def apply(frame: DataFrame, number: int) -> None:
+        nonlocal started
+        batch = Batch(stream_id(spark, checkpoint), number)
+        first, started = not started, True
+        if first and _recorded(spark, store, batch):
+            return
+        with Run(spark, store.table("_runs"), job, stream=batch.stream, batch=number) as run, Scratch(spark) as scratch:
             run.started_at = run_ts or run.started_at
-            publish(run, batch, scratch)
+            publish(run, frame, scratch, batch)
 
     root = store.landed(feed.endpoint)
     return ingest_available(spark, root, feed.schema, checkpoint, apply, files_per_batch, feed.layout)
@@ -75,10 +101,10 @@ def stream_entity(
     spark: SparkSession, store: Store, feed: Feed, table: Table, checkpoint: str, lookup: Lookup | None = None,
     files_per_batch: int | None = None, run_ts: datetime | None = None,
 ) -> int:
-    """The entity job per batch of new files: flatten, latest, enrich, gate, upsert."""
+    """The entity job per batch of new files: flatten, latest, enrich, gate, upsert, date by date."""
 
-    def publish(run: Run, batch: DataFrame, scratch: Scratch) -> None:
-        publish_entity(run, store, feed, table, lookup, batch, scratch, one_day=False)
+    def publish(run: Run, frame: DataFrame, scratch: Scratch, batch: Batch) -> None:
+        publish_entity(run, store, feed, table, lookup, frame, scratch, False, batch)
 
     return _stream(spark, store, feed, table.name, checkpoint, run_ts, files_per_batch, publish)
 
@@ -89,7 +115,7 @@ def stream_split(
 ) -> int:
     """The job of a mixed feed per batch of new files."""
 
-    def publish(run: Run, batch: DataFrame, scratch: Scratch) -> None:
-        publish_split(run, store, feed, flag, without, having, lookup, batch, scratch, one_day=False)
+    def publish(run: Run, frame: DataFrame, scratch: Scratch, batch: Batch) -> None:
+        publish_split(run, store, feed, flag, without, having, lookup, frame, scratch, False, batch)
 
     return _stream(spark, store, feed, feed.endpoint, checkpoint, run_ts, files_per_batch, publish)
