@@ -2,24 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silvermill.functions.columns import run_stamp, snapshot_date
 
 
-def _resolves(df: DataFrame, expression: str) -> str | None:
-    """The name of a select expression over ``df``, or None where it needs a column that is not there."""
-    try:
-        return df.select(F.expr(expression)).columns[0]
-    except AnalysisException as problem:
-        if problem.getCondition().startswith("UNRESOLVED_COLUMN"):
-            return None
-        raise
+# Whether an expression may use the record. Where it only looks so, in a text or as a field's name, it is computed
+# for every record instead of once for the page.
+_USES_RECORD = re.compile(r"(?i)\brecord\b")
 
 
 def flatten_pages(envelopes: DataFrame, fields: Sequence[str], data: str = "data") -> DataFrame:
@@ -31,9 +26,8 @@ def flatten_pages(envelopes: DataFrame, fields: Sequence[str], data: str = "data
     """
     if "record" in (c.lower() for c in envelopes.columns):
         raise ValueError("an envelope column named record would hide the page's records")
-    empty = envelopes.sparkSession.createDataFrame([], envelopes.schema)
-    names = [_resolves(empty, f) for f in fields]
-    of_page = {i: f"_page_{i}" for i, name in enumerate(names) if name is not None}
+    names = envelopes.withColumn("record", F.element_at(data, 1)).selectExpr(*fields).columns
+    of_page = {i: f"_page_{i}" for i, field in enumerate(fields) if not _USES_RECORD.search(field)}
     pages = envelopes.select(
         *[F.col(f"`{c}`") for c in envelopes.columns if c != data],
         F.col(data).alias("_data"),

@@ -42,7 +42,8 @@ def read_current(spark: SparkSession, store: Store, name: str) -> DataFrame | No
 
 def newest_versions(rows: DataFrame, table: Table) -> DataFrame:
     """The newest version of each key; rows with a null in their key are no versions of anything."""
-    return latest_by(rows.filter(all_present(table.current_by)), table.current_by, [VERSION, *table.order])
+    order = table.current_order or table.order
+    return latest_by(rows.filter(all_present(table.current_by)), table.current_by, [VERSION, *order])
 
 
 class Follower:

@@ -128,6 +128,7 @@ REPOS = Table(
     required=("repo_id", "repo_full_name", "repo_url", "snapshot_date"),
     not_negative=("size_kb", "network_count", "open_issues_count", "stargazers_count", "subscribers_count"),
     current_by=("repo_full_name",),
+    current_order=("bronze_ingested_at", "repo_id"),
 )
 COMMITS = Table(
     "commits",
@@ -152,7 +153,7 @@ PULLS = Table(
     not_blank=("repo_full_name",),
     renames=PULL_RENAMES,
 )
-REPO_IDS = Lookup("repo_metadata", key=("repo_full_name",), values=("repo_id",), version=("snapshot_date", "bronze_ingested_at"))
+REPO_IDS = Lookup("repo_metadata", key=("repo_full_name",), values=("repo_id",), version=("snapshot_date", *REPOS.current_order))
 
 # End of the fixed values.
 

@@ -45,7 +45,8 @@ class Feed:
 class Table:
     """A silver table: how its rows are made unique, checked and published. An upserted one needs
     ``publish_keys``; without ``partition_by`` it starts with ``buckets``, and buckets above ``bucket_bytes`` are split.
-    A snapshot table with ``current_by`` keeps the newest version per that key in a table beside it."""
+    A snapshot table with ``current_by`` keeps the newest version per that key in a table beside it; of two rows
+    of one day the one higher in ``current_order``, or without that in ``order``, is newer."""
 
     name: str
     dedupe_keys: tuple[str, ...]
@@ -60,6 +61,7 @@ class Table:
     buckets: int = BUCKETS
     bucket_bytes: int = BUCKET_BYTES
     current_by: tuple[str, ...] = ()
+    current_order: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
