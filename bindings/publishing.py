@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -23,14 +24,14 @@ from bindings.shaping import LATEST_LINE_SQL, LINE_COLUMNS, LINE_KEYS, LINE_ORDE
 from silvermill.functions.columns import iso_text
 from silvermill.operators.incremental import in_window, marks_of
 from silvermill.plans.audit import read_runs
-from silvermill.plans.jobs import run_entity, run_snapshot, run_split_entity
+from silvermill.plans.jobs import newest, run_entity, run_snapshot, run_split_entity
 from silvermill.plans.landing import land_records, land_snapshots, read_marks, write_marks
 from silvermill.plans.specs import Feed, Lookup, Store, Table
 from silvermill.session import Scratch
 from silvermill.sinks.replace import replace_where
 from silvermill.sinks.upsert import read_table, upsert
 from silvermill.sources.envelopes import Scope, scan_envelopes
-from silvermill.streaming.ingest import stream_entity
+from silvermill.streaming.ingest import stream_entity, stream_split
 
 
 def _store(spark) -> Store:
@@ -241,15 +242,15 @@ LINE_TABLE = Table(
 ORDER_STATUS = Lookup("orders", key=("order_id",), values=("order_status",), version=("snapshot_date",))
 
 
-def _land_orders(spark, sf, store):
-    orders = table(spark, sf, "orders").select(
+def _land_orders(spark, sf, store, run_ts=RUN_TS, where="true", mark=""):
+    orders = table(spark, sf, "orders").filter(where).select(
         F.col("o_orderstatus").alias("owner"),
         F.col("o_orderkey").cast("string").alias("repo"),
         F.col("o_orderkey").alias("id"),
-        F.col("o_orderstatus").alias("status"),
+        F.concat("o_orderstatus", F.lit(mark)).alias("status"),
         iso_text("o_orderdate").alias("ordered_at"),
     )
-    land_snapshots(store, "orders", orders, RUN_TS, RUN_TS)
+    land_snapshots(store, "orders", orders, run_ts, run_ts)
 
 
 def _land_lines(spark, sf, store):
@@ -287,6 +288,33 @@ def job_entity(spark, sf):
     )
 
 
+_VERSIONED = replace(ORDER_TABLE, current_by=("order_id",))
+
+
+@query(
+    "lookup_after_rerun",
+    """select o_orderkey as order_id, o_orderstatus || case when o_orderkey = (select max(o_orderkey) from orders) then '4'
+      when o_orderkey % 4 = 0 then '3' else '1' end as order_status from orders""",
+)
+def lookup_after_rerun(spark, sf):
+    """The newest version per key after: a history that no current versions were kept for, a later date, a rerun of that
+    date from which half of its keys are gone, a rerun of the earlier date, and a run for one entity."""
+    store, later = _store(spark), RUN_TS + timedelta(days=7)
+    again = Store(Scratch(spark).path("bronze"), store.silver)
+    _land_orders(spark, sf, store, mark="1")
+    _land_orders(spark, sf, store, later, "o_orderkey % 2 = 0", "2")
+    _land_orders(spark, sf, again, later, "o_orderkey % 4 = 0", "3")
+    run_snapshot(spark, store, ORDER_FEED, ORDER_TABLE, Scope(DAY), run_ts=RUN_TS)
+    for source, run_ts in ((store, later), (again, later), (store, RUN_TS)):
+        run_snapshot(spark, source, ORDER_FEED, _VERSIONED, Scope(f"{run_ts:%Y-%m-%d}"), run_ts=run_ts)
+    last = RUN_TS + timedelta(days=14)
+    newest_order = table(spark, sf, "orders").orderBy(F.desc("o_orderkey")).first()
+    _land_orders(spark, sf, store, last, f"o_orderkey > {newest_order.o_orderkey} - 100", "4")
+    entity = (newest_order.o_orderstatus, str(newest_order.o_orderkey))
+    run_snapshot(spark, store, ORDER_FEED, _VERSIONED, Scope(f"{last:%Y-%m-%d}", *entity), run_ts=last)
+    return newest(spark, store, ORDER_STATUS, Scratch(spark))
+
+
 @query(
     "run_audit_counts",
     """select 'lines' as job, 'SUCCESS' as status, cast(0 as bigint) as miscounted_pages,
@@ -305,6 +333,35 @@ def run_audit_counts(spark, sf):
     )
 
 
+_PAGE = """case when s_suppkey % 3 = 0 then '{{"owner":"tpch","repo":"S","endpoint":"lines","count":"many","data":{{"message":"' || s_name || '"}}}}'
+  when s_suppkey % 3 = 1 then '{{"owner":"tpch","repo":"S","endpoint":"lines","count":2,"batch_timestamp":"2026-04-06T02:00:00Z","data":[{{"order_id":' || s_suppkey || ',"line":1,"l_quantity":"' || s_name || '"}},{{"order_id":' || s_suppkey || ',"line":2,"l_quantity":{{"n":1}}}}]}}'
+  else '{{"owner":"tpch","repo":"S","endpoint":"lines","count":1,"batch_timestamp":"2026-04-06T02:00:00Z","data":[{{"order_id":' || s_suppkey || ',"line":1,"l_quantity":2.5}}]}}' end""".replace("{{", "{").replace("}}", "}")
+
+
+@query(
+    "run_audit_damage",
+    """select count(*) as pages, count(*) filter (s_suppkey % 3 = 0) as corrupt_pages, count(*) filter (s_suppkey % 3 = 1) as misfit_pages,
+    count(*) filter (s_suppkey % 3 = 0) as bad_counts, count(*) filter (s_suppkey % 3 = 0) as bad_data,
+    2 * count(*) filter (s_suppkey % 3 = 1) as bad_quantities, count(*) filter (s_suppkey % 3 <> 2) as quarantined,
+    2 * count(*) filter (s_suppkey % 3 = 1) + count(*) filter (s_suppkey % 3 = 2) as records,
+    2 * count(*) filter (s_suppkey % 3 = 1) + count(*) filter (s_suppkey % 3 = 2) as rows_written from supplier""",
+)
+def run_audit_damage(spark, sf):
+    """A page per supplier: error bodies in place of records, values that do not fit their field, and sound ones. What is
+    damaged is counted by field and kept; the feed says that it does not stop the job."""
+    store = _store(spark)
+    pages = table(spark, sf, "supplier").select(F.expr(_PAGE).alias("value"))
+    pages.write.text(store.landed("lines") + "/yyyy=2026/mm=04/dd=06/hh=02/owner=tpch/repo=S")
+    feed = replace(LINE_FEED, damaged="warn", misfits="warn")
+    run_entity(spark, store, feed, replace(LINE_TABLE, order=("l_quantity",)), None, Scope(DAY), RUN_TS)
+    kept = spark.read.schema("text string").json(store.table("_quarantine")).agg(F.count("text").alias("quarantined"))
+    return read_runs(spark, store.table("_runs")).crossJoin(F.broadcast(kept)).select(
+        "pages", "corrupt_pages", "misfit_pages", F.col("misfits")["count"].alias("bad_counts"),
+        F.col("misfits")["data"].alias("bad_data"), F.col("misfits")["data[].l_quantity"].alias("bad_quantities"),
+        "quarantined", "records", F.col("rows_written")["lines"].alias("rows_written"),
+    )
+
+
 MIXED_FEED = Feed(
     "mixed",
     ENVELOPE + """, data array<struct<doc_id bigint, n_chars bigint, label struct<quality int, toxic int>>>""",
@@ -332,6 +389,43 @@ def _mixed_table(name, **more):
     )
 
 
+WITHOUT = _mixed_table("without_label")
+HAVING = _mixed_table("with_label", key="labelled_id", renames={"doc_id": "labelled_id"})
+
+
+def _land_mixed(spark, sf, store, run_ts, where="true", more=0):
+    label = F.when(F.col("quality").isNotNull(), F.struct("quality", "toxic")).alias("label")
+    rows = documents_with_label(spark, sf).filter(where).select(
+        F.lit("corpus").alias("owner"), F.col("lang").alias("repo"), "doc_id", (F.col("n_chars") + more).alias("n_chars"), label
+    )
+    land_records(
+        spark, store, "mixed", rows, rows.select("owner", "repo").distinct(), run_ts, "doc_id", fetched_at=run_ts
+    )
+
+
+@query(
+    "stream_two_dates",
+    """select doc_id, n_chars + case when doc_id % 2 = 0 then 1 else 0 end as n_chars, quality,
+      case when doc_id % 2 = 0 then date '2026-04-13' else date '2026-04-06' end as snapshot_date,
+      case when quality is null then 'absent' else 'present' end as part, cast(1 as bigint) as runs
+    from documents left join labels using (doc_id)""",
+)
+def stream_two_dates(spark, sf):
+    """Two landed dates reach a mixed feed's stream in one batch: the later date wins, and a second start adds nothing."""
+    store = _store(spark)
+    checkpoint = Scratch(spark).path("stream")
+    _land_mixed(spark, sf, store, RUN_TS + timedelta(days=7), "doc_id % 2 = 0", 1)
+    _land_mixed(spark, sf, store, RUN_TS)
+    for _ in range(2):
+        stream_split(spark, store, MIXED_FEED, "has_label", WITHOUT, HAVING, checkpoint, run_ts=RUN_TS)
+    absent = read_table(spark, store.table("without_label")).withColumn("part", F.lit("absent"))
+    present = read_table(spark, store.table("with_label")).withColumn("part", F.lit("present"))
+    present = present.withColumnRenamed("labelled_id", "doc_id")
+    runs = read_runs(spark, store.table("_runs")).filter("status = 'SUCCESS'").agg(F.count("*").alias("runs"))
+    columns = ["doc_id", "n_chars", "quality", "snapshot_date", "part"]
+    return absent.select(*columns).unionByName(present.select(*columns)).crossJoin(F.broadcast(runs))
+
+
 @query(
     "job_split",
     """select doc_id, n_chars, quality, case when quality is null then 'absent' else 'present' end as part
@@ -340,16 +434,8 @@ def _mixed_table(name, **more):
 def job_split(spark, sf):
     """Document pages with an optional label struct to two tables, one with a renamed key."""
     store = _store(spark)
-    label = F.when(F.col("quality").isNotNull(), F.struct("quality", "toxic")).alias("label")
-    rows = documents_with_label(spark, sf).select(
-        F.lit("corpus").alias("owner"), F.col("lang").alias("repo"), "doc_id", "n_chars", label
-    )
-    land_records(
-        spark, store, "mixed", rows, rows.select("owner", "repo").distinct(), RUN_TS, "doc_id", fetched_at=RUN_TS
-    )
-    without = _mixed_table("without_label")
-    having = _mixed_table("with_label", key="labelled_id", renames={"doc_id": "labelled_id"})
-    run_split_entity(spark, store, MIXED_FEED, "has_label", without, having, None, Scope(DAY), RUN_TS)
+    _land_mixed(spark, sf, store, RUN_TS)
+    run_split_entity(spark, store, MIXED_FEED, "has_label", WITHOUT, HAVING, None, Scope(DAY), RUN_TS)
     absent = read_table(spark, store.table("without_label")).withColumn("part", F.lit("absent"))
     present = read_table(spark, store.table("with_label")).withColumn("part", F.lit("present"))
     present = present.withColumnRenamed("labelled_id", "doc_id")

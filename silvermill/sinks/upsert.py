@@ -165,7 +165,9 @@ class Draft:
         return self.read(self.folders).select(*self.schema.fieldNames())
 
     def discard(self) -> None:
-        for folder in {f.split("/")[0] for f in self.folders + self.rest}:
+        """Delete what was written, unless it has been published: a publish may fail behind its state file."""
+        published = {f.split("/")[0] for f in (self.table.state() or {"folders": []})["folders"]}
+        for folder in {f.split("/")[0] for f in self.folders + self.rest} - published:
             delete(self.table.spark, f"{self.table.path}/{folder}")
 
 

@@ -11,12 +11,20 @@ def _present(value: Column) -> Column:
     return value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(True))
 
 
+# Kinds of JSON values, as variants name them, that the JSON reader takes for a type; any for text.
+_KINDS = {
+    T.BooleanType: "BOOLEAN", T.ByteType: "BIGINT", T.ShortType: "BIGINT", T.IntegerType: "BIGINT", T.LongType: "BIGINT",
+    T.FloatType: "BIGINT|DECIMAL.*|DOUBLE|FLOAT", T.DoubleType: "BIGINT|DECIMAL.*|DOUBLE|FLOAT", T.DecimalType: "BIGINT|DECIMAL.*|DOUBLE|FLOAT",
+}
+
+
 def _fits(value: Column, kind: T.DataType) -> Column:
-    """Whether the JSON reader would keep a present value: text is not read as a number or the like."""
+    """Whether a present value is of a kind that the field's type takes, and within its range."""
     if isinstance(kind, T.StringType):
         return F.lit(True)
-    is_text = F.schema_of_variant(value) == "STRING"
-    return ~is_text & F.try_variant_get(value, "$", kind.simpleString()).isNotNull()
+    cast = F.try_variant_get(value, "$", kind.simpleString()).isNotNull()
+    kinds = _KINDS.get(type(kind))
+    return cast if kinds is None else cast & F.schema_of_variant(value).rlike(f"^({kinds})$")
 
 
 def misfits(value: Column, kind: T.DataType, path: str = "") -> list[tuple[str, Column]]:
