@@ -51,15 +51,21 @@ def labelled_sample(
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(text, label) of at most ``rows`` labelled documents outside the held-out part, those with the
-    smallest hashes of their ids. Rows with a null id or label are never learned from."""
+    smallest hashes of their ids. Rows with a null id or label are never learned from. Labels without a document do
+    not count: those of documents are found by ids alone, before any text is read. Of several texts with one id
+    the last in order is learned from."""
+    known = docs.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
     chosen = (
         labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .filter(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"), parts, part))
+        .distinct()
+        .join(known, "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(rows)
     )
     # The chosen ids are at most ``rows``, which bounds the broadcast.
-    return id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("text", "label")
+    found = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.max("text").alias("text")).select("text", "label")
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

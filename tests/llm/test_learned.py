@@ -209,3 +209,39 @@ def test_language_of_odd_rows(spark, odd, empty):
     assert language.predict(empty, model).count() == 0
     nothing = language.train(learned.limit(0))
     assert {r.lang_pred for r in language.predict(odd, nothing).collect()} == {"und"}
+
+
+def test_labels_without_documents_do_not_use_up_the_sample(spark):
+    docs = spark.range(100).selectExpr("id * 2000 as doc_id", "concat('text ', id) as text", "'x' as label")
+    labels = spark.range(200_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    learned = labelled_sample(docs, labels, "quality", 5, 0, 8000)
+    usable = docs.filter(~held_out(F.col("doc_id"), 5, 0)).count()
+    assert 60 < usable < 100 and learned.count() == usable
+    assert labelled_sample(docs, labels, "quality", 5, 0, 10).count() == 10
+
+
+def test_repeated_ids_give_one_text_to_learn_from(spark):
+    rows = [(1, "a b"), (1, "a c"), (1, None), (2, "z"), (None, "n"), *[(3, "hot")] * 500]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in (1, 2, 3, 3, None)], "doc_id long, toxic int")
+    held = {i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 4 == 2}
+    got = sorted(tuple(r) for r in labelled_sample(docs, labels, "toxic", 4, 2, 100).collect())
+    assert got == sorted((t, 1) for i, t in ((1, "a c"), (2, "z"), (3, "hot")) if i not in held)
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices(["lorem", "ipsum", "dolor", "amet"], k=30)), "la") for i in range(20)]
+    rows += [(100 + i, " ".join(rng.choices(["szczur", "brzeg", "chrząszcz", "trzcina"], k=15_000)), "pl") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = language.sample(docs, longest=1000).collect()
+    assert sorted(r.lang for r in learned) == ["la"] * 20 + ["pl"] * 3
+    assert {len(r.text) for r in learned if r.lang == "pl"} == {1000}
+    asked = spark.createDataFrame([(1, "brzeg szczur"), (2, "dolor ipsum")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language.predict(asked, language.train(docs)).collect()} == {1: "pl", 2: "la"}
+
+
+def test_an_id_that_stands_in_many_rows_is_learned_from_once(spark):
+    rows = [(7, "aaa bbb", "x")] * 400 + [(7, "aaa ccc", "x")] + [(i, f"w{i}", "x") for i in range(300)]
+    got = [r.text for r in language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()]
+    assert len(got) == 250 and len(set(got)) == 250 and "aaa bbb" not in got
