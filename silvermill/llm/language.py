@@ -10,9 +10,10 @@ word, so that a word's code lengths can be kept for its next occurrence. The lan
 shortest code for the whole text wins; the score is its share when code lengths are turned back
 into probabilities.
 
-Training reads a bounded sample of the labelled rows: per language ``docs_per_language`` documents of
-at most ``longest_bytes`` bytes, those with the smallest hash of their id. Every document is scored,
-over its whole text.
+Training reads a bounded sample of the labelled rows: per language ``docs_per_language`` documents, those with
+the smallest hash of their id, and of a text longer than ``longest`` characters so many from a place that the id's
+hash picks. Of several texts with one id the last in order is learned from. Every document is scored, over its
+whole text.
 
 Defined cases: a null, empty or letterless text is ``und`` with score 0, and so is every text where
 nothing was learned; equal code lengths go to the first language by name; null ids and repeated rows
@@ -38,7 +39,7 @@ from silvermill.llm.common import id_and_text
 ORDER = 4
 DOCS_PER_LANGUAGE = 250
 COUNTING_TASKS = 4  # for the bounded sample; each sends on its different grams once
-LONGEST_BYTES = 1 << 16
+LONGEST = 1 << 16  # characters of one text that are learned from
 CACHED_WORDS = 300_000
 CACHED_GRAMS = 500_000
 LONGEST_WORD = 64
@@ -56,16 +57,19 @@ def _bytes(word: str) -> bytes:
 
 
 def sample(
-    labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, longest_bytes: int = LONGEST_BYTES
+    labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, longest: int = LONGEST
 ) -> DataFrame:
-    """At most ``docs_per_language`` rows (lang, text) of each language. Ids are ranked without their texts."""
-    usable = labelled.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= longest_bytes))
+    """At most ``docs_per_language`` rows (lang, text) of each language. Different ids are ranked without their texts."""
+    usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = usable.select("doc_id", "lang", F.row_number().over(order).alias("_rank"))
-    chosen = ranked.filter(F.col("_rank") <= docs_per_language).select("doc_id", "lang").distinct()
+    ranked = usable.select("doc_id", "lang").distinct().withColumn("_rank", F.row_number().over(order))
     # The chosen ids are at most ``docs_per_language`` per language, which bounds the broadcast.
-    found = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
-    return found.dropDuplicates(["doc_id", "lang"]).select("lang", "text").coalesce(COUNTING_TASKS)
+    chosen = F.broadcast(ranked.filter(F.col("_rank") <= docs_per_language).select("doc_id", "lang"))
+    places = F.greatest(F.lit(1), F.length("text") - longest + 1)
+    window = F.substring("text", (1 + F.pmod(F.xxhash64("doc_id"), places)).cast("int"), F.lit(longest))
+    found = usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).withColumn("text", window)
+    found = found.groupBy("doc_id", "lang").agg(F.max("text").alias("text"))
+    return found.select("lang", "text").coalesce(COUNTING_TASKS)
 
 
 def count_contexts(rows: DataFrame, order: int = ORDER) -> DataFrame:
