@@ -161,13 +161,14 @@ REPO_IDS = Lookup("repo_metadata", key=("repo_full_name",), values=("repo_id",),
 def land_run(
     spark: SparkSession, store: Store, entities: DataFrame, transport: Transport, run_ts: datetime,
     since: datetime, until: datetime, scheduled: bool = True, owner: str | None = None, repo: str | None = None,
+    layout: str = "keyed",
 ) -> None:
     """Land an interval of all endpoints for all listed entities, or for one. Issues have no upper
     bound, as a later change must not hide them. Only scheduled runs move the high-water marks."""
     entities = scope_entities(entities, owner, repo)
-    land_remote_snapshots(store, REPO_FEED.endpoint, entities, transport, run_ts)
-    land_remote(spark, store, ISSUE_FEED.endpoint, entities, transport, run_ts, since, mark=scheduled)
-    land_remote(spark, store, COMMIT_FEED.endpoint, entities, transport, run_ts, since, until, mark=scheduled)
+    land_remote_snapshots(store, REPO_FEED.endpoint, entities, transport, run_ts, layout)
+    land_remote(spark, store, ISSUE_FEED.endpoint, entities, transport, run_ts, since, mark=scheduled, layout=layout)
+    land_remote(spark, store, COMMIT_FEED.endpoint, entities, transport, run_ts, since, until, mark=scheduled, layout=layout)
 
 
 def with_layout(feed: Feed, layout: str) -> Feed:

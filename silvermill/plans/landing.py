@@ -34,6 +34,7 @@ def land_records(
     spark: SparkSession, store: Store, endpoint: str, records: DataFrame, entities: DataFrame,
     run_ts: datetime, ts: str, since: datetime | None = None, until: datetime | None = None,
     states: tuple[str, list[str]] | None = None, mark: bool = False, fetched_at: datetime | None = None,
+    layout: str = "keyed",
 ) -> None:
     """Land one endpoint's records (owner, repo, ``ts``, …) of the listed entities.
 
@@ -59,7 +60,7 @@ def land_records(
             since=None if since is None else instant(since),
             until=None if until is None else instant(until),
         )
-        land(envelopes, store.landed(endpoint))
+        land(envelopes, store.landed(endpoint), layout=layout)
         if mark:
             done = entities.select(*ENTITY, F.lit(endpoint).alias("endpoint"), run.alias("last_run"))
             write_marks(done, marks_path)
@@ -68,7 +69,7 @@ def land_records(
 def land_remote(
     spark: SparkSession, store: Store, endpoint: str, entities: DataFrame, transport: Transport,
     run_ts: datetime, since: datetime | None = None, until: datetime | None = None,
-    incremental: bool = True, mark: bool = False, given: dict | None = None,
+    incremental: bool = True, mark: bool = False, given: dict | None = None, layout: str = "keyed",
 ) -> None:
     """Land all pages a paged remote source has for the listed entities; the remote applies the
     bounds. Lower bound: ``since``, else when incremental each entity's high-water mark, else none."""
@@ -83,24 +84,25 @@ def land_remote(
             asked = asked.withColumn("since", F.lit(since.isoformat() if since else None).cast("string"))
         asked = scratch.stage(asked, "entities")
         responses = fetch_pages(asked, transport, endpoint, scratch, upper, given)
-        land(raw_envelopes(responses, endpoint, run_ts, upper, given), store.landed(endpoint))
+        land(raw_envelopes(responses, endpoint, run_ts, upper, given), store.landed(endpoint), layout=layout)
         if mark:
             run = run_stamp(run_ts).alias("last_run")
             write_marks(asked.select(*ENTITY, F.lit(endpoint).alias("endpoint"), run), store.table("_marks"))
 
 
 def land_remote_snapshots(
-    store: Store, endpoint: str, entities: DataFrame, transport: Transport, run_ts: datetime
+    store: Store, endpoint: str, entities: DataFrame, transport: Transport, run_ts: datetime, layout: str = "keyed"
 ) -> None:
     """Ask for each listed entity itself and land one envelope per entity."""
     envelopes = raw_envelopes(fetch_entities(entities, transport, endpoint), endpoint, run_ts)
-    land(envelopes.drop("params", "url", "count"), store.landed(endpoint), by_entity=False)
+    land(envelopes.drop("params", "url", "count"), store.landed(endpoint), by_entity=False, layout=layout)
 
 
 def land_snapshots(
-    store: Store, endpoint: str, records: DataFrame, run_ts: datetime, fetched_at: datetime | None = None
+    store: Store, endpoint: str, records: DataFrame, run_ts: datetime, fetched_at: datetime | None = None,
+    layout: str = "keyed",
 ) -> None:
     """Land one envelope per entity; the columns beside owner and repo form its data."""
     fetched = run_stamp(fetched_at) if fetched_at else F.current_timestamp()
     rows = records.withColumn("batch_ts", run_stamp(run_ts))
-    land(snapshot_envelopes(rows, endpoint, fetched), store.landed(endpoint), by_entity=False)
+    land(snapshot_envelopes(rows, endpoint, fetched), store.landed(endpoint), by_entity=False, layout=layout)

@@ -1,18 +1,21 @@
 """Landing raw envelopes as JSON lines, partitioned by run hour and, for pages, by entity.
 
-The date comes first in the path, so that a run lists one date's folder and no other.
+The date comes first in the path, so that a run lists one date's folder and no other. The bare layout puts plain
+entity folders first.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from silvermill.functions.columns import iso_text, time_parts
 from silvermill.operators.paging import PAGE_SIZE, paginate
 from silvermill.session import Scratch
+from silvermill.storage import delete, glob, rename
 
 TIME_PARTITIONS = ("yyyy", "mm", "dd", "hh")
 ENTITY = ("owner", "repo")
@@ -67,17 +70,45 @@ def snapshot_envelopes(records: DataFrame, endpoint: str, fetched_at: Column) ->
     )
 
 
-def land(envelopes: DataFrame, root: str, by_entity: bool = True, compression: str | None = None) -> None:
+def land(
+    envelopes: DataFrame, root: str, by_entity: bool = True, compression: str | None = None, layout: str = "keyed"
+) -> None:
     """Append envelopes under ``root``. Every run adds files, so bronze keeps repeated records.
 
     ``by_entity`` adds owner and repo folders; leave it off when entities are so many that a
-    folder each would mean a file per row.
+    folder each would mean a file per row. ``layout="bare"`` lands ``owner/repo/yyyy=…`` with plain entity folders,
+    snapshots too, as other readers of such a store expect.
     """
-    layout: Sequence[str] = (*TIME_PARTITIONS, *ENTITY) if by_entity else TIME_PARTITIONS
-    writer = envelopes.withColumns(time_parts(F.to_timestamp("batch_timestamp"))).write
-    if compression:
-        writer = writer.option("compression", compression)
-    writer.mode("append").partitionBy(*layout).json(root)
+    rows = envelopes.withColumns(time_parts(F.to_timestamp("batch_timestamp")))
+    if layout == "bare":
+        _land_bare(rows, root, compression)
+    elif layout == "keyed":
+        partitions = (*TIME_PARTITIONS, *ENTITY) if by_entity else TIME_PARTITIONS
+        _writer(rows, partitions, compression).mode("append").json(root)
+    else:
+        raise ValueError(f"unknown layout {layout}")
+
+
+def _writer(rows: DataFrame, partitions: Sequence[str], compression: str | None) -> DataFrameWriter:
+    writer = rows.write.partitionBy(*partitions)
+    return writer.option("compression", compression) if compression else writer
+
+
+def _land_bare(rows: DataFrame, root: str, compression: str | None) -> None:
+    """Tasks write below a folder of their own, with entity folders that Spark names by key; the driver then moves the
+    files, one folder an entity and hour, to where the entity's name alone says. Envelopes keep owner and repo."""
+    spark = rows.sparkSession
+    work = f"{root}/_landing/{uuid.uuid4().hex}"
+    keyed = rows.withColumns({f"_{name}": F.col(name) for name in ENTITY})
+    partitions = (*(f"_{name}" for name in ENTITY), *TIME_PARTITIONS)
+    # Rows of one entity and hour are gathered, or every task would write a file of its own for each.
+    _writer(keyed.hint("rebalance", *partitions), partitions, compression).json(work)
+    for folder in glob(spark, "/".join([work, *["*=*"] * len(partitions)])):
+        owner, repo, *time = folder.rsplit("/", len(partitions))[1:]
+        target = "/".join([root, owner.split("=", 1)[1], repo.split("=", 1)[1], *time])
+        for file in glob(spark, f"{folder}/part-*"):
+            rename(spark, file, f"{target}/{file.rsplit('/', 1)[1]}")
+    delete(spark, work)
 
 
 def landed_totals(envelopes: DataFrame, entity: Sequence[str] = ENTITY) -> DataFrame:

@@ -335,12 +335,16 @@ class Forge:
         return Response("u", json.dumps(body), str(page + 1) if page < 3 else None)
 
 
-def test_landing_run_to_tables(spark, folder):
+@pytest.mark.parametrize("layout", ["keyed", "bare"])
+def test_landing_run_to_tables(spark, folder, layout):
     store = Store(folder + "/bronze", folder + "/silver")
     entities = spark.createDataFrame([("o", "r"), ("o", "s")], "owner string, repo string")
     since, until = datetime(2026, 3, 30, tzinfo=timezone.utc), datetime(2026, 4, 6, tzinfo=timezone.utc)
-    forge.land_run(spark, store, entities, Forge(), until, since, until)
-    repos, commits, issues = forge.run_date(spark, store, Scope("2026-04-06"))
+    forge.land_run(spark, store, entities, Forge(), until, since, until, layout=layout)
+    if layout == "bare":
+        assert os.listdir(folder + "/bronze/commits/o/r/yyyy=2026/mm=04/dd=06") == ["hh=00"]
+        assert sorted(f for f in os.listdir(folder + "/bronze/repo_metadata/o") if not f.startswith("_")) == ["r", "s"]
+    repos, commits, issues = forge.run_date(spark, store, Scope("2026-04-06"), layout=layout)
     assert (repos.pages, commits.pages, commits.records, issues.pages) == (2, 6, 12, 6)
     assert issues.rows_written == {"issues": 4, "pulls": 2}
     table = read_table(spark, store.table("commits"))
