@@ -5,7 +5,7 @@ symbols of a clause one after another, each rewriting what the one before it wro
 hit; a threat is one once a target stands in the same clause; a target makes later hits count more; a
 negation makes hits in the next words count less; reported speech (a verb of saying, a quotation
 mark) makes all later hits of the clause count less. They are composed into one machine up front. A clause scores the
-sum of its hits' lexical weights times what the machine gives them, so a word alone decides nothing.
+sum of its hits' lexical weights times what the machine gives them.
 
 The lexicon starts from the short lists below; insults are added from a bounded sample of labelled rows: word
 beginnings and words that toxic documents have far more often, weighted by their log odds. A beginning
@@ -67,7 +67,8 @@ NEGATED_WORDS = 3
 BY_TARGET, BY_NEGATION, BY_REPORT = 1.25, 0.25, 0.5
 
 _CLAUSE = re.compile(r"[^.,;:!?\n|()…]+")
-_TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[\"“”«»„]")
+# A word ends at an apostrophe, as the terms it is looked up by do (l'idiot, idiot's), but for English negations.
+_TOKEN = re.compile(r"[^\W_]+n['’]t(?![^\W_])|[^\W_]+|[\"“”«»„]")
 _QUOTES = frozenset('"“”«»„')
 _WORD = re.compile(r"[^\W_]+")
 
@@ -161,7 +162,7 @@ class Matcher:
         """Sum of the clause's hits."""
         state, total = self.start, 0.0
         for token in _TOKEN.findall(clause):
-            symbol, weight = self._read(token)
+            symbol, weight = self._read(token.replace("’", "'"))
             state, factor = self.machine[state, symbol]
             total += factor * weight
         return total

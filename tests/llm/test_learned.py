@@ -245,3 +245,13 @@ def test_an_id_that_stands_in_many_rows_is_learned_from_once(spark):
     rows = [(7, "aaa bbb", "x")] * 400 + [(7, "aaa ccc", "x")] + [(i, f"w{i}", "x") for i in range(300)]
     got = [r.text for r in language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()]
     assert len(got) == 250 and len(set(got)) == 250 and "aaa bbb" not in got
+
+
+@pytest.mark.parametrize("text", ["c'est l'idiot", "c’est l’idiot", "qu'idiot", "idiot's", "d'idiot !"])
+def test_elided_words_are_hits(text):
+    assert MATCHER.clauses(text) == (4.0, 4.0)
+
+
+@pytest.mark.parametrize("text", ["he isn't an idiot", "he isn’t an idiot", "don't say idiot"])
+def test_contracted_negations_are_read(text):
+    assert 0 < MATCHER.clauses(text)[0] < MATCHER.clauses("he is an idiot")[0]
