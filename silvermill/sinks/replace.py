@@ -6,6 +6,9 @@ folder takes the place of the old one, so that the table stays plain partitioned
 before the switch leaves the old date as it was. One that dies after it leaves a switch that every later
 reader through ``read_dates`` sees as done, and that the next writer finishes. Pointers are numbered: of two
 writers that replace the same date at the same time the second one fails.
+
+Replacing one entity of a date writes only the files again that hold rows of it: the pointer then names those
+that go, and the new files move in between the others.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 import json
 import uuid
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -54,16 +58,17 @@ class Dates:
                 found[name] = pointer
         return found
 
-    def folder(self, name: str) -> str:
-        """Where the rows of a date are, whether its switch is finished or not."""
-        pointer = self.under_way().get(name)
-        return f"{self.path}/{NEXT}/{pointer['id']}/{name}" if pointer else f"{self.path}/{name}"
+    def files(self, name: str, pointer: dict | None = None) -> list[str]:
+        """Files of a date in their place, without those that ``pointer`` says will go."""
+        gone = set((pointer or {}).get("gone", ()))
+        return [f for f in glob(self.spark, f"{self.path}/{name}/[!_.]*") if f.rsplit("/", 1)[1] not in gone]
 
-    def switch(self, name: str, new: str, seen: int) -> None:
-        """Make the folder ``new`` the date, provided that its pointer is still the one seen before its rows were read."""
+    def switch(self, name: str, new: str, seen: int, gone: list[str] | None = None) -> None:
+        """Make the folder ``new`` the date, or with ``gone`` put its files in place of these, provided that its pointer is
+        still the one seen before its rows were read."""
         path = f"{self.path}/{POINTERS}/{name}/{seen + 1:08d}.json"
         had = exists(self.spark, f"{self.path}/{name}")
-        create_text(self.spark, path, json.dumps({"id": new, "had": had}))
+        create_text(self.spark, path, json.dumps({"id": new, "had": had} | ({} if gone is None else {"gone": gone})))
         self.finish(name)
         for old in self._pointers(name)[:-1]:
             delete(self.spark, old)
@@ -74,13 +79,19 @@ class Dates:
         if pointer is None:
             return
         work = f"{self.path}/{NEXT}/{pointer['id']}"
-        if exists(self.spark, f"{work}/{name}"):
-            if exists(self.spark, f"{self.path}/{name}"):
+        place = f"{self.path}/{name}"
+        if "gone" in pointer:
+            for file in glob(self.spark, f"{work}/{name}/[!_.]*"):
+                rename(self.spark, file, f"{place}/{file.rsplit('/', 1)[1]}")
+            for file in pointer["gone"]:
+                delete(self.spark, f"{place}/{file}")
+        elif exists(self.spark, f"{work}/{name}"):
+            if exists(self.spark, place):
                 if pointer["had"] and not exists(self.spark, f"{work}/_old"):
-                    rename(self.spark, f"{self.path}/{name}", f"{work}/_old")
+                    rename(self.spark, place, f"{work}/_old")
                 else:  # what an earlier attempt has moved in part
-                    delete(self.spark, f"{self.path}/{name}")
-            rename(self.spark, f"{work}/{name}", f"{self.path}/{name}")
+                    delete(self.spark, place)
+            rename(self.spark, f"{work}/{name}", place)
         delete(self.spark, work)
 
     def recover(self) -> None:
@@ -95,10 +106,15 @@ def read_dates(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if not pending:
         return reader.parquet(path)
     settled = [p for p in glob(spark, f"{path}/{partition}=*") if p.rsplit("/", 1)[1] not in pending]
-    parts = [reader.option("basePath", path).parquet(*settled)] if settled else []
+    parts = []
     for name, pointer in pending.items():
         work = f"{path}/{NEXT}/{pointer['id']}"
-        parts.append(reader.option("basePath", work).parquet(f"{work}/{name}"))
+        if "gone" in pointer:
+            settled += Dates(spark, path, partition).files(name, pointer)
+        if glob(spark, f"{work}/{name}/[!_.]*"):
+            parts.append(reader.option("basePath", work).parquet(f"{work}/{name}"))
+    if settled:
+        parts.insert(0, reader.option("basePath", path).parquet(*settled))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part.select(*whole.columns))
@@ -129,9 +145,16 @@ def replace_where(
     name = f"{partition}={day}"
     folder = f"{path}/{name}"
     seen, _ = dates.pointer(name)
+    gone: list[str] | None = None
     if scope is not None and exists(spark, folder):
-        current = spark.read.schema(df.schema).option("basePath", path).parquet(folder).select(*df.columns)
-        rows = rows.unionByName(current.filter(~F.coalesce(scope, F.lit(False))))
+        selected = F.coalesce(scope, F.lit(False))
+        current = spark.read.schema(df.schema).option("basePath", path).parquet(folder)
+        file = F.element_at(F.split(current.metadataColumn("_metadata").getField("file_path"), "/"), -1)
+        # A name per file that holds rows of the scope, of one date's files.
+        gone = [unquote(row[0]) for row in current.filter(selected).select(file).distinct().collect()]
+        if gone:
+            touched = spark.read.schema(df.schema).option("basePath", path).parquet(*(f"{folder}/{f}" for f in gone))
+            rows = rows.unionByName(touched.select(*df.columns).filter(~selected))
 
     written = Observation()
     new = uuid.uuid4().hex
@@ -146,10 +169,13 @@ def replace_where(
         delete(spark, work)
         if not allow_empty:
             raise ValueError(f"nothing to publish for {day} at {path}")
-        delete(spark, folder)
+        for old in dates.files(name) if gone is None else [f"{folder}/{f}" for f in gone]:
+            delete(spark, old)
+        if not dates.files(name):
+            delete(spark, folder)
         return
     try:
-        dates.switch(name, new, seen)
+        dates.switch(name, new, seen, gone)
     except FileExistsError:
         delete(spark, work)
         raise

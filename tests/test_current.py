@@ -143,6 +143,39 @@ def test_a_switch_that_is_cut_off(spark, folder, step, monkeypatch):
     assert not Dates(spark, path).under_way()
 
 
+@pytest.mark.parametrize("step", ["create_text", "rename", "delete_file", "delete"])
+def test_a_scoped_switch_that_is_cut_off(spark, folder, step, monkeypatch):
+    path, day = folder + "/t", DAYS[0]
+    rows = spark.range(40).select(F.concat(F.lit("n"), F.col("id") % 8).alias("name"), F.lit(1).alias("n"), F.lit(day).alias("snapshot_date"))
+    replace_where(rows.repartition(4, "name"), path, day)
+    files = set(os.listdir(f"{path}/snapshot_date={day}"))
+    calls, real = [], {name: getattr(replace, name) for name in ("create_text", "rename", "delete")}
+
+    end = {"create_text": ("create_text", 1), "rename": ("rename", 1), "delete_file": ("delete", 1), "delete": ("delete", 2)}[step]
+
+    def dying(name):
+        def call(*args):
+            calls.append(name)
+            if (name, calls.count(name)) == end:
+                raise KeyboardInterrupt
+            return real[name](*args)
+
+        return call
+
+    for name in real:
+        monkeypatch.setattr(replace, name, dying(name))
+    with pytest.raises(KeyboardInterrupt):
+        replace_where(snap(spark, ("n3", 9, day)), path, day, F.col("name") == "n3")
+    monkeypatch.undo()
+    old = content(rows)
+    new = sorted([r for r in old if r[0] != "n3"] + [("n3", 9, day)], key=str)
+    assert content(read_table(spark, path).select("name", "n", "snapshot_date")) == (old if step == "create_text" else new)
+    replace_where(snap(spark, ("n3", 9, day)), path, day, F.col("name") == "n3")
+    assert content(spark.read.schema(SNAP).parquet(path)) == new and not Dates(spark, path).under_way()
+    left = {f for f in files if f.endswith(".parquet")} & set(os.listdir(f"{path}/snapshot_date={day}"))
+    assert len(left) == len([f for f in files if f.endswith(".parquet") and not f.startswith(".")]) - 1  # one file held the entity
+
+
 def test_the_second_of_two_writers_of_a_date_fails(spark, folder, monkeypatch):
     path, day = folder + "/t", DAYS[0]
     replace_where(snap(spark, ("a", 1, day)), path, day)
