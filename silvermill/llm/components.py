@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from silvermill.llm.common import staged
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """The smallest neighbour of each node, staged: over an aggregate on the join's key Spark cannot split the
+    edges of a node that has many, over a stored table it can, or broadcasts it where it is small."""
+    return staged(edges.groupBy("a").agg(F.min("b").alias("least")), "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node links its larger neighbours to the smallest of its neighbours and itself."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("least"))
+    least = _least(both)
     linked = both.filter("b > a").join(least, "a")
     return linked.select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
 
@@ -19,7 +25,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node links its smaller neighbours and itself to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
+    least = _least(down)
     linked = down.join(least, "a").filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return linked.unionAll(least.select("a", F.col("least").alias("b")))
 
