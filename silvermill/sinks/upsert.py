@@ -295,7 +295,7 @@ def write_draft(
         initial = Directory.at_least(buckets)
     draft = Draft(table, state, df.schema, tuple(partition_by), bucket_by, directories, initial, bucket_bytes)
     rows = _in_bucket(df, draft, directories)
-    one_folder = not rebalance and initial.depth == 0 and not directories
+    one_folder = not rebalance and all(d.depth == 0 for d in (initial, *directories.values()))
     rows = rows if one_folder else rows.hint("rebalance", *draft.layout)
     if observed is not None:
         # Behind the shuffle: in the tasks that write, of which only those that succeed count.

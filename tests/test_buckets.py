@@ -195,3 +195,20 @@ def test_marks_stay_in_the_state(spark, folder):
     upsert(batch(spark, 0, 0, "x"), path, ["k1", "k2"], marks={"b": [2, "c"]})
     assert SilverTable(spark, path).state()["marks"] == {"a": 1, "b": [2, "c"]}
     assert read_table(spark, path).count() == 3
+
+
+def test_rows_of_one_date_are_written_without_a_shuffle(spark, folder, monkeypatch):
+    path, plans = folder + "/t", []
+    write = SilverTable.write_folder
+
+    def seen(self, rows, partition_by):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, rows, partition_by)
+
+    monkeypatch.setattr(SilverTable, "write_folder", seen)
+    for lo in (0, 5):
+        draft = write_draft(spark, batch(spark, lo, lo + 5, "x"), path, ["k1", "k2"], ["part"], rebalance=False)
+        assert "Exchange" not in plans[-1]
+        merge(draft, ["k1", "k2"])
+    write_draft(spark, batch(spark, 0, 5, "x"), path, ["k1", "k2"], ["part"]).discard()
+    assert "Exchange" in plans[-1] and read_table(spark, path).count() == 10
