@@ -1,12 +1,13 @@
 """Exact top-k search by integer inner product: a Voronoi join of queries and data.
 
-A bounded number of pivots is drawn from the vectors, and every vector belongs to the cell of its nearest
-pivot. A small summary of each cell (rows, radius, the smallest distances to the pivot) bounds the scores
+Pivots are drawn from the vectors, one for a block's worth of rows within fixed bounds, and every vector belongs to
+the cell of its nearest pivot. A small summary of each cell (rows, radius, the smallest distances to the pivot) bounds the scores
 of a query q in it, for x = p + f gives q.x = q.p + q.f and |q.f| <= |q| |f|: the k-th best of the lower
 bounds is a score the query surely reaches, and a cell whose upper bound lies below that cannot
 hold a result. Queries are few against the rows they search, so it is they that are replicated, to the cells
-that may hold results and to no others. A cell and its queries are solved locally in blocks of bounded
-size, and the best of all blocks are merged.
+that may hold results and to no others. Queries of neighbouring cells are grouped to parts of bounded size; a block
+of a cell's rows is sent once to every part that has a query which needs the cell, and to no other. A block and a part are
+solved locally, and the best of all blocks are merged.
 
 Vectors that are equal share their scores, so a query vector is solved once, and of equal data vectors only
 the k + 1 with the smallest ids can be in a result. This holds for any group of copies, however large.
@@ -20,21 +21,22 @@ columns are not read. Components times ``scale`` must stay below 2**31 in size,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silvermill.llm.common import staged
 
-PIVOTS = 64
+PIVOTS, MOST_PIVOTS = 64, 4096
 SCALE = 256
 BLOCK_ROWS = 1 << 14
 BLOCK_QUERIES = 1 << 13
 _TILE = 256
+_TILE_BOUNDS = 1 << 22  # lower bounds that are compared at a time
 
 
 def integer_vectors(rows: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
@@ -119,22 +121,66 @@ def _summarize(data: DataFrame, pivots: np.ndarray, k: int) -> Cells:
     return Cells(pivots, rows, radius, nearest)
 
 
-def _replicate(queries: DataFrame, cells: Cells, k: int) -> DataFrame:
-    """(cell, query_part, query_key, vec) for every cell that a query needs."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for first in range(0, whole.num_rows, _TILE):
-                batch = whole.slice(first, _TILE)
-                query, cell = np.nonzero(cells.needed(_matrix(batch.column(2)), k))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype("i4")), *batch.take(pa.array(query)).columns],
-                    ["cell", "query_part", "query_key", "vec"],
-                )
-
-    return queries.select("query_part", "query_key", "vec").mapInArrow(
-        run, "cell int, query_part int, query_key long, vec array<long>"
-    )
+def _near_order(pivots: np.ndarray) -> list[int]:
+    """The pivots along a chain that goes on to the nearest one not yet visited."""
+    left = np.ones(len(pivots), bool)
+    order = [0]
+    left[0] = False
+    places = pivots.astype("f8")
+    while len(order) < len(pivots):
+        distance = ((places - places[order[-1]]) ** 2).sum(1)
+        distance[~left] = np.inf
+        order.append(int(distance.argmin()))
+        left[order[-1]] = False
+    return order
+
+
+def query_parts(asked: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First part and number of parts of the queries of each cell, given how many there are: cells that are
+    neighbours share a part of at most BLOCK_QUERIES, a cell with more has parts of its own."""
+    first, parts = np.zeros(len(asked), "i8"), np.ones(len(asked), "i8")
+    part, held = 0, 0
+    for cell in _near_order(pivots):
+        if held and held + asked[cell] > BLOCK_QUERIES:
+            part, held = part + 1, 0
+        first[cell] = part
+        parts[cell] = max(1, -(-asked[cell] // BLOCK_QUERIES))
+        held += int(asked[cell])
+        if parts[cell] > 1:
+            part, held = part + int(parts[cell]), 0
+    return first, parts
+
+
+def _at(values: np.ndarray, place: Column) -> Column:
+    """The entry of a bounded array at ``place``, from 0."""
+    return F.element_at(F.split(F.lit(",".join(map(str, values.tolist()))), ",").cast("array<int>"), place + 1)
+
+
+def _needed(queries: DataFrame, cells: Cells, k: int) -> Callable[[bool], DataFrame]:
+    """For every cell that a query needs (cell, query_part, query_key, vec), or only the pairs of a cell and a part."""
+
+    def replicated(pairs: bool) -> DataFrame:
+        tile = max(1, min(_TILE, _TILE_BOUNDS // (len(cells.pivots) * k)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for first in range(0, whole.num_rows, tile):
+                    batch = whole.slice(first, tile)
+                    query, cell = np.nonzero(cells.needed(_matrix(batch.column(2)), k))
+                    if pairs:
+                        parts = batch.column(0).to_numpy()[query]
+                        both = np.unique(np.stack([cell, parts]), axis=1).astype("i4")
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in both], ["cell", "query_part"])
+                    else:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(cell.astype("i4")), *batch.take(pa.array(query)).columns],
+                            ["cell", "query_part", "query_key", "vec"],
+                        )
+
+        schema = "cell int, query_part int" + ("" if pairs else ", query_key long, vec array<long>")
+        return queries.select("query_part", "query_key", "vec").mapInArrow(run, schema)
+
+    return replicated
 
 
 def _best(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,11 +208,12 @@ def top_k(
     k: int = 5,
     every: int = 50,
     scale: int = SCALE,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for each row whose id ``every`` divides."""
+    pivots = pivots or min(MOST_PIVOTS, max(PIVOTS, rows.count() // BLOCK_ROWS))
     vectors = integer_vectors(rows, id_col, vector_col, scale)
     drawn = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("vec").collect()
     centres = np.array(sorted({tuple(r["vec"]) for r in drawn}) or [(0,)], "i8")
@@ -178,15 +225,20 @@ def top_k(
     data = staged(data.dropDuplicates(["vec", "vec_id"]).select("vec_id", "vec", "cell", "dist"), "knn-data")
     cells = _summarize(data, centres, kept)
 
-    asked = placed.filter(F.col("vec_id") % every == 0).select("vec_id", "vec").distinct()
-    distinct = staged(asked.groupBy("vec").agg(F.min("vec_id").alias("query_key")), "knn-queries")
-    parts = max(1, -(-distinct.count() // BLOCK_QUERIES))
-    blocks = F.element_at(F.array(*(F.lit(int(b)) for b in cells.blocks)), F.col("cell") + 1)
-    part = F.pmod(F.xxhash64("query_key"), F.lit(parts)).cast("int")
-    sent = _replicate(distinct.withColumn("query_part", part), cells, kept)
-    sent = sent.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    held = data.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
-    held = held.withColumn("query_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    asked = placed.filter(F.col("vec_id") % every == 0).select("vec_id", "vec", "cell").distinct()
+    distinct = staged(asked.groupBy("vec", "cell").agg(F.min("vec_id").alias("query_key")), "knn-queries")
+    by_cell = np.zeros(len(centres), "i8")
+    for cell, n in distinct.groupBy("cell").agg(F.count("*")).collect():  # a row per cell
+        by_cell[cell] = n
+    first, parts = query_parts(by_cell, centres)
+    part = _at(first, F.col("cell")) + F.pmod(F.xxhash64("query_key"), _at(parts, F.col("cell"))).cast("int")
+    needed = _needed(distinct.withColumn("query_part", part), cells, kept)
+    blocks = _at(cells.blocks, F.col("cell"))
+    every_block = F.explode(F.sequence(F.lit(0), blocks - 1))
+    sent = needed(False).withColumn("block", every_block)
+    # A block has a bounded number of rows, so no key of this join is hot, whatever the cell.
+    pairs = staged(needed(True).distinct().withColumn("block", every_block), "knn-pairs")
+    held = data.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int")).join(pairs, ["cell", "block"])
 
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -205,7 +257,7 @@ def top_k(
     found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= kept).drop("n")
 
     # From distinct query vectors back to the queries, each without itself.
-    keyed = asked.join(distinct, "vec").select(F.col("vec_id").alias("query_id"), "query_key")
+    keyed = asked.join(distinct.drop("cell"), "vec").select(F.col("vec_id").alias("query_id"), "query_key")
     results = keyed.join(staged(found, "knn-found"), "query_key").filter(F.col("vec_id") != F.col("query_id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return results.select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)

@@ -88,3 +88,44 @@ def test_large_components_are_scored_exactly():
     queries, data = np.array([[big, big]]), np.array([[big, 1], [big, 2], [1, big]])
     places, ids, scores = _best(queries, data, np.array([5, 6, 7]), 2)
     assert ids.tolist() == [6, 5] and scores.tolist() == [big * big + 2 * big, big * big + big]
+
+
+def test_parts_hold_queries_of_near_cells(monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_QUERIES", 10)
+    pivots = np.array([[0, 0], [100, 0], [1, 0], [101, 0], [2, 0], [300, 0]])
+    first, parts = knn.query_parts(np.array([4, 3, 4, 4, 35, 0]), pivots)
+    assert parts.tolist() == [1, 1, 1, 1, 4, 1]
+    assert first[0] == first[2] != first[4] and first[1] == first[3] != first[0]
+    ranges = {int(f): int(p) for f, p in zip(first, parts)}
+    assert all(f + p <= g for (f, p), g in zip(sorted(ranges.items()), sorted(ranges)[1:]))
+
+
+def test_rows_are_sent_to_the_parts_that_need_them(spark, monkeypatch):
+    """Clusters far apart, a pivot in each: queries of a part need their own clusters, so a row goes to few parts."""
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(knn, "BLOCK_QUERIES", 10)
+    rng = np.random.default_rng(8)
+    centres = np.eye(12) * 40
+    vectors = centres[rng.integers(12, size=1200)] + rng.normal(0, 0.05, (1200, 12))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    tables = {}
+    keep = knn.staged
+    monkeypatch.setattr(knn, "staged", lambda table, label: tables.setdefault(label, keep(table, label)))
+    assert found(top_k(df, k=5, every=10, pivots=120)) == brute(rows, 5, 10)
+    pairs = tables["knn-pairs"].select("cell", "query_part").distinct()
+    parts = pairs.select("query_part").distinct().count()
+    sent = pairs.join(tables["knn-data"], "cell").count()
+    assert parts >= 10 and sent <= 2.5 * 1200 < parts * 1200
+
+
+def test_pivots_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 2)
+    drawn = []
+    monkeypatch.setattr(knn, "_assign", lambda vectors, pivots, own=knn._assign: drawn.append(len(pivots)) or own(vectors, pivots))
+    rng = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(0, 3, (400, 4)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(top_k(df, k=3, every=20)) == brute(rows, 3, 20) and drawn == [200]
+    monkeypatch.setattr(knn, "MOST_PIVOTS", 90)
+    assert found(top_k(df, k=3, every=20)) == brute(rows, 3, 20) and drawn == [200, 90]
