@@ -12,6 +12,12 @@ def _open(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and store that Spark takes for it, also where it names none."""
+    fs, target = _open(spark, path)
+    return str(target.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _open(spark, path)
     return fs.exists(target)
