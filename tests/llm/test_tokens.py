@@ -5,13 +5,15 @@ from __future__ import annotations
 import random
 import zlib
 from collections import defaultdict
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
+import pyarrow.fs
 import pytest
 from tokenizers import Tokenizer
 
-from silvermill.llm import bindings
+from silvermill.llm import bindings, token_files
 from silvermill.llm.bpe import Codec, digests, encode_and_decode
 from silvermill.llm.packing import capacities, pack, pack_documents
 from silvermill.llm.token_files import map_shard, read_manifest, read_token_files, token_file_digests, write_token_files
@@ -116,6 +118,63 @@ def test_token_files(spark, odd, folder):
     assert {r.n_tokens for r in back if r.doc_id in (2, 3, 10)} == {1}
 
 
+def test_shards_are_bounded_and_a_hot_id_is_split(spark, folder, monkeypatch):
+    monkeypatch.setattr(token_files, "READ_BYTES", 512)
+    rng = random.Random(4)
+    words = ["one", "two", "three", "four", "five", "six"]
+    rows = [(7, " ".join(rng.choices(words, k=rng.randint(0, 60)))) for _ in range(300)]
+    rows += [(None, "the same text")] * 300 + [(i, f"number {i}") for i in range(300)] + [(8, "long " * 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as tables of this size are one task else
+    try:
+        write_token_files(df, folder + "/s", BYTES, 2, shard_bytes=2000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shards = read_manifest(spark, folder + "/s").orderBy("shard").collect()
+    tasks: dict = {}
+    flat, held = [], []
+    for s in shards:
+        ids, offsets, docs = map_shard(folder + "/s", s.shard, s.width)
+        longest = int(np.diff(offsets).max())
+        assert len(ids) * s.width < 2000 + longest * s.width and s.tokens_before == len(flat)
+        flat += ids.tolist()
+        named = [None] * s.null_docs + docs[s.null_docs :].tolist()
+        held += named
+        for name in set(named):
+            tasks.setdefault(name, set()).add(s.shard.split("-")[0])
+    whole = Tokenizer.from_file(BYTES)
+    order = sorted(held, key=lambda i: (i is not None, i or 0))
+    assert held == order and sorted(i or -1 for i in held) == sorted(-1 if i is None else i or -1 for i, _ in rows)
+    assert len(tasks[None]) > 1 and len(tasks[7]) > 1
+    want = sorted((-1 if i is None else i, crc([*whole.encode(t, add_special_tokens=False).ids, 2])) for i, t in rows)
+    back = read_token_files(spark, folder + "/s").orderBy("start").collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.ids_crc32) for r in back) == want
+    assert [r.start for r in back] == list(accumulate([r.n_tokens for r in back[:-1]], initial=0))
+    for r in back:
+        assert crc(flat[r.start : r.start + r.n_tokens]) == r.ids_crc32
+
+
+def test_windows_of_documents():
+    offsets = np.array([0, 3, 5, 5, 20, 21, 22])
+    assert list(token_files._windows(offsets, 6)) == [(0, 3), (3, 4), (4, 6)]
+    assert list(token_files._windows(np.array([0]), 6)) == []
+
+
+def test_a_remote_store_is_read_by_range(tmp_path):
+    np.arange(50, dtype="<u2").tofile(tmp_path / "a.bin")
+
+    class Remote:
+        def open_input_file(self, path):
+            return pyarrow.fs.LocalFileSystem().open_input_file(path)
+
+    slices = token_files._Slices(str(tmp_path), "a.bin", "<u2")
+    assert isinstance(slices.mapped, np.memmap) and slices[3:6].tolist() == [3, 4, 5]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_files, "_store", lambda folder: (Remote(), folder))
+        slices = token_files._Slices(str(tmp_path), "a.bin", "<u2")
+        assert slices.mapped is None and slices[3:6].tolist() == [3, 4, 5] and slices[49:50].tolist() == [49]
+
+
 def test_token_files_of_nothing(spark, empty):
     assert token_file_digests(empty, BYTES).count() == 0
 
