@@ -1,0 +1,160 @@
+"""Queries whose rows SQL cannot express, every row against a plain version of the definition."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+import regex
+
+from silvermill.llm import bindings, quality, toxicity
+from silvermill.llm.common import table
+from tests.llm.conftest import SF
+
+
+def left_out(doc_id, parts, part):
+    return zlib.crc32(str(doc_id).encode()) % parts == part
+
+
+def logistic(z):
+    return 1 / (1 + math.exp(-z))
+
+
+def plain_statistics(text):
+    words, lines, chars = re.split(r"[ \t\n\x0b\f\r]+", text.strip(" ")), text.split("\n"), len(text)
+
+    def marked(pattern):
+        return len(regex.findall(pattern, text)) / max(1, chars)
+
+    return {
+        "n_words": len(words),
+        "word_length": chars / len(words),
+        "distinct_words": len(set(words)) / len(words),
+        "repeated_words": sum(a == b for a, b in zip(words, words[1:])) / len(words),
+        "letters": marked(r"\p{L}"),
+        "capitals": marked(r"\p{Lu}"),
+        "digits": marked(r"\p{N}"),
+        "marks": marked(r"[\p{P}\p{S}]"),
+        "distinct_lines": len(set(lines)) / len(lines),
+        "ended_lines": sum(line.rstrip(" ")[-1:] in (".", "!", "?") and line.rstrip(" ") != "" for line in lines) / len(lines),
+        "line_length": chars / len(lines),
+    }
+
+
+def test_op7_against_plain_rules(spark, documents):
+    model = quality.train(table(spark, SF, "documents"), table(spark, SF, "labels"))
+    assert model.rules
+    got = {r.doc_id: r for r in bindings.QUERIES["op7_quality"](spark, SF).collect()}
+    assert len(got) == len(documents)
+    for doc_id, text in documents:
+        stats = plain_statistics(text)
+        held = [
+            r.weight for r in model.rules
+            if all((stats[n] > at) if above else (stats[n] <= at) for n, above, at in r.conditions)
+        ]
+        want = logistic(model.intercept + sum(held))
+        assert got[doc_id].score == pytest.approx(want, abs=1e-9)
+        assert got[doc_id].predicted == (want >= 0.3) and got[doc_id].held_out == left_out(doc_id, 5, 0)
+
+
+def plain_clauses(text, insults):
+    """Best and summed clause scores, every clause read word by word through the five transducers in a row."""
+    scores = [0.0]
+    for clause in re.split(r"[.,;:!?\n|()…]+", text.lower()):
+        chain = toxicity.transducers()
+        states, total = [0] * len(chain), 0.0
+        for token in re.findall(r"[^\W_]+n['’]t(?![^\W_])|[^\W_]+|[\"“”«»„]", clause):
+            token = token.replace("’", "'")
+            found = [insults[token]] if token in insults else [
+                insults[token[:n] + "*"] for n in range(1, len(token) + 1) if token[:n] + "*" in insults
+            ]
+            if found:
+                symbol = toxicity.INSULT
+            elif token in toxicity.REPORTS or token in "\"“”«»„":
+                symbol = toxicity.REPORT
+            elif token in toxicity.THREATS:
+                symbol = toxicity.THREAT
+            elif token in toxicity.NEGATIONS:
+                symbol = toxicity.NEGATION
+            else:
+                symbol = toxicity.TARGET if token in toxicity.TARGETS else toxicity.OTHER
+            factor = 1.0
+            for i, part in enumerate(chain):
+                states[i], symbol, by = part.step(states[i], symbol)
+                factor *= by
+            total += factor * (found[0] if found else toxicity.LISTED_WEIGHT) if symbol == toxicity.HIT else 0.0
+        scores.append(total)
+    return max(scores), sum(scores)
+
+
+def test_op5_against_plain_clauses(spark):
+    folder = "/root/testdata/sf0.01"
+    grammar = toxicity.train(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    assert set(grammar.insults) - set(toxicity.INSULTS)
+    got = {r.doc_id: r for r in bindings.QUERIES["op5_toxicity"](spark, folder).collect()}
+    rows = duckdb.sql(f"select doc_id, coalesce(text, '') from '{folder}/documents.parquet'").fetchall()
+    assert len(got) == len(rows)
+    marked = 0
+    for doc_id, text in rows:
+        best, total = plain_clauses(text, grammar.insults)
+        want = logistic(grammar.intercept + grammar.by_best * best + grammar.by_sum * math.log1p(total))
+        assert got[doc_id].score == pytest.approx(want, abs=1e-9)
+        assert got[doc_id].predicted == (want >= 0.3) and got[doc_id].held_out == left_out(doc_id, 4, 2)
+        marked += best > 0
+    assert 20 < marked < len(rows)
+
+
+def letters(text):
+    return re.findall(r"[^\W\d_]+", text.lower())
+
+
+def test_op9_against_a_plain_model(spark, documents):
+    """Training and scoring done anew: all labelled rows of this table are within the sample's bounds."""
+    langs = dict(duckdb.sql(f"select doc_id, lang from '{SF}/documents.parquet'").fetchall())
+    learned = [(langs[i], t) for i, t in documents if langs[i] is not None and not left_out(i, 3, 1)]
+    assert max(Counter(lang for lang, _ in learned).values()) <= 250 and max(len(t) for _, t in learned) <= 1 << 16
+    counts: dict = defaultdict(Counter)
+    for lang, text in learned:
+        for word in letters(text):
+            data = f" {word} ".encode()
+            for at in range(1, len(data)):
+                for k in range(min(4, at) + 1):
+                    counts[lang, data[at - k : at]][data[at]] += 1
+    known: dict = {}
+
+    def bits(lang, word):
+        if (lang, word) not in known:
+            data, total = f" {word} ".encode(), 0.0
+            for at in range(1, len(data)):
+                probability = 1.0
+                for k in range(min(4, at), -1, -1):
+                    seen = counts.get((lang, data[at - k : at]))
+                    if seen and data[at] in seen:
+                        probability *= seen[data[at]] / (seen.total() + len(seen))
+                        break
+                    if seen:
+                        probability *= len(seen) / (seen.total() + len(seen))
+                else:
+                    probability /= 256
+                total -= math.log2(probability)
+            known[lang, word] = total
+        return known[lang, word]
+
+    names = sorted({lang for lang, _ in learned})
+    got = {r.doc_id: r for r in bindings.QUERIES["op9_language_id"](spark, SF).collect()}
+    assert len(got) == len(documents) and len(names) > 2
+    for doc_id, text in documents:
+        row, found = got[doc_id], letters(text)
+        assert row.held_out == left_out(doc_id, 3, 1)
+        if not any(map(str.isalpha, text)):
+            assert (row.lang_pred, row.score) == ("und", 0.0)
+            continue
+        total = {lang: math.fsum(bits(lang, word) for word in found) for lang in names}
+        best = min(names, key=total.get)
+        assert row.lang_pred == best or total[row.lang_pred] == pytest.approx(total[best], abs=1e-6)
+        share = 1 / sum(2.0 ** max(total[best] - total[lang], -1000) for lang in names)
+        assert row.score == pytest.approx(share, abs=1e-6)
