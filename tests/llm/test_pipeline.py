@@ -38,3 +38,23 @@ def test_stages_keep_the_columns(spark, odd):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
         assert docs.columns == odd.columns and docs.count() > 0
+
+
+def test_stages_of_an_empty_table(spark, empty):
+    docs = empty
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == empty.columns and docs.count() == 0
+    assert corpus_pipeline.pack(spark, docs, SF).count() == 0
+
+
+def test_texts_are_judged_once_whatever_their_ids(spark):
+    """Rows that repeat an id or a text, ties and null ids: one row of each text stays, of the last id."""
+    text = "The committee met on Tuesday and agreed to publish the minutes of the spring session before the summer."
+    other = "Two rivers meet below the old mill, where the road turns north and the orchards give way to open fields."
+    rows = [(1, text, "a"), (3, text, "b"), (3, text, "c"), (None, text, "d"), (None, other, "e"), (None, other, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    for name, stage in corpus_pipeline.STAGES[2:-1]:
+        docs = stage(spark, docs, SF)
+        assert sorted(r.text for r in docs.collect()) == sorted([text, other])
+    assert {r.doc_id for r in docs.collect()} == {3, None} and docs.columns == ["doc_id", "text", "kept"]
