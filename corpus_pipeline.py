@@ -1,4 +1,11 @@
-"""The corpus pipeline: good and clean documents, one of each text and class of near copies, packed."""
+"""The corpus pipeline: good and clean documents, one of each text and class of near copies, packed.
+
+Defined cases: a null text counts as empty and is judged, deduplicated and packed like one; of equal texts the
+row with the largest id stays, one without an id only if all lack it, and of rows that repeat that id the last by file and
+row; of a class of near copies the one with the least id stays, again one without only if all lack it, and of rows that
+repeat it the first by file and row; documents without words are near copies of none; an empty table gives no rows at any
+stage; columns besides doc_id and text pass through unread, whatever their names; texts are read whole.
+"""
 
 from __future__ import annotations
 
