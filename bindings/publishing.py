@@ -73,6 +73,41 @@ def replace_where_scoped(spark, sf):
     return spark.read.schema(events.schema).parquet(path)
 
 
+_WEEK = [f"2024-01-{day}" for day in range(10, 17)]
+_IN_WEEK = "snapshot_date between date '2024-01-10' and date '2024-01-16'"
+
+
+@query("replace_where_dates", REPLACE_SQL.format(old=_IN_WEEK, new=_IN_WEEK + " and event_type <> 'click'"))
+def replace_where_dates(spark, sf):
+    """Entity rows published by date instead of by key: a week is run again, each date a replacement of its own."""
+    path, events = _published_events(spark, sf)
+    again = events.filter("event_type <> 'click'").withColumn("value", F.col("value") + 1)
+    for day in _WEEK:
+        replace_where(again.filter(F.col("snapshot_date") == F.lit(day).cast("date")), path, day)
+    return read_table(spark, path)
+
+
+_BY_IDS = """with e as (select user_id, event_id, event_type, value, cast(ts as date) as snapshot_date from events)
+select user_id, event_id, event_type, case when {week} then value + 1 else value end as value,
+  case when {week} then snapshot_date + 1 else snapshot_date end as snapshot_date
+from e where user_id is not null and event_id is not null"""
+
+
+@query("merge_by_ids", _BY_IDS.format(week=_IN_WEEK))
+def merge_by_ids(spark, sf):
+    """Keyed by the parent's id and the record's own, in partitions by date; a second batch changes values and dates."""
+    events = table(spark, sf, "events").filter("user_id is not null and event_id is not null").select(
+        "user_id", "event_id", "event_type", "value", F.to_date("ts").alias("snapshot_date")
+    )
+    changed = events.filter(_IN_WEEK).withColumns(
+        {"value": F.col("value") + 1, "snapshot_date": F.date_add("snapshot_date", 1)}
+    )
+    path = Scratch(spark).path("silver") + "/events"
+    for batch in (events, changed):
+        upsert(batch, path, ["user_id", "event_id"], partition_by=["snapshot_date"])
+    return read_table(spark, path)
+
+
 def _lines(spark, sf, where="true"):
     return latest_lines(table(spark, sf, "lineitem").filter(where))
 

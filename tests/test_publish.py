@@ -1,5 +1,6 @@
 """Replace-where and keyed upserts."""
 
+import uuid
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -7,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from silvermill.plans.audit import Run, read_runs
 from silvermill.sinks import delta
 from silvermill.sinks.replace import replace_where
 from silvermill.sinks.upsert import BUCKETS, DuplicateKeys, SilverTable, merge, read_table, upsert, write_draft
@@ -225,3 +227,13 @@ def test_delta_needs_its_classes(spark, folder):
     if delta.DeltaTable is None:
         with pytest.raises(RuntimeError, match="delta-spark"):
             delta.upsert(spark.createDataFrame([("a", 1, 1, "p")], ROW), folder, ["k1"])
+
+
+def test_run_ids_are_random_uuids_and_stay_with_their_run(spark, folder):
+    path = folder + "/runs"
+    runs = [Run(spark, path, "job") for _ in range(2)]
+    for run in runs:
+        with run:
+            pass
+    assert {r.job_run_id for r in read_runs(spark, path).collect()} == {run.job_run_id for run in runs}
+    assert len({uuid.UUID(run.job_run_id) for run in runs}) == 2 and all(uuid.UUID(r.job_run_id).version == 4 for r in runs)
