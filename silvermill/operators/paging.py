@@ -53,8 +53,9 @@ def paginate(
     All pages of an entity are full but the last. Records are numbered without gathering an
     entity anywhere: every input task sorts its rows by entity and stages them with their
     position; the runs this gives (task x entity) are counted, and a running sum over the small
-    table of runs turns positions into numbers. Then the rows are shuffled by block of pages, so a
-    task holds whole blocks and a hot entity is spread over all tasks.
+    table of runs turns positions into numbers. That table is staged, so that its exact size decides
+    whether it is broadcast and the rows stay where they are. Then they are shuffled once, by block of
+    pages, so a task holds whole blocks and a hot entity is spread over all tasks.
     """
     entity = list(entity)
     records = [c for c in df.columns if c not in entity]
@@ -76,11 +77,11 @@ def paginate(
     for c in entity:
         same_run = same_run & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
 
-    numbered = positioned.join(starts, same_run).withColumn("_number", F.expr("_position + _shift"))
-    paged = numbered.withColumn("page", F.expr(f"_number div {page_size} + 1"))
+    numbered = positioned.join(scratch.stage(starts, "runs"), same_run).withColumn("_number", F.expr("_position + _shift"))
     return (
-        paged.withColumn("_block", F.expr(f"(page - 1) div {block}"))
+        numbered.select(*entity, *records, "_number", F.expr(f"_number div {page_size * block}").alias("_block"))
         .repartition(*entity, "_block")
+        .withColumn("page", F.expr(f"_number div {page_size} + 1"))
         .groupBy(*entity, "_block", "page")
         .agg(F.sort_array(F.collect_list(F.struct("_number", F.struct(*records).alias("record")))).alias("_items"))
         .select(*entity, "page", F.size("_items").cast("long").alias("count"), F.col("_items.record").alias("data"))

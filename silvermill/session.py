@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from silvermill.storage import delete, make_until_exit
+from silvermill.storage import delete, glob, make_until_exit, size
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,13 +17,17 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Unless the caller has set them. Columns unpack to some ten times their bytes in a file, and tasks sort what they read:
+# at Spark's 128 MB a split they spill.
+DEFAULTS = {"spark.sql.files.maxPartitionBytes": "32m"}
+
 _folders: dict[str, str] = {}
 
 
 def get_spark(app: str, **conf: str) -> SparkSession:
     """The application's own session, with the settings every job here relies on."""
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**DEFAULTS, **SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -31,7 +35,7 @@ def get_spark(app: str, **conf: str) -> SparkSession:
 def derived_session(spark: SparkSession) -> SparkSession:
     """A session beside the caller's, with its settings and then ours; the caller's stays as it is."""
     own = spark.newSession()
-    for key, value in {**spark.conf.getAll, **SETTINGS}.items():
+    for key, value in {**DEFAULTS, **spark.conf.getAll, **SETTINGS}.items():
         if own.conf.isModifiable(key):
             own.conf.set(key, value)
     return own
@@ -67,8 +71,12 @@ class Scratch:
     def path(self, label: str) -> str:
         return f"{self.folder}/{label}-{uuid.uuid4().hex[:8]}"
 
+    def size(self, label: str, partition: str = "") -> int:
+        """Bytes of the tables staged under ``label``, or of one partition of theirs."""
+        return sum(size(self.spark, path) for path in glob(self.spark, f"{self.folder}/{label}-*/{partition}".rstrip("/")))
+
     def stage(self, df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         path = self.path(label)
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-        writer.parquet(path)
+        writer.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -18,6 +18,8 @@ from silvermill.session import Scratch
 from silvermill.storage import delete, glob, rename
 
 TIME_PARTITIONS = ("yyyy", "mm", "dd", "hh")
+# Lines of one file. A compressed file is read by one task, so files of a large landing stay small.
+PAGE_LINES, SNAPSHOT_LINES = 10_000, 1_000_000
 ENTITY = ("owner", "repo")
 
 
@@ -71,30 +73,31 @@ def snapshot_envelopes(records: DataFrame, endpoint: str, fetched_at: Column) ->
 
 
 def land(
-    envelopes: DataFrame, root: str, by_entity: bool = True, compression: str | None = None, layout: str = "keyed"
+    envelopes: DataFrame, root: str, by_entity: bool = True, compression: str | None = "gzip", layout: str = "keyed"
 ) -> None:
     """Append envelopes under ``root``. Every run adds files, so bronze keeps repeated records.
 
     ``by_entity`` adds owner and repo folders; leave it off when entities are so many that a
     folder each would mean a file per row. ``layout="bare"`` lands ``owner/repo/yyyy=…`` with plain entity folders,
-    snapshots too, as other readers of such a store expect.
+    snapshots too, as other readers of such a store expect. Files are compressed, as an envelope repeats the names of
+    all its fields; Spark's readers go by the file's ending.
     """
     rows = envelopes.withColumns(time_parts(F.to_timestamp("batch_timestamp")))
     if layout == "bare":
-        _land_bare(rows, root, compression)
+        _land_bare(rows, root, compression, by_entity)
     elif layout == "keyed":
         partitions = (*TIME_PARTITIONS, *ENTITY) if by_entity else TIME_PARTITIONS
-        _writer(rows, partitions, compression).mode("append").json(root)
+        _writer(rows, partitions, compression, by_entity).mode("append").json(root)
     else:
         raise ValueError(f"unknown layout {layout}")
 
 
-def _writer(rows: DataFrame, partitions: Sequence[str], compression: str | None) -> DataFrameWriter:
-    writer = rows.write.partitionBy(*partitions)
+def _writer(rows: DataFrame, partitions: Sequence[str], compression: str | None, pages: bool) -> DataFrameWriter:
+    writer = rows.write.partitionBy(*partitions).option("maxRecordsPerFile", PAGE_LINES if pages else SNAPSHOT_LINES)
     return writer.option("compression", compression) if compression else writer
 
 
-def _land_bare(rows: DataFrame, root: str, compression: str | None) -> None:
+def _land_bare(rows: DataFrame, root: str, compression: str | None, pages: bool) -> None:
     """Tasks write below a folder of their own, with entity folders that Spark names by key; the driver then moves the
     files, one folder an entity and hour, to where the entity's name alone says. Envelopes keep owner and repo."""
     spark = rows.sparkSession
@@ -102,7 +105,7 @@ def _land_bare(rows: DataFrame, root: str, compression: str | None) -> None:
     keyed = rows.withColumns({f"_{name}": F.col(name) for name in ENTITY})
     partitions = (*(f"_{name}" for name in ENTITY), *TIME_PARTITIONS)
     # Rows of one entity and hour are gathered, or every task would write a file of its own for each.
-    _writer(keyed.hint("rebalance", *partitions), partitions, compression).json(work)
+    _writer(keyed.hint("rebalance", *partitions), partitions, compression, pages).json(work)
     for folder in glob(spark, "/".join([work, *["*=*"] * len(partitions)])):
         owner, repo, *time = folder.rsplit("/", len(partitions))[1:]
         target = "/".join([root, owner.split("=", 1)[1], repo.split("=", 1)[1], *time])

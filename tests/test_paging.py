@@ -12,6 +12,7 @@ from silvermill.operators.paging import count_pages, paginate, plan_pages
 from silvermill.plans.landing import land_records, land_remote, land_remote_snapshots, read_marks
 from silvermill.plans.specs import Store
 from silvermill.session import Scratch
+from silvermill.sinks import landing
 from silvermill.sources.envelopes import Scope, scan_envelopes
 from silvermill.sources.paged import Response, page_count, request_params
 from silvermill.storage import glob
@@ -114,6 +115,22 @@ def test_landing_windows_touch(spark, folder):
     assert not glob(spark, store.landed("things") + "/yyyy=2026/mm=04/dd=07")  # nothing to land, nothing landed
 
 
+@pytest.mark.parametrize("layout", ["keyed", "bare"])
+def test_landed_files_are_compressed_and_bounded(spark, folder, monkeypatch, layout):
+    monkeypatch.setattr(landing, "PAGE_LINES", 3)
+    monkeypatch.setattr(landing, "SNAPSHOT_LINES", 4)
+    entity = {"owner": F.lit("o"), "repo": F.lit("r"), "batch_timestamp": F.lit("2026-04-06T02:00:00Z")}
+    rows = spark.range(10).withColumns(entity).coalesce(1)
+    schema = "owner string, repo string, data array<bigint>, id bigint"
+    for name, by_entity, files in (("pages", True, 4), ("snapshots", False, 3 if layout == "keyed" else 4)):
+        root = f"{folder}/{name}"
+        pages = rows.withColumn("data", F.array("id"))
+        landing.land(pages, root, by_entity=by_entity and layout == "keyed" or layout == "bare", layout=layout)
+        landed = scan_envelopes(spark, root, schema, Scope("2026-04-06"), layout)
+        assert len(landed.inputFiles()) == files and all(f.endswith(".json.gz") for f in landed.inputFiles())
+        assert sorted(r.data[0] for r in landed.collect()) == list(range(10))
+
+
 class Bounded:
     """Answers with the bounds it was asked for."""
 

@@ -11,7 +11,9 @@ from silvermill.operators.enrich import enrich_left
 from silvermill.operators.latest import latest_by, latest_lookup
 from silvermill.operators.paging import paginate
 from silvermill.operators.quality import evaluate, rules_for
-from silvermill.session import Scratch
+from silvermill.plans.jobs import shape
+from silvermill.plans.specs import Lookup, Table
+from silvermill.session import Scratch, derived_session
 from silvermill.sinks.upsert import _touched, read_table, upsert, write_draft
 from silvermill.sources.envelopes import Scope, scan_envelopes
 
@@ -84,6 +86,38 @@ def test_pages_of_a_hot_entity_are_spread(spark, hot):
     assert pages.agg(F.sum("count")).first()[0] == N
 
 
+def test_rows_are_shuffled_once_into_pages(spark, hot):
+    text = plan(paginate(hot, ["k"], Scratch(spark), 10, block=20))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_enrichment_and_latest_row_share_a_shuffle(spark, hot, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = hot.withColumns({"part": F.col("id") % 50_000, "tied": F.col("id") % 5})
+    table, by_key = Table("t", dedupe_keys=("k", "part"), order=("tied",)), Lookup("l", ("k",), ("v",))
+    values = lookup(spark)
+    found = shape(rows, table, by_key, values)
+    assert plan(found).count("Exchange hashpartitioning") == 2  # the rows' and the lookup's
+    # The rows that stay are those of the longer way, ties included.
+    longer = enrich_left(latest_by(rows, table.dedupe_keys, table.order), values, ["k"], ["v"])
+    assert found.columns == longer.columns and found.count() == longer.count() < N
+    assert found.exceptAll(longer).isEmpty() and longer.exceptAll(found).isEmpty()
+    # A hot key is still split.
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "500KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500KB")
+    assert "SortMergeJoin(skew=true)" in plan(shape(rows, table, by_key, values), run=True)
+    # A lookup by another key, or by names that are brought into one form first, comes behind the latest rows.
+    for other in (Lookup("l", ("id",), ("v",)), Lookup("l", ("k",), ("v",), normalize=lambda c: c + 0)):
+        text = plan(shape(rows, table, other, values.withColumnRenamed("k", other.key[0])))
+        assert text.index("SortMergeJoin") < text.index("Window")
+
+
+def test_splits_are_smaller_unless_the_caller_says(spark, conf):
+    assert derived_session(spark).conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+    conf("spark.sql.files.maxPartitionBytes", "1m")
+    assert derived_session(spark).conf.get("spark.sql.files.maxPartitionBytes") == "1m"
+
+
 def test_scope_prunes_folders(spark, folder):
     rows = [("o", r, "2026", "04", d, "02", "o") for r in ("r", "s") for d in ("05", "06")]
     df = spark.createDataFrame(rows, "owner string, repo string, yyyy string, mm string, dd string, hh string, x string")
