@@ -160,18 +160,19 @@ def gate_rules(table: Table, empty: str, lookup: Lookup | None = None) -> list[R
 
 def upsert_candidate(
     spark: SparkSession, store: Store, table: Table, df: DataFrame, scratch: Scratch, one_day: bool,
-    lookup: Lookup | None = None, marks: Mapping[str, object] | None = None,
+    lookup: Lookup | None = None, marks: Mapping[str, object] | None = None, staged_bytes: int = 0,
 ) -> Candidate:
-    """Write a draft, and measure the gate's row rules as it is written."""
+    """Write a draft, and measure the gate's row rules as it is written. ``staged_bytes`` is what the flat rows that
+    ``df`` is made of take, which says how many buckets a table or date that starts now will need."""
     path, keys = store.table(table.name), table.publish_keys
     if store.format == "delta":
         rows = scratch.stage(df, table.name)
         return Candidate(rows, lambda: delta.upsert(rows, path, keys, table.partition_by, table.newer_by), lambda: None)
-    rebalance = not (one_day and table.partition_by == ("snapshot_date",))
+    one_partition = one_day and table.partition_by == ("snapshot_date",)
     observed = Observed(gate_rules(table, "warn", lookup), table.dedupe_keys)
     draft = write_draft(
-        spark, df, path, keys, table.partition_by, rebalance, table.buckets, table.bucket_bytes,
-        (observed.observation, observed.metrics),
+        spark, df, path, keys, table.partition_by, not one_partition, table.buckets, table.bucket_bytes,
+        (observed.observation, observed.metrics), staged_bytes if one_partition or not table.partition_by else 0,
     )
 
     def publish() -> None:
@@ -255,9 +256,10 @@ def _days(flat: DataFrame) -> list[date | None]:
 
 def publish_tables(
     run: Run, store: Store, parts: Sequence[tuple[Table, DataFrame]], lookup: Lookup | None, scratch: Scratch,
-    one_day: bool, batch: Batch | None = None,
+    one_day: bool, batch: Batch | None = None, staged_bytes: Sequence[int] = (),
 ) -> None:
-    """Flat rows to upserted tables; the gates of all pass before the first is published.
+    """Flat rows to upserted tables; the gates of all pass before the first is published. ``staged_bytes`` are those of
+    each part, if known.
 
     A micro-batch may hold several dates. They are applied one after the other, oldest first, as ``backfill`` does,
     so that the later date wins. Each table's state says which dates of which batch it has: those are not
@@ -265,8 +267,8 @@ def publish_tables(
     values = newest(run.spark, store, lookup, scratch)
     if batch is None:
         work = [
-            (table, upsert_candidate(run.spark, store, table, shape(flat, table, lookup, values), scratch, one_day, lookup))
-            for table, flat in parts
+            (table, upsert_candidate(run.spark, store, table, shape(flat, table, lookup, values), scratch, one_day, lookup, None, n))
+            for (table, flat), n in zip(parts, staged_bytes or [0] * len(parts))
         ]
         run.rows_written = check_and_publish(work, lookup)
         return
@@ -293,7 +295,7 @@ def publish_entity(
 ) -> None:
     """Envelopes to one upserted table: the body of the entity job and of its stream."""
     flat = _flat(run, store, feed, envelopes, scratch, paged=True, partition_by=("snapshot_date",) if batch else ())
-    publish_tables(run, store, [(table, flat)], lookup, scratch, one_day, batch)
+    publish_tables(run, store, [(table, flat)], lookup, scratch, one_day, batch, [scratch.size(feed.endpoint)])
 
 
 def publish_split(
@@ -305,7 +307,8 @@ def publish_split(
     partition_by = ("snapshot_date", flag) if batch else (flag,)
     flat = _flat(run, store, feed, envelopes, scratch, paged=True, partition_by=partition_by)
     parts = [*zip((without, having), split_by(flat, flag))]
-    publish_tables(run, store, parts, lookup, scratch, one_day, batch)
+    staged_bytes = [] if batch else [scratch.size(feed.endpoint, f"{flag}={str(has).lower()}") for has in (False, True)]
+    publish_tables(run, store, parts, lookup, scratch, one_day, batch, staged_bytes)
 
 
 def run_entity(

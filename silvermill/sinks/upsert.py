@@ -264,14 +264,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def write_draft(
     spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = (),
     rebalance: bool = True, buckets: int = BUCKETS, bucket_bytes: int = BUCKET_BYTES,
-    observed: tuple[Observation, Sequence[Column]] | None = None,
+    observed: tuple[Observation, Sequence[Column]] | None = None, partition_bytes: int = 0,
 ) -> Draft:
     """Compute and write new rows for the table at ``path``, which need not exist yet. An existing
     table keeps its own columns, types, partitioning and buckets.
 
     ``rebalance`` gathers the rows of a folder before they are written, splitting a large one over tasks; it is
-    left out on request where all rows go to one folder. ``observed`` is measured on the rows by the tasks
-    that write them.
+    left out on request where all rows go to one partition of ``BUCKETS`` buckets at most: a task then writes a file for
+    each. ``observed`` is measured on the rows by the tasks
+    that write them. ``partition_bytes`` is about what the new rows will take where all go to one partition, or the table
+    has none: what starts now gets as many buckets as that needs, so that the rows are not written a second time to
+    split it.
     """
     if not keys:
         raise ValueError("an upsert needs at least one key")
@@ -293,10 +296,11 @@ def write_draft(
         initial = Directory.of_depth(statistics.median_low(depths) if depths else 0)
     else:
         initial = Directory.at_least(buckets)
+    initial = Directory.of_depth(max(initial.depth, bits_to_split(partition_bytes, bucket_bytes, ROOT)))
     draft = Draft(table, state, df.schema, tuple(partition_by), bucket_by, directories, initial, bucket_bytes)
     rows = _in_bucket(df, draft, directories)
-    one_folder = not rebalance and all(d.depth == 0 for d in (initial, *directories.values()))
-    rows = rows if one_folder else rows.hint("rebalance", *draft.layout)
+    few_folders = not rebalance and all(len(d.codes) <= BUCKETS for d in (initial, *directories.values()))
+    rows = rows if few_folders else rows.hint("rebalance", *draft.layout)
     if observed is not None:
         # Behind the shuffle: in the tasks that write, of which only those that succeed count.
         rows = rows.observe(observed[0], *observed[1])
@@ -414,23 +418,25 @@ def merge(
         written_again = {f for f, code in new.items() if code in shared} | grown.intersection(new)
     folders = {f: code for f, code in {**old, **new}.items() if f not in again | written_again}
     if again or written_again:
-        before = draft.read(sorted(again)).select(*columns)
-        # Kept out of the joins: rows without a key match nothing and would pile up in one task.
-        unkeyed = before.filter(~all_present(keys))
-        keyed = before.filter(all_present(keys))
-        if retract is not None:
-            keyed = keyed.join(retract, list(keys), "left_anti").select(*columns)
-        if newer_by is None:
-            rest = keyed.join(source_keys, list(keys), "left_anti").select(*columns)
-            rest = rest.unionByName(draft.read(sorted(written_again)).select(*columns))
-        else:
-            both = keyed.withColumn("_from_source", F.lit(0)).unionByName(
-                keyed_source.withColumn("_from_source", F.lit(1))
-            )
-            rest = latest_by(both, keys, [newer_by, "_from_source"]).select(*columns)
-            rest = rest.unionByName(source.filter(~all_present(keys)))
-            folders = {f: code for f, code in folders.items() if f not in new}
-        rest = _in_bucket(rest.unionByName(unkeyed), draft, directories).hint("rebalance", *draft.layout)
+        rest = draft.read(sorted(written_again)).select(*columns)
+        if again:
+            before = draft.read(sorted(again)).select(*columns)
+            # Kept out of the joins: rows without a key match nothing and would pile up in one task.
+            unkeyed = before.filter(~all_present(keys))
+            keyed = before.filter(all_present(keys))
+            if retract is not None:
+                keyed = keyed.join(retract, list(keys), "left_anti").select(*columns)
+            if newer_by is None:
+                rest = keyed.join(source_keys, list(keys), "left_anti").select(*columns).unionByName(rest)
+            else:
+                both = keyed.withColumn("_from_source", F.lit(0)).unionByName(
+                    keyed_source.withColumn("_from_source", F.lit(1))
+                )
+                rest = latest_by(both, keys, [newer_by, "_from_source"]).select(*columns)
+                rest = rest.unionByName(source.filter(~all_present(keys)))
+                folders = {f: code for f, code in folders.items() if f not in new}
+            rest = rest.unionByName(unkeyed)
+        rest = _in_bucket(rest, draft, directories).hint("rebalance", *draft.layout)
         draft.rest = draft.table.write_folder(rest, draft.layout)
         folders |= {f: _code_in(f) for f in draft.rest}
     if not draft.partition_by:

@@ -3,13 +3,14 @@
 import json
 import os
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from silvermill.operators.keyfilter import may_match
 from silvermill.sinks.buckets import Directory, bits_to_split, key_hash, low_bits_of
-from silvermill.sinks.upsert import CROWD, SilverTable, _near, _touched, merge, read_table, upsert, write_draft
+from silvermill.sinks.upsert import BUCKETS, CROWD, SilverTable, _near, _touched, merge, read_table, upsert, write_draft
 from silvermill.storage import size
 
 ROW = "k1 string, k2 int, v string, part string"
@@ -147,6 +148,47 @@ def test_model_with_small_buckets(spark, folder, partitioned, newer_by):
     assert max(len(codes) for codes in places.values()) > (4 if partitioned else 16)
 
 
+@pytest.fixture
+def folders_written(monkeypatch):
+    plans, write = [], SilverTable.write_folder
+
+    def seen(self, rows, partition_by):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, rows, partition_by)
+
+    monkeypatch.setattr(SilverTable, "write_folder", seen)
+    return plans
+
+
+@pytest.mark.parametrize("partition_by, buckets", [(["part"], 8), (["part"], 32), ([], 32)])
+def test_a_first_load_of_known_size_is_written_once(spark, folder, folders_written, partition_by, buckets):
+    path, rows = folder + "/t", batch(spark, 0, 3000, "x")
+    known = buckets * TARGET - 1
+    draft = write_draft(
+        spark, rows, path, ["k1", "k2"], partition_by, rebalance=False, buckets=1, bucket_bytes=TARGET * 32 // buckets,
+        partition_bytes=known * 32 // buckets,
+    )
+    merge(draft, ["k1", "k2"], unique=True)
+    assert len(folders_written) == 1 and ("Exchange" in folders_written[0]) == (buckets > BUCKETS)
+    assert len({code for code, _ in grown(path, spark).values()}) == buckets
+    assert content(read_table(spark, path)) == content(rows)
+
+
+def test_a_first_load_of_unknown_size_is_split_without_a_join(spark, folder, folders_written):
+    path, rows = folder + "/t", batch(spark, 0, 3000, "x")
+    upsert(rows, path, ["k1", "k2"], ["part"], bucket_bytes=TARGET)
+    assert len(folders_written) == 2 and "LeftAnti" not in folders_written[1]
+    assert content(read_table(spark, path)) == content(rows)
+
+
+def test_a_job_gives_a_new_date_the_buckets_it_needs(spark, monkeypatch, folders_written):
+    from bindings import publishing
+
+    monkeypatch.setattr(publishing, "LINE_TABLE", replace(publishing.LINE_TABLE, bucket_bytes=TARGET))
+    row = publishing.run_audit_counts(spark, "/root/testdata/sf0.001").first()
+    assert row.status == "SUCCESS" and row.rows_written > 0 and len(folders_written) == 1
+
+
 def write_old(spark, path, rows, buckets, partition_by):
     """A table as earlier versions wrote it: fixed buckets, or partitions without buckets."""
     if not partition_by:
