@@ -271,10 +271,9 @@ def write_draft(
 
     ``rebalance`` gathers the rows of a folder before they are written, splitting a large one over tasks; it is
     left out on request where all rows go to one partition of ``BUCKETS`` buckets at most: a task then writes a file for
-    each. ``observed`` is measured on the rows by the tasks
-    that write them. ``partition_bytes`` is about what the new rows will take where all go to one partition, or the table
-    has none: what starts now gets as many buckets as that needs, so that the rows are not written a second time to
-    split it.
+    each. ``observed`` is measured on the rows by the tasks that write them. ``partition_bytes`` is about what the new
+    rows will take where all go to one partition, or the table has none: what starts now gets as many buckets as that
+    needs, so that the rows are not written a second time to split it.
     """
     if not keys:
         raise ValueError("an upsert needs at least one key")
@@ -296,7 +295,8 @@ def write_draft(
         initial = Directory.of_depth(statistics.median_low(depths) if depths else 0)
     else:
         initial = Directory.at_least(buckets)
-    initial = Directory.of_depth(max(initial.depth, bits_to_split(partition_bytes, bucket_bytes, ROOT)))
+    if state is None or "codes" in state:  # earlier versions do not list the buckets of a partition
+        initial = Directory.of_depth(max(initial.depth, bits_to_split(partition_bytes, bucket_bytes, ROOT)))
     draft = Draft(table, state, df.schema, tuple(partition_by), bucket_by, directories, initial, bucket_bytes)
     rows = _in_bucket(df, draft, directories)
     few_folders = not rebalance and all(len(d.codes) <= BUCKETS for d in (initial, *directories.values()))

@@ -174,6 +174,16 @@ def test_a_first_load_of_known_size_is_written_once(spark, folder, folders_writt
     assert content(read_table(spark, path)) == content(rows)
 
 
+def test_a_partition_of_an_earlier_table_keeps_its_one_bucket(spark, folder):
+    path = folder + "/t"
+    write_old(spark, path, batch(spark, 0, 600, "old"), 16, ["part"])
+    new = batch(spark, 590, 700, "new")
+    draft = write_draft(spark, new, path, ["k1", "k2"], bucket_bytes=1 << 30, partition_bytes=1 << 33)
+    merge(draft, ["k1", "k2"])
+    assert {code for code, _ in grown(path, spark).values()} == {1}
+    assert content(read_table(spark, path)) == content(batch(spark, 0, 590, "old").unionByName(new))
+
+
 def test_a_first_load_of_unknown_size_is_split_without_a_join(spark, folder, folders_written):
     path, rows = folder + "/t", batch(spark, 0, 3000, "x")
     upsert(rows, path, ["k1", "k2"], ["part"], bucket_bytes=TARGET)
