@@ -1,4 +1,4 @@
-"""A filter of rows by the keys of a batch, ahead of the join with it."""
+"""Joins of rows with the keys of a batch: a filter ahead of them, and which of them may send the keys to every task."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 LEAST_BITS = 1 << 15  # one row of a bitmap
 MOST_BITS = 1 << 26  # 8 MB, the most that is broadcast
 BITS_PER_KEY = 16
+MOST_SENT = 1 << 18  # keys that a join may broadcast
 
 
 def may_match(rows: DataFrame, keys: DataFrame, on: Sequence[str], count: int) -> DataFrame:
@@ -33,3 +34,12 @@ def may_match(rows: DataFrame, keys: DataFrame, on: Sequence[str], count: int) -
     position = F.bitmap_bit_position(at)
     byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
     return near.filter(F.getbit(byte, (position % 8).cast("int")) == 1).select(*[f"`{c}`" for c in rows.columns])
+
+
+def join_side(keys: DataFrame, count: int) -> DataFrame:
+    """``count`` keys, as the right side of a join that broadcasts them only if they are few.
+
+    Spark decides by the bytes of compressed files, and ids compress well: 9 million in files of 10 MB become a table of
+    340 MB, which the driver builds. By their number, what it holds is bounded, and more of them are shuffled.
+    """
+    return keys.hint("shuffle_merge") if count > MOST_SENT else keys

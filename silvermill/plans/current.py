@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silvermill.functions.columns import all_present
+from silvermill.operators.keyfilter import join_side
 from silvermill.operators.latest import latest_by
 from silvermill.plans.specs import Store, Table
+from silvermill.session import Scratch
 from silvermill.sinks.replace import read_dates
 from silvermill.sinks.upsert import SilverTable, read_table, upsert
 from silvermill.storage import create_text, delete, glob
@@ -78,6 +80,11 @@ class Follower:
             before = read_table(self.spark, self.path).select(*keys) if known else None
             upsert(newest_versions(history, self.table), self.path, keys, retract=before)
             return
+        with Scratch(self.spark) as scratch:
+            self._follow(rows, day, scope, history, scratch)
+
+    def _follow(self, rows: DataFrame, day: date | str, scope: Column | None, history: DataFrame, scratch: Scratch) -> None:
+        keys = list(self.table.current_by)
         this_day = F.col(VERSION) == F.lit(str(day)).cast("date")
         replaced = this_day if scope is None else this_day & F.coalesce(scope, F.lit(False))
         current = read_table(self.spark, self.path)
@@ -86,12 +93,17 @@ class Follower:
             of_day = newest_versions(rows, self.table)
         else:
             # Another entity may have a version of the same key on that day.
-            touched = rows.select(*keys).unionByName(was_current).distinct()
-            of_day = newest_versions(history.filter(this_day).join(touched, keys, "left_semi").select(*rows.columns), self.table)
-        gone = was_current.join(of_day.select(*keys), keys, "left_anti")
-        if gone.isEmpty():
+            touched = scratch.stage(rows.select(*keys).unionByName(was_current).distinct(), "touched")
+            of_touched = history.filter(this_day).join(join_side(touched, touched.count()), keys, "left_semi")
+            of_day = newest_versions(of_touched.select(*rows.columns), self.table)
+        # The newest versions already lie by key, and may be as many as the day has rows: never broadcast. Staged, as
+        # what is gone is read by several jobs.
+        gone = was_current.join(of_day.select(*keys).hint("shuffle_merge"), keys, "left_anti")
+        gone = scratch.stage(gone, "gone")
+        n = gone.count()
+        if n == 0:
             upsert(of_day, self.path, keys, newer_by=VERSION)
             return
-        earlier = history.filter(F.col(VERSION) < F.lit(str(day)).cast("date")).join(gone, keys, "left_semi")
+        earlier = history.filter(F.col(VERSION) < F.lit(str(day)).cast("date")).join(join_side(gone, n), keys, "left_semi")
         versions = of_day.unionByName(newest_versions(earlier.select(*rows.columns), self.table))
         upsert(versions, self.path, keys, newer_by=VERSION, retract=gone)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silvermill.functions.columns import all_present
-from silvermill.operators.keyfilter import may_match
+from silvermill.operators.keyfilter import join_side, may_match
 from silvermill.operators.latest import latest_by
 from silvermill.sinks.buckets import MAX_DEPTH, ROOT, Directory, bits_to_split, depth, key_hash, low_bits_of
 from silvermill.sinks.replace import read_dates
@@ -344,7 +344,8 @@ def _touched(
     place = {"_v": F.col("_v"), _BUCKET: F.col(_BUCKET), **{c: F.col(f"`{c}`") for c in draft.partition_by}}
     values = [column.cast("string").alias(f"_in_{name}") for name, column in place.items()]
     rows = draft.read(near).select(*keys, *values)
-    hits = may_match(rows, some_keys, keys, some_keys.count()).join(some_keys, list(keys), "left_semi")
+    n = some_keys.count()
+    hits = may_match(rows, some_keys, keys, n).join(join_side(some_keys, n), list(keys), "left_semi")
     found = {tuple(row) for row in hits.select(*[f"`_in_{name}`" for name in place]).distinct().collect()}
 
     def values_of(folder: str) -> tuple:
@@ -425,9 +426,10 @@ def merge(
             unkeyed = before.filter(~all_present(keys))
             keyed = before.filter(all_present(keys))
             if retract is not None:
-                keyed = keyed.join(retract, list(keys), "left_anti").select(*columns)
+                keyed = keyed.join(join_side(retract, retract.count()), list(keys), "left_anti").select(*columns)
             if newer_by is None:
-                rest = keyed.join(source_keys, list(keys), "left_anti").select(*columns).unionByName(rest)
+                replaced = join_side(source_keys, source_keys.count())
+                rest = keyed.join(replaced, list(keys), "left_anti").select(*columns).unionByName(rest)
             else:
                 both = keyed.withColumn("_from_source", F.lit(0)).unionByName(
                     keyed_source.withColumn("_from_source", F.lit(1))

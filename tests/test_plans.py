@@ -7,13 +7,17 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
+from silvermill.operators import keyfilter
 from silvermill.operators.enrich import enrich_left
+from silvermill.operators.keyfilter import join_side
 from silvermill.operators.latest import latest_by, latest_lookup
 from silvermill.operators.paging import paginate
 from silvermill.operators.quality import evaluate, rules_for
+from silvermill.plans.current import Follower, read_current
 from silvermill.plans.jobs import shape
-from silvermill.plans.specs import Lookup, Table
+from silvermill.plans.specs import Lookup, Store, Table
 from silvermill.session import Scratch, derived_session
+from silvermill.sinks.replace import replace_where
 from silvermill.sinks.upsert import _touched, read_table, upsert, write_draft
 from silvermill.sources.envelopes import Scope, scan_envelopes
 
@@ -179,3 +183,56 @@ def test_a_merge_reads_only_the_buckets_of_its_batch(spark, folder):
     touched = _touched(draft, draft.rows.select("id"), ["id"])
     assert len(touched) == 1 and len(draft.state["folders"]) == 16
     assert {f.rsplit("/", 1)[1] for f in touched} == {f.rsplit("/", 1)[1] for f in draft.folders}
+
+
+@pytest.fixture
+def small_broadcasts(conf, monkeypatch):
+    """A broadcast of more than 2 MB fails, and a join may send 1,000 keys."""
+    conf("spark.sql.maxBroadcastTableSize", "2m")
+    monkeypatch.setattr(keyfilter, "MOST_SENT", 1000, raising=False)
+
+
+def test_only_few_keys_are_broadcast(spark, hot, small_broadcasts):
+    keys = lookup(spark).select("k")
+    few, many = (plan(hot.join(join_side(keys, n), ["k"], "left_semi")) for n in (1000, 1001))
+    assert "BroadcastHashJoin" in few and "SortMergeJoin" in many and "Broadcast" not in many
+
+
+def test_current_versions_follow_a_day_without_a_broadcast_of_its_keys(spark, folder, small_broadcasts):
+    store = Store(folder + "/bronze", folder + "/silver")
+    table = Table("orders", dedupe_keys=("k", "snapshot_date"), order=("n",), current_by=("k",))
+    first, later = "2026-04-06", "2026-04-13"
+    for n, (day, step) in enumerate([(first, 1), (later, 2), (later, 4), (first, 1)]):
+        rows = spark.range(0, N, step).select(F.col("id").alias("k"), F.lit(n).alias("n"), F.lit(day).cast("date").alias("snapshot_date"))
+        rows = Scratch(spark).stage(rows, "rows")
+        with Follower(spark, store, table) as current:
+            replace_where(rows, store.table("orders"), day)
+            current.follow(rows, day, None)
+    found = read_current(spark, store, "orders")
+    assert found.select("k").distinct().count() == N
+    assert found.filter("n = if(k % 4 = 0, 2, 3)").count() == found.count() == N
+
+
+def test_current_versions_follow_a_large_scope_without_a_broadcast_of_its_keys(spark, folder, small_broadcasts):
+    store = Store(folder + "/bronze", folder + "/silver")
+    table = Table("orders", dedupe_keys=("k", "snapshot_date"), order=("n",), current_by=("k",))
+    even = F.col("k") % 2 == 0
+    for n, (day, step, scope) in enumerate([("2026-04-06", 1, None), ("2026-04-13", 1, None), ("2026-04-13", 4, even)]):
+        rows = spark.range(0, N, step).select(F.col("id").alias("k"), F.lit(n).alias("n"), F.lit(day).cast("date").alias("snapshot_date"))
+        rows = Scratch(spark).stage(rows, "rows")
+        with Follower(spark, store, table) as current:
+            replace_where(rows, store.table("orders"), day, scope)
+            current.follow(rows, day, scope)
+    found = read_current(spark, store, "orders")
+    assert found.filter("n = case when k % 4 = 0 then 2 when k % 4 = 2 then 0 else 1 end").count() == found.count() == N
+
+
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_a_large_batch_is_merged_without_a_broadcast_of_its_keys(spark, folder, small_broadcasts, partition_by):
+    rows = spark.range(N).select("id", (F.col("id") % 2).alias("part"))
+    upsert(rows.withColumn("v", F.lit(0)), folder + "/t", ["id"], partition_by)
+    batch = Scratch(spark).stage(rows.filter("id % 3 > 0").withColumn("v", F.lit(1)), "batch")
+    retract = Scratch(spark).stage(rows.filter("id % 6 = 0").select("id"), "retract")
+    upsert(batch, folder + "/t", ["id"], partition_by, retract=retract)
+    found = read_table(spark, folder + "/t")
+    assert found.filter("id % 6 <> 0 and v = if(id % 3 > 0, 1, 0)").count() == found.count() == N - N // 6
